@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_not_null, orderable, q
 from tidemark.functions.times import align, is_time, within_age
+from tidemark.operators.latest import latest_per_key
 from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, is_small
 from tidemark.plans.skew import Skew, find_skew, is_hot, with_slice
 
@@ -85,7 +86,7 @@ def asof_join(
         groups.setdefault((spine_keys, _created_type(side)), []).append(side)
     out = spine
     for (spine_keys, _), members in groups.items():
-        out = _join_group(out, ts, spine_keys, members, plan, limits)
+        out = _join_group(out, spine, ts, spine_keys, members, plan, limits)
     return out.select(*[q(c) for c in spine.columns], *[q(s.name) for s in sides])
 
 
@@ -99,12 +100,18 @@ def _created_type(side: AsofSide) -> str | None:
 
 def _join_group(
     spine: DataFrame,
+    given: DataFrame,
     ts: str,
     spine_keys: tuple[str, ...],
     sides: list[AsofSide],
     plan: str,
     limits: Limits,
 ) -> DataFrame:
+    """Join the sides that share their keys.
+
+    ``spine`` may already carry the structs of other sides; ``given`` is the caller's
+    spine, which has the same rows and is cheaper to look at.
+    """
     keys = [f"__ft_k{i}" for i in range(len(spine_keys))]
     if plan == "points":
         return _join_points(spine, ts, spine_keys, sides, "window", None, limits)
@@ -112,8 +119,8 @@ def _join_group(
     features = [_feature_rows(side, keys, spine.schema[ts].dataType) for side in sides]
     rows = _spine_rows(spine, ts, spine_keys, keys)
     skew = None
-    if plan == "sliced" or (plan == "auto" and not is_small(limits, spine, *[s.df for s in sides])):
-        both = rows.select(*keys, _TS)
+    if plan == "sliced" or (plan == "auto" and not is_small(limits, given, *[s.df for s in sides])):
+        both = _spine_rows(given, ts, spine_keys, keys).select(*keys, _TS)
         for feature in features:
             both = both.unionByName(feature.select(*keys, _TS))
         skew = find_skew(both, keys, _TS, limits)
@@ -152,24 +159,13 @@ def _feature_rows(side: AsofSide, keys: list[str], spine_time) -> DataFrame:
 
 def _sort_order(df: DataFrame, sides: list[AsofSide]) -> list[Column]:
     """Order inside a group: time, features before spine rows, created, then values."""
-    order = [q(_TS), q(_FLAG)]
-    if _CREATED in df.columns:
-        order.append(q(_CREATED))
+    order = [q(c) for c in (_TS, _FLAG, *_recency(df, _CREATED))]
     for side in sides:
-        order += _value_order(df, side)
+        fields = df.schema[side.name].dataType.fields
+        order += [q(side.name).getField(f.name) for f in fields if orderable(f.dataType)]
     return order
 
 
-def _value_order(df: DataFrame, side: AsofSide) -> list[Column]:
-    """The side's values, as far as Spark can compare them, to break the last ties."""
-    fields = df.schema[side.name].dataType.fields
-    return [
-        q(side.name).getField(f.name)
-        for f in fields
-        if f.name != EVENT_TIME and orderable(f.dataType)
-    ]
-
-
 def _fill(
     rows: DataFrame,
     features: list[DataFrame],
@@ -230,25 +226,19 @@ def _with_carry(df: DataFrame, keys: list[str], side: AsofSide, skew: Skew) -> D
     last_slice = skew.slices - 1
     if last_slice == 0:
         return sliced
-    rest = [c for c in sliced.columns if c not in (*keys, _SLICE)]
-    recency = [q(c) for c in (_TS, _CREATED) if c in rest] + _value_order(df, side)
-    last = (
-        sliced.filter(q(_SLICE) >= 0)
-        .groupBy(*keys, _SLICE)
-        .agg(F.max_by(F.struct(*rest), F.struct(*recency)).alias("__ft_last"))
-    )
+    hot = sliced.filter(q(_SLICE) >= 0)
+    last = latest_per_key(hot, [*keys, _SLICE], _recency(hot, _TS, _CREATED))
     # One row per hot key and slice by now, so this window stays small.
     following = F.lead(_SLICE).over(Window.partitionBy(*keys).orderBy(_SLICE))
-    until = F.coalesce(following, F.lit(last_slice))
-    carried = last.select(*keys, "__ft_last", q(_SLICE).alias("__ft_from"), until.alias("__ft_to"))
+    carried = last.withColumn("__ft_to", F.coalesce(following, F.lit(last_slice)))
     if side.ttl:
-        expiry = q("__ft_last").getField(_TS) + F.lit(side.ttl)
-        carried = with_slice(carried.withColumn("__ft_exp", expiry), "__ft_exp", skew, "__ft_end")
+        carried = carried.withColumn("__ft_exp", q(_TS) + F.lit(side.ttl))
+        carried = with_slice(carried, "__ft_exp", skew, "__ft_end")
         carried = carried.withColumn("__ft_to", F.least("__ft_to", "__ft_end"))
     carried = (
-        carried.filter(q("__ft_from") < q("__ft_to"))
-        .withColumn(_SLICE, F.explode(F.sequence(q("__ft_from") + 1, q("__ft_to"))))
-        .select(*keys, *[q("__ft_last").getField(c).alias(c) for c in rest], _SLICE)
+        carried.filter(q(_SLICE) < q("__ft_to"))
+        .withColumn(_SLICE, F.explode(F.sequence(q(_SLICE) + 1, q("__ft_to"))))
+        .select(*sliced.columns)
     )
     return sliced.unionByName(carried)
 
@@ -273,7 +263,8 @@ def _join_points(
     keys = [f"__ft_k{i}" for i in range(len(spine_keys))]
     time_type = spine.schema[ts].dataType
     features = [
-        _latest_per_time(_feature_rows(side, keys, time_type), keys, side) for side in sides
+        latest_per_key(rows, [*keys, _TS], _recency(rows, _CREATED))
+        for rows in (_feature_rows(side, keys, time_type) for side in sides)
     ]
     rows = _spine_rows(points, point_ts, tuple(point_keys), keys)
     if plan == "sliced" and skew is None:
@@ -286,12 +277,5 @@ def _join_points(
     return joined.select(*[q(c) for c in spine.columns], *[q(s.name) for s in sides])
 
 
-def _latest_per_time(df: DataFrame, keys: list[str], side: AsofSide) -> DataFrame:
-    """One feature row per key and event time; combined before the shuffle."""
-    rest = [c for c in df.columns if c not in (*keys, _TS)]
-    recency = [q(c) for c in (_CREATED,) if c in rest] + _value_order(df, side)
-    recency = recency or [q(_FLAG)]
-    best = df.groupBy(*keys, _TS).agg(
-        F.max_by(F.struct(*rest), F.struct(*recency)).alias("__ft_best")
-    )
-    return best.select(*keys, _TS, *[q("__ft_best").getField(c).alias(c) for c in rest])
+def _recency(rows: DataFrame, *columns: str) -> list[str]:
+    return [c for c in columns if c in rows.columns]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import q
 from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, is_small
+from tidemark.plans.skew import draw_sample, quantile_edges, with_range
 
 _VALUE, _COUNT, _BUCKET = "__ft_value", "__ft_count", "__ft_bucket"
 
@@ -26,7 +26,8 @@ def exact_quantiles(
     """
     values = df.select(q(column).alias(_VALUE)).filter(q(_VALUE).isNotNull())
     counts = values.groupBy(_VALUE).agg(F.count(F.lit(1)).alias(_COUNT))
-    counts = _with_range(counts, _range_edges(values, limits))
+    edges = _range_edges(values, limits)
+    counts = with_range(counts, q(_VALUE).cast("double"), edges, _BUCKET)
 
     ranges = counts.groupBy(_BUCKET).agg(F.sum(_COUNT).alias("__ft_size"))
     # At most max_slices rows, so one window group is fine here.
@@ -52,27 +53,13 @@ def exact_quantiles(
 
 
 def _range_edges(values: DataFrame, limits: Limits) -> list[float]:
+    """Where to cut a large column into ranges; none for a small one."""
     if is_small(limits, values):
         return []
-    total = values.count()
-    if total <= limits.group_rows:
-        return []
-    sample = values.sample(fraction=min(1.0, limits.sample_rows / total), seed=17)
-    n = min(limits.max_slices, max(2, math.ceil(total / limits.group_rows)))
-    wanted = [i / n for i in range(1, n)]
-    as_double = sample.select(q(_VALUE).cast("double").alias("v"))
-    row = as_double.agg(F.percentile_approx("v", wanted, 20 * n).alias("edges")).first()
-    return sorted(set(row["edges"] or []))
-
-
-def _with_range(counts: DataFrame, edges: list[float]) -> DataFrame:
-    if not edges:
-        return counts.withColumn(_BUCKET, F.lit(0.0))
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *edges, math.inf],
-        inputCol="__ft_number",
-        outputCol=_BUCKET,
-        handleInvalid="keep",
-    )
-    numbered = counts.withColumn("__ft_number", q(_VALUE).cast("double"))
-    return bucketizer.transform(numbered).drop("__ft_number")
+    sample, rows, fraction = draw_sample(values, limits)
+    try:
+        n = min(limits.max_slices, math.ceil(rows / fraction / limits.group_rows))
+        edges = quantile_edges(sample, q(_VALUE).cast("double"), n) if n > 1 else []
+    finally:
+        sample.unpersist()
+    return sorted(set(edges))

@@ -12,7 +12,7 @@ from tidemark.errors import FeatureNameCollision
 from tidemark.functions.columns import q
 from tidemark.functions.times import utc_text
 from tidemark.operators.asof import AsofSide, asof_join
-from tidemark.plans.resolve import Request, check_request_data, view_key
+from tidemark.plans.resolve import Request, Wanted, check_request_data, view_key
 from tidemark.plans.sizes import Limits, is_small
 from tidemark.plans.transforms import input_columns, with_on_demand
 from tidemark.sources.spine import require_columns
@@ -54,17 +54,18 @@ def historical(
     require_columns(spine, needed)
 
     lo = hi = None
+    sources = [item.view.source.read(spark) for item in request.fetched]
     if prune == "auto":
-        loaded = [item.view.source.read(spark) for item in request.fetched]
-        prune = not is_small(limits, *loaded)
+        prune = not is_small(limits, *sources)
     if prune and request.fetched:
         lo, hi = time_span(spine, ts)
 
     structs: dict[tuple, str] = {}
     sides = []
-    for i, item in enumerate(request.fetched):
+    for i, (item, rows) in enumerate(zip(request.fetched, sources)):
         structs[view_key(item.view)] = name = f"__ft_v{i}"
-        sides.append(_side(spark, name, item.view, item.names, entities, lo, hi))
+        keys = join_keys(item.view, entities)
+        sides.append(_side(spark, name, item, keys, rows, lo, hi))
     joined = asof_join(spine, ts, sides, plan, limits) if sides else spine
 
     def feature_column(view: FeatureView, feature: str) -> Column:
@@ -109,21 +110,21 @@ def _check_spine_names(request: Request, spine: DataFrame) -> None:
 def _side(
     spark: SparkSession,
     name: str,
-    view: FeatureView,
-    names: tuple[str, ...],
-    entities: dict[str, Entity],
+    item: Wanted,
+    keys: tuple[tuple[str, str], ...],
+    rows: DataFrame,
     lo: datetime | None,
     hi: datetime | None,
 ) -> AsofSide:
-    source = view.source
+    """One view's part in the join, cut to what the spine can match."""
+    view, source = item.view, item.view.source
     oldest = lo - view.ttl if lo is not None and view.ttl else None
-    df = source.load(spark, oldest, hi)
     return AsofSide(
         name=name,
-        df=df,
+        df=source.load(spark, oldest, hi, rows=rows),
         ts=source.mapped(source.event_timestamp_column),
         created=source.mapped(source.created_timestamp_column),
-        values=tuple(names),
-        keys=join_keys(view, entities),
+        values=tuple(item.names),
+        keys=keys,
         ttl=view.ttl or None,
     )

@@ -10,17 +10,21 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import q
+from tidemark.functions.columns import all_not_null, q
 from tidemark.functions.times import epoch_seconds
-from tidemark.plans.sizes import Limits
+from tidemark.plans.sizes import Limits, scanned_bytes
 
-_SECONDS = "__ft_seconds"
+_VALUE = "__ft_number"
 _BUCKET = "__ft_bucket"
 
+# A guess; see draw_sample.
+_BYTES_PER_ROW = 40
+
 
 @dataclass(frozen=True)
 class Skew:
@@ -44,62 +48,89 @@ def is_hot(keys: list[str], skew: Skew) -> Column:
     """Whether a row belongs to a hot key."""
     if skew.hot is None:
         return F.lit(True)
-    return F.xxhash64(*[q(k) for k in keys]).isin(list(skew.hot))
+    # As text: thousands of literals are slow to hand over one by one.
+    names = ", ".join(f"`{k}`" for k in keys)
+    return F.expr(f"xxhash64({names}) IN ({', '.join(map(str, skew.hot))})")
 
 
 def with_slice(df: DataFrame, ts: str, skew: Skew, name: str) -> DataFrame:
-    """Add the number of the time slice a row falls into (binary search in the JVM)."""
-    if not skew.edges:
+    """Add the number of the time slice a row falls into."""
+    seconds = epoch_seconds(q(ts), df.schema[ts].dataType)
+    return with_range(df, seconds, skew.edges, name)
+
+
+def with_range(df: DataFrame, value: Column, edges, name: str) -> DataFrame:
+    """Add the number of the range a value falls into (binary search in the JVM)."""
+    if not edges:
         return df.withColumn(name, F.lit(0))
     bucketizer = Bucketizer(
-        splits=[-math.inf, *skew.edges, math.inf],
-        inputCol=_SECONDS,
+        splits=[-math.inf, *edges, math.inf],
+        inputCol=_VALUE,
         outputCol=_BUCKET,
         handleInvalid="keep",
     )
-    seconds = F.coalesce(epoch_seconds(q(ts), df.schema[ts].dataType), F.lit(0.0))
-    sliced = bucketizer.transform(df.withColumn(_SECONDS, seconds))
-    return sliced.withColumn(name, q(_BUCKET).cast("int")).drop(_SECONDS, _BUCKET)
+    ranged = bucketizer.transform(df.withColumn(_VALUE, F.coalesce(value, F.lit(0.0))))
+    return ranged.withColumn(name, q(_BUCKET).cast("int")).drop(_VALUE, _BUCKET)
 
 
 def find_skew(points: DataFrame, keys: list[str], ts: str, limits: Limits) -> Skew | None:
     """Look for hot keys among ``points`` (all rows that will meet in one window).
 
-    Three jobs over the key and time columns: a count, a count per key of a sample
-    (at most ``max_hot_keys`` rows come back), and time quantiles of the hot rows of
-    the sample.  Returns None if no key is hot.
+    One pass over the key and time columns draws a sample, which is kept for the two
+    questions asked of it: rows per key (at most ``max_hot_keys`` keys come back) and
+    time quantiles of the hot rows.  Returns None if no key is hot.
     """
-    total = points.count()
-    if total <= limits.group_rows:
-        return None
-    fraction = min(1.0, limits.sample_rows / total)
-    sample = points.select(*[q(k) for k in keys], q(ts))
-    if fraction < 1.0:
-        sample = sample.sample(fraction=fraction, seed=17)
-    if keys:
-        share = max(limits.group_rows / total, 1.0 / limits.max_hot_keys)
-        counts = (
-            sample.select(F.xxhash64(*[q(k) for k in keys]).alias("h"))
-            .groupBy("h")
-            .count()
-            .filter(F.col("count") >= share * total * fraction)
-            .collect()
-        )
-        if not counts:
+    sample, rows, fraction = draw_sample(points.filter(all_not_null(keys)), limits)
+    try:
+        total = rows / fraction
+        if total <= limits.group_rows:
             return None
-        skew = Skew(tuple(sorted(r["h"] for r in counts)), ())
-        largest = max(r["count"] for r in counts) / fraction
-    else:
-        skew = Skew(None, ())
-        largest = total
-    n = min(limits.max_slices, max(2, math.ceil(largest / limits.group_rows)))
-    wanted = [i / n for i in range(1, n)]
-    row = (
-        sample.filter(is_hot(keys, skew) & q(ts).isNotNull())
-        .select(epoch_seconds(q(ts), points.schema[ts].dataType).alias("s"))
-        .agg(F.percentile_approx("s", wanted, 20 * n).alias("edges"))
-        .first()
-    )
-    found = row["edges"] or []
+        if keys:
+            share = max(limits.group_rows / total, 1.0 / limits.max_hot_keys)
+            counts = (
+                sample.select(F.xxhash64(*[q(k) for k in keys]).alias("h"))
+                .groupBy("h")
+                .count()
+                .filter(F.col("count") >= share * rows)
+                .collect()
+            )
+            if not counts:
+                return None
+            skew = Skew(tuple(sorted(r["h"] for r in counts)), ())
+            largest = max(r["count"] for r in counts) / fraction
+        else:
+            skew = Skew(None, ())
+            largest = total
+        n = min(limits.max_slices, max(2, math.ceil(largest / limits.group_rows)))
+        hot = sample.filter(is_hot(keys, skew) & q(ts).isNotNull())
+        found = quantile_edges(hot, epoch_seconds(q(ts), points.schema[ts].dataType), n)
+    finally:
+        sample.unpersist()
     edges = tuple(sorted(set(found)))
     return Skew(skew.hot, edges, tied=len(edges) < len(found))
+
+
+def quantile_edges(df: DataFrame, value: Column, n: int) -> list[float]:
+    """The n - 1 values that cut a column into n parts of about equal size."""
+    wanted = ", ".join(f"{i / n:.8f}D" for i in range(1, n))
+    edges = F.expr(f"percentile_approx(v, array({wanted}), {20 * n})")
+    return df.select(value.alias("v")).agg(edges.alias("e")).first()["e"] or []
+
+
+def draw_sample(points: DataFrame, limits: Limits) -> tuple[DataFrame, int, float]:
+    """A stored sample of about ``sample_rows`` rows, its size and its fraction.
+
+    How many rows there are is guessed from the bytes read instead of being counted; a
+    sample that came out too small is drawn again with a larger fraction.
+    """
+    size = scanned_bytes(points)
+    guess = limits.sample_rows * 100 if size is None else size / _BYTES_PER_ROW
+    fraction = min(1.0, limits.sample_rows / max(guess, 1.0))
+    while True:
+        drawn = points if fraction >= 1.0 else points.sample(fraction=fraction, seed=17)
+        drawn = drawn.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = drawn.count()
+        if fraction >= 1.0 or rows * 10 >= limits.sample_rows:
+            return drawn, rows, fraction
+        drawn.unpersist()
+        fraction = min(1.0, fraction * min(1000.0, limits.sample_rows / max(rows, 1)))

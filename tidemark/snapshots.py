@@ -9,17 +9,19 @@ snapshot costs.
 
 from __future__ import annotations
 
+import time
 import uuid
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import q
 from tidemark.functions.times import time_literal, to_utc
 from tidemark.operators.latest import CREATED_TS, EVENT_TS, WRITTEN_AT, latest_per_key
+from tidemark.plans.sizes import estimated_bytes
 
 _LOG_SCHEMA = (
     "view string, version string, seq bigint, covers array<string>, "
@@ -74,12 +76,18 @@ class Snapshots:
         """Names of views that have been loaded at least once."""
         return [r["view"] for r in self.log().select("view").distinct().collect()]
 
-    def _record(self, view, version, covers=(), start=None, end=None, at=None) -> None:
-        last = self.log(view).agg(F.max("seq").alias("seq")).first()["seq"]
-        entry = (view, version, (last or 0) + 1, list(covers), start, end, at)
-        self.spark.createDataFrame([entry], _LOG_SCHEMA).coalesce(1).write.mode("append").json(
-            f"{self.root}/_loads"
-        )
+    def _record(self, view, version, covers=(), start=None, end=None, at=None, seq=None) -> None:
+        entry = {
+            "view": F.lit(view),
+            "version": F.lit(version).cast("string"),
+            "seq": F.lit(seq or time.time_ns()),
+            "covers": F.array(*[F.lit(c) for c in covers]).cast("array<string>"),
+            "range_start": _moment(start),
+            "range_end": _moment(end),
+            "recorded_at": _moment(at),
+        }
+        row = self.spark.range(0, 1, 1, 1).select(*[c.alias(n) for n, c in entry.items()])
+        row.write.mode("append").json(f"{self.root}/_loads")
 
     # -- writing ---------------------------------------------------------------
 
@@ -102,23 +110,40 @@ class Snapshots:
         stamped.write.mode("overwrite").parquet(self._folder(view, version))
         at, start, end = (None if t is None else to_utc(t) for t in (at, start, end))
         self._record(view, version, start=start, end=end, at=at)
-        if len(self.versions(view)) > self.compact_after:
-            self.compact(view, keys)
+        live = self.versions(view)
+        if len(live) > self.compact_after:
+            self._fold(view, self._recent(view, live), keys)
 
-    def compact(self, view: str, keys: list[str], at: datetime | None = None) -> None:
+    def compact(self, view: str, keys: list[str]) -> None:
         """Fold all current folders of a view into one."""
-        live = self.versions(view)
-        merged = self._merged(view, live, keys)
-        if merged is None:
-            return
-        self._replace(view, merged, live, at)
+        self._fold(view, self.versions(view), keys)
+
+    def _fold(self, view: str, live: list[Row], keys: list[str]) -> None:
+        if len(live) > 1:
+            self._replace(view, self._merged(view, live, keys), live)
+
+    def _recent(self, view: str, live: list[Row]) -> list[Row]:
+        """The newest folders, without older ones much larger than all after them.
+
+        So a large snapshot is rewritten only once the rows added since are a good part
+        of it, however often rows are added.
+        """
+        sizes = [self._size(view, row) for row in live]
+        first = 0
+        while first < len(live) - 2 and sizes[first] > 4 * sum(sizes[first + 1 :]):
+            first += 1
+        return live[first:]
+
+    def _size(self, view: str, row: Row) -> int:
+        folder = self.spark.read.parquet(self._folder(view, row["version"]))
+        return estimated_bytes(folder) or 0
 
     def purge(self, view: str, keys: list[str], key_ttl: timedelta, now: datetime) -> None:
         """Rewrite a view without the keys whose last write is older than ``key_ttl``."""
         live = self.versions(view)
         merged = self._merged(view, live, keys)
         if merged is not None:
-            self._replace(view, unexpired(merged, key_ttl, now), live, now)
+            self._replace(view, unexpired(merged, key_ttl, now), live)
 
     def drop(self, view: str, at: datetime | None = None) -> None:
         """Forget a view's rows and loaded ranges."""
@@ -132,11 +157,12 @@ class Snapshots:
             self.drop(view)
         return unused
 
-    def _replace(self, view: str, rows: DataFrame, live: list[Row], at: datetime | None) -> None:
+    def _replace(self, view: str, rows: DataFrame, live: list[Row]) -> None:
         version = uuid.uuid4().hex
         rows.write.mode("errorifexists").parquet(self._folder(view, version))
         covers = [r["version"] for r in live]
-        self._record(view, version, covers=covers, at=None if at is None else to_utc(at))
+        # As old as the newest row in it, so that later loads still count as later.
+        self._record(view, version, covers, seq=live[-1]["seq"])
 
     def _folder(self, view: str, version: str) -> str:
         return f"{self.root}/{view}/v={version}"
@@ -153,8 +179,8 @@ class Snapshots:
     ) -> DataFrame | None:
         """One row per key, or None if nothing was ever loaded.
 
-        ``only`` is a DataFrame of keys to look at; others are left out before folders
-        are merged.
+        ``only`` is a DataFrame of keys to look at; other keys are left out before folders
+        are merged, which pays off where the keys are few and the snapshot is large.
         """
         merged = self._merged(view, self.versions(view), keys, only)
         if merged is not None and key_ttl:
@@ -181,6 +207,11 @@ class Snapshots:
         return latest_per_key(union, keys, [EVENT_TS, CREATED_TS, _AGE]).drop(_AGE)
 
 
+def _moment(at: datetime | None) -> Column:
+    utc = T.TimestampNTZType()
+    return F.lit(None).cast(utc) if at is None else time_literal(at, utc)
+
+
 def unexpired(rows: DataFrame, key_ttl: timedelta, now: datetime) -> DataFrame:
     """Snapshot rows written less than ``key_ttl`` before ``now``."""
     oldest = time_literal(to_utc(now) - key_ttl, rows.schema[WRITTEN_AT].dataType)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,18 +43,24 @@ class BatchSource:
         """Name of a source column after the field mapping."""
         return None if column is None else self.field_mapping.get(column, column)
 
-    def resolved(self, spark: SparkSession) -> BatchSource:
-        """The same source with its event-time column filled in."""
-        if self.event_timestamp_column:
-            return self
-        return replace(self, event_timestamp_column=single_time_column(self.schema(spark)))
+    def resolved(self, spark: SparkSession, needs: list[str] = ()) -> BatchSource:
+        """The source with its event-time column filled in.
 
-    def validate(self, spark: SparkSession, needs: list[str] = ()) -> None:
-        """Raise unless the source can be read and has its declared and needed columns."""
+        Raises unless it can be read and has its declared and needed columns.
+        """
         try:
             schema = self.schema(spark)
-        except Exception as error:  # the cause is the reader's own message
+        except AnalysisException as error:
             raise SourceValidationError(f"source {self.name!r} cannot be read: {error}") from error
+        self._check(schema, needs)
+        return self._with_schema(schema)
+
+    def _with_schema(self, schema: T.StructType) -> BatchSource:
+        if self.event_timestamp_column:
+            return self
+        return replace(self, event_timestamp_column=single_time_column(schema))
+
+    def _check(self, schema: T.StructType, needs: list[str]) -> None:
         declared = [
             c
             for c in (
@@ -80,14 +87,15 @@ class BatchSource:
         start: datetime | None = None,
         end: datetime | None = None,
         closed: str = "both",
+        rows: DataFrame | None = None,
     ) -> DataFrame:
         """Rows with ``start <= event time <= end``, renamed by the field mapping.
 
         The bounds are literals of the column's own type, so they reach the scan; with a
         date partition column they also select the partitions to read.  ``closed="left"``
-        leaves ``end`` itself out.
+        leaves ``end`` itself out.  ``rows`` is the result of ``read`` where at hand.
         """
-        df = self.read(spark)
+        df = self.read(spark) if rows is None else rows
         event = self.event_timestamp_column
         if start is not None or end is not None:
             if event is None:
@@ -154,6 +162,11 @@ class FileSource(BatchSource):
             reader = reader.schema(self.file_schema)
         return reader.load(self.path)
 
+    def _with_schema(self, schema: T.StructType) -> BatchSource:
+        # Kept, so that reading the files later needs no look at their footers.
+        known = self if self.file_schema is not None else replace(self, file_schema=schema)
+        return super(FileSource, known)._with_schema(schema)
+
 
 @dataclass(frozen=True, kw_only=True)
 class TableSource(BatchSource):

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta, timezone
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -139,9 +140,8 @@ class FeatureStore:
             if not view.features:
                 raise InferenceError(f"view {view.name!r} has neither a source nor features")
             return view
-        source = source.resolved(self.spark)
         keys = [self._entities[n].join_key for n in view.entities]
-        source.validate(self.spark, [*keys, *[f.name for f in view.features]])
+        source = source.resolved(self.spark, [*keys, *[f.name for f in view.features]])
         loaded = source.load(self.spark)
         for name in view.entities:
             entity = self._entities[name]
@@ -359,7 +359,7 @@ class FeatureStore:
         if isinstance(entity_rows, list):
             if len({frozenset(r) for r in entity_rows}) != 1:
                 raise MissingSpineColumns("all entity rows must have the same keys")
-            entity_rows = pd.DataFrame(entity_rows)
+            entity_rows = self.spark.createDataFrame(pa.Table.from_pylist(entity_rows))
         requests = as_spine(self.spark, entity_rows)
         request = resolve(features, self._views, full_feature_names)
         return online(

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import (
     Entity,
@@ -30,8 +31,15 @@ ENTITIES = [USER, SUPPLIER, CUSTOMER, FLAG, NATION, VECTOR]
 NOW = datetime(2024, 1, 31)
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A benchmark table; its footer is read for the schema only once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def store(spark: SparkSession, *definitions, limits: Limits = DEFAULT_LIMITS, key_ttl=None):
