@@ -13,8 +13,12 @@ def row_id(*cols: Column) -> Column:
 
     Joins use the key columns themselves; this is for labelling rows.
     """
-    parts = [F.coalesce(F.replace(c.cast("string"), F.lit("|"), F.lit("||")), F.lit("")) for c in cols]
-    return F.concat_ws("|", *parts)
+
+    def escaped(c: Column) -> Column:
+        text = F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit(""))
+
+    return F.concat_ws("|", *[escaped(c) for c in cols])
 
 
 def entity_key(df: DataFrame, keys: list[str]) -> Column:

@@ -20,7 +20,7 @@ from tidemark.functions.times import epoch_seconds
 from tidemark.plans.sizes import Limits, scanned_bytes
 
 _VALUE = "__ft_number"
-_BUCKET = "__ft_bucket"
+_FOUND = "__ft_found"
 
 # A guess; see draw_sample.
 _BYTES_PER_ROW = 40
@@ -66,11 +66,11 @@ def with_range(df: DataFrame, value: Column, edges, name: str) -> DataFrame:
     bucketizer = Bucketizer(
         splits=[-math.inf, *edges, math.inf],
         inputCol=_VALUE,
-        outputCol=_BUCKET,
+        outputCol=_FOUND,
         handleInvalid="keep",
     )
     ranged = bucketizer.transform(df.withColumn(_VALUE, F.coalesce(value, F.lit(0.0))))
-    return ranged.withColumn(name, q(_BUCKET).cast("int")).drop(_VALUE, _BUCKET)
+    return ranged.withColumn(name, q(_FOUND).cast("int")).drop(_VALUE, _FOUND)
 
 
 def find_skew(points: DataFrame, keys: list[str], ts: str, limits: Limits) -> Skew | None:

@@ -40,13 +40,15 @@ class Snapshots:
 
     # -- the log ---------------------------------------------------------------
 
-    def log(self, view: str | None = None) -> DataFrame:
-        """Every load so far, oldest first by ``seq``."""
+    def log(self, view: str) -> DataFrame:
+        """Every load of a view so far.  Short, so it is read as one partition."""
+        return self._log(f"{self.root}/_loads/{view}").coalesce(1)
+
+    def _log(self, folder: str) -> DataFrame:
         try:
-            df = self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/_loads")
+            return self.spark.read.schema(_LOG_SCHEMA).json(folder)
         except AnalysisException:
-            df = self.spark.createDataFrame([], _LOG_SCHEMA)
-        return df if view is None else df.filter(F.col("view") == view)
+            return self.spark.createDataFrame([], _LOG_SCHEMA)
 
     def intervals(self, view: str) -> DataFrame:
         """Time ranges loaded into a view, in load order."""
@@ -74,7 +76,8 @@ class Snapshots:
 
     def views(self) -> list[str]:
         """Names of views that have been loaded at least once."""
-        return [r["view"] for r in self.log().select("view").distinct().collect()]
+        loads = self._log(f"{self.root}/_loads/*")
+        return [r["view"] for r in loads.select("view").distinct().collect()]
 
     def _record(self, view, version, covers=(), start=None, end=None, at=None, seq=None) -> None:
         entry = {
@@ -87,7 +90,7 @@ class Snapshots:
             "recorded_at": _moment(at),
         }
         row = self.spark.range(0, 1, 1, 1).select(*[c.alias(n) for n, c in entry.items()])
-        row.write.mode("append").json(f"{self.root}/_loads")
+        row.write.mode("append").json(f"{self.root}/_loads/{view}")
 
     # -- writing ---------------------------------------------------------------
 
