@@ -141,6 +141,29 @@ def test_zoned_and_zoneless_times_meet_in_utc(spark):
     assert hit["value"] == 1
 
 
+@pytest.mark.parametrize("spine_key,feature_key", [("int", "bigint"), ("bigint", "int"), ("bigint", "string"), ("string", "string")])
+def test_key_types_may_differ(spark, spine_key, feature_key):
+    spine, features = random_rows(seed=31)
+    s = spark.createDataFrame(spine, SPINE).withColumn("key", F.col("key").cast(spine_key))
+    f = spark.createDataFrame(features, FEATURES).withColumn("key", F.col("key").cast(feature_key))
+    for plan, limits in (("window", Limits()), ("points", Limits()), ("sliced", TINY)):
+        df = asof_join(s, "ts", [side(f)], plan, limits)
+        assert df.schema["key"].dataType.simpleString() == spine_key
+        got = joined(df.withColumn("key", F.col("key").cast("bigint")))
+        assert got == Counter(naive_asof(spine, features))
+
+
+def test_dates_as_spine_and_feature_times(spark):
+    spine = spark.sql("SELECT 1L AS key, date'2024-01-02' AS ts, 0L AS row_id")
+    features = spark.createDataFrame([(1, hours(24), None, 1), (1, hours(25), None, 2)], FEATURES)
+    for plan in ("window", "points"):
+        row = asof_join(spine, "ts", [side(features)], plan).first()
+        assert row["hit"]["value"] == 1 and str(row["ts"]) == "2024-01-02"
+    by_date = features.withColumn("ets", F.col("ets").cast("date"))
+    late = spark.createDataFrame([(1, hours(24.5), 0)], SPINE)
+    assert asof_join(late, "ts", [side(by_date)]).first()["hit"]["value"] == 2
+
+
 def test_views_sharing_keys_share_a_shuffle(spark, capsys):
     spine, features = random_rows(seed=9)
     f = spark.createDataFrame(features, FEATURES)

@@ -91,12 +91,6 @@ def age_limit(ts: Column, ttl: timedelta) -> Column:
     return ts - F.lit(ttl)
 
 
-def within_age(event: Column, ts: Column, ttl: timedelta | None) -> Column:
-    """``event`` is not after ``ts`` and, with a TTL, not older than it allows."""
-    ok = event <= ts
-    return ok if not ttl else ok & (event >= age_limit(ts, ttl))
-
-
 def seconds_of(col: Column) -> Column:
     """Whole seconds since 1970 of a zoned timestamp; fractions are cut off."""
     return F.unix_seconds(col)

@@ -25,12 +25,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import all_not_null, orderable, q
-from tidemark.functions.times import align, is_time, within_age
+from tidemark.functions.times import age_limit, align, is_time
 from tidemark.operators.latest import latest_per_key
 from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, is_small
 from tidemark.plans.skew import Skew, find_skew, is_hot, with_slice
@@ -39,7 +41,6 @@ from tidemark.plans.skew import Skew, find_skew, is_hot, with_slice
 _TS = "__ft_ts"
 _FLAG = "__ft_flag"
 _CREATED = "__ft_created"
-_ROW = "__ft_row"
 _SLICE = "__ft_slice"
 _FEATURE, _SPINE = 0, 1
 
@@ -112,39 +113,67 @@ def _join_group(
     ``spine`` may already carry the structs of other sides; ``given`` is the caller's
     spine, which has the same rows and is cheaper to look at.
     """
-    keys = [f"__ft_k{i}" for i in range(len(spine_keys))]
     if plan == "points":
-        return _join_points(spine, ts, spine_keys, sides, "window", None, limits)
-
+        return _join_points(spine, ts, spine_keys, sides, None)
+    keys = _key_types(spine, spine_keys, sides)
     features = [_feature_rows(side, keys, spine.schema[ts].dataType) for side in sides]
-    rows = _spine_rows(spine, ts, spine_keys, keys)
     skew = None
     if plan == "sliced" or (plan == "auto" and not is_small(limits, given, *[s.df for s in sides])):
         both = _spine_rows(given, ts, spine_keys, keys).select(*keys, _TS)
         for feature in features:
             both = both.unionByName(feature.select(*keys, _TS))
-        skew = find_skew(both, keys, _TS, limits)
+        skew = find_skew(both, list(keys), _TS, limits)
         if skew is not None and skew.tied:
-            return _join_points(spine, ts, spine_keys, sides, "sliced", skew, limits)
-    return _fill(rows, features, keys, sides, skew)
+            return _join_points(spine, ts, spine_keys, sides, skew)
+    return _fill(spine, ts, spine_keys, keys, features, sides, skew)
+
+
+def _key_types(
+    spine: DataFrame, spine_keys: tuple[str, ...], sides: list[AsofSide]
+) -> dict[str, T.DataType]:
+    """Internal key columns and the types in which all tables compare their keys."""
+    names = [f"__ft_k{i}" for i in range(len(spine_keys))]
+    tables = [spine.select(*[q(s).alias(n) for s, n in zip(spine_keys, names)])]
+    for side in sides:
+        tables.append(side.df.select(*[q(f).alias(n) for (_, f), n in zip(sorted(side.keys), names)]))
+    return {f.name: f.dataType for f in reduce(DataFrame.union, tables).schema}
+
+
+def _time_type(dtype: T.DataType) -> T.DataType:
+    """Type in which times are compared: dates count as their first moment."""
+    return T.TimestampNTZType() if isinstance(dtype, T.DateType) else dtype
 
 
 def _spine_rows(
-    spine: DataFrame, ts: str, spine_keys: tuple[str, ...], keys: list[str]
+    spine: DataFrame, ts: str, spine_keys: tuple[str, ...], keys: dict[str, T.DataType]
 ) -> DataFrame:
+    """Key, time and flag of the spine rows, and those columns they cannot be read off."""
+    dtype = spine.schema[ts].dataType
+    restored = _restored(spine, ts, spine_keys, keys)
     return spine.select(
-        *[q(s).alias(k) for s, k in zip(spine_keys, keys)],
-        q(ts).alias(_TS),
+        *[q(s).cast(keys[k]).alias(k) for s, k in zip(spine_keys, keys)],
+        align(q(ts), dtype, _time_type(dtype)).alias(_TS),
         F.lit(_SPINE).alias(_FLAG),
-        F.struct(*[q(c) for c in spine.columns]).alias(_ROW),
+        *[q(c) for c in spine.columns if c not in restored],
     )
 
 
-def _feature_rows(side: AsofSide, keys: list[str], spine_time) -> DataFrame:
+def _restored(
+    spine: DataFrame, ts: str, spine_keys: tuple[str, ...], keys: dict[str, T.DataType]
+) -> dict[str, str]:
+    """Spine columns that equal an internal column, so need not be carried twice."""
+    same = {s: k for s, k in zip(spine_keys, keys) if spine.schema[s].dataType == keys[k]}
+    if not isinstance(spine.schema[ts].dataType, T.DateType):
+        same[ts] = _TS
+    return same
+
+
+def _feature_rows(side: AsofSide, keys: dict[str, T.DataType], spine_time) -> DataFrame:
     """Feature rows in the layout of the union; rows that can never match are left out."""
     schema = side.df.schema
+    spine_time = _time_type(spine_time)
     event = align(q(side.ts), schema[side.ts].dataType, spine_time)
-    columns = [q(f).alias(k) for (_, f), k in zip(sorted(side.keys), keys)]
+    columns = [q(f).cast(keys[k]).alias(k) for (_, f), k in zip(sorted(side.keys), keys)]
     columns += [event.alias(_TS), F.lit(_FEATURE).alias(_FLAG)]
     if side.created is not None:
         created = q(side.created)
@@ -162,25 +191,36 @@ def _sort_order(df: DataFrame, sides: list[AsofSide]) -> list[Column]:
     order = [q(c) for c in (_TS, _FLAG, *_recency(df, _CREATED))]
     for side in sides:
         fields = df.schema[side.name].dataType.fields
-        order += [q(side.name).getField(f.name) for f in fields if orderable(f.dataType)]
+        order += [
+            q(side.name).getField(f.name)
+            for f in fields
+            if f.name != EVENT_TIME and orderable(f.dataType)
+        ]
     return order
 
 
 def _fill(
-    rows: DataFrame,
+    spine: DataFrame,
+    ts: str,
+    spine_keys: tuple[str, ...],
+    key_types: dict[str, T.DataType],
     features: list[DataFrame],
-    keys: list[str],
     sides: list[AsofSide],
     skew: Skew | None,
 ) -> DataFrame:
     """Union everything, carry the last feature row forward, keep the spine rows."""
-    if skew is not None:
-        features = [_with_carry(f, keys, side, skew) for f, side in zip(features, sides)]
+    keys = list(key_types)
+    rows = _spine_rows(spine, ts, spine_keys, key_types)
+    restored = _restored(spine, ts, spine_keys, key_types)
+    if skew is None:
+        rows = rows.withColumn(_SLICE, F.lit(-1))
+        features = [f.withColumn(_SLICE, F.lit(-1)) for f in features]
+    else:
         rows = _assign_slice(rows, keys, skew)
-    union = rows
+        features = [_with_carry(f, keys, side, skew) for f, side in zip(features, sides)]
+    union = _spread_unmatched(rows, keys)
     for feature in features:
         union = union.unionByName(feature, allowMissingColumns=True)
-    union = union.withColumn(_SLICE, _spread_null_keys(keys, skew))
 
     window = (
         Window.partitionBy(*keys, _SLICE)
@@ -189,29 +229,25 @@ def _fill(
     )
     # The struct is what counts as null or not, so a null feature value of the latest
     # row stays null instead of falling back to an older row.
-    filled = union.select(
-        _FLAG,
-        _TS,
-        _ROW,
-        *[F.last(q(s.name), ignorenulls=True).over(window).alias(s.name) for s in sides],
+    filled = union.withColumns(
+        {s.name: F.last(q(s.name), ignorenulls=True).over(window) for s in sides}
     ).filter(q(_FLAG) == _SPINE)
-    hits = [
-        F.when(within_age(q(s.name).getField(EVENT_TIME), q(_TS), s.ttl), q(s.name)).alias(s.name)
-        for s in sides
-    ]
-    return filled.select(f"{_ROW}.*", *hits)
+    # Only feature rows up to the spine row's time come before it; their age is left.
+    hits = []
+    for s in sides:
+        fresh = q(s.name).getField(EVENT_TIME) >= age_limit(q(_TS), s.ttl) if s.ttl else F.lit(True)
+        hits.append(F.when(fresh, q(s.name)).alias(s.name))
+    return filled.select(*[q(restored.get(c, c)).alias(c) for c in spine.columns], *hits)
 
 
-def _spread_null_keys(keys: list[str], skew: Skew | None) -> Column:
-    """Slice number; spine rows with a null key match nothing and stay where they are.
+def _spread_unmatched(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Give spine rows with a null key or time, which match nothing, slices of their own.
 
     They get the number of the partition that read them, so that many of them do not
     end up in one group.  The number is the same when a lost task is run again.
     """
-    known = q(_SLICE) if skew is not None else F.lit(-1)
-    if not keys:
-        return known
-    return F.when(all_not_null(keys), known).otherwise(-2 - F.spark_partition_id())
+    known = F.when(all_not_null([*keys, _TS]), q(_SLICE))
+    return rows.withColumn(_SLICE, known.otherwise(-2 - F.spark_partition_id()))
 
 
 def _assign_slice(df: DataFrame, keys: list[str], skew: Skew) -> DataFrame:
@@ -248,9 +284,7 @@ def _join_points(
     ts: str,
     spine_keys: tuple[str, ...],
     sides: list[AsofSide],
-    plan: str,
     skew: Skew | None,
-    limits: Limits,
 ) -> DataFrame:
     """As-of join of the distinct (key, time) points, joined back on those columns."""
     point_ts = "__ft_pt"
@@ -260,16 +294,13 @@ def _join_points(
         .select(*[q(s).alias(p) for s, p in zip(spine_keys, point_keys)], q(ts).alias(point_ts))
         .distinct()
     )
-    keys = [f"__ft_k{i}" for i in range(len(spine_keys))]
+    keys = _key_types(spine, spine_keys, sides)
     time_type = spine.schema[ts].dataType
     features = [
         latest_per_key(rows, [*keys, _TS], _recency(rows, _CREATED))
         for rows in (_feature_rows(side, keys, time_type) for side in sides)
     ]
-    rows = _spine_rows(points, point_ts, tuple(point_keys), keys)
-    if plan == "sliced" and skew is None:
-        skew = find_skew(rows.select(*keys, _TS), keys, _TS, limits)
-    hits = _fill(rows, features, keys, sides, skew)
+    hits = _fill(points, point_ts, tuple(point_keys), keys, features, sides, skew)
     condition = q(ts) == q(point_ts)
     for s, p in zip(spine_keys, point_keys):
         condition = condition & (q(s) == q(p))

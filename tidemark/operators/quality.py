@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tidemark.errors import ValidationFailed
 from tidemark.functions.columns import q
 from tidemark.functions.times import is_time
+from tidemark.operators.latest import latest_per_key
 from tidemark.operators.quantiles import exact_quantiles
 
 # Names of the checks: fixed values.
@@ -296,7 +297,13 @@ def _listable(dtype: T.DataType) -> bool:
 def consistency_report(
     training: DataFrame, looked_up: DataFrame, keys: list[str], features: list[str]
 ) -> DataFrame:
-    """Per feature: rows compared, and rows whose two values differ (null equals null)."""
+    """Per feature: training rows compared, and rows whose two values differ.
+
+    Null equals null.  Repeated lookups of a key are taken together first, so that the
+    join never multiplies rows.
+    """
+    looked_up = looked_up.select(*[q(c) for c in [*keys, *features]])
+    looked_up = latest_per_key(looked_up, keys, [])
     renamed = looked_up.select(
         *[q(k) for k in keys], *[q(f).alias(f"__ft_other_{f}") for f in features]
     )
