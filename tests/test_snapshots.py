@@ -248,6 +248,23 @@ def test_push_source_feeds_its_views(spark):
         fs.push("other", rows)
 
 
+def test_pushed_pandas_rows_take_the_declared_types(spark):
+    import pandas as pd
+
+    fs = FeatureStore(spark)
+    view = FeatureView("v", ["driver"], None, [Feature("n", "int"), Feature("x", "float")])
+    fs.apply(DRIVER, view)
+    rows = pd.DataFrame({"driver_id": [1], "n": [5], "x": [0.5], "event_timestamp": [hours(0)]})
+    fs.write_to_online_store("v", rows, now=hours(1))
+    fs.write_to_online_store("v", rows.assign(n=6, event_timestamp=hours(2)), now=hours(3))
+    stored = fs.snapshots.read("v", ["driver_id"])
+    assert [stored.schema[c].dataType.simpleString() for c in ("driver_id", "n", "x")] == ["bigint", "int", "float"]
+    row = stored.first()
+    assert (row["n"], row[EVENT_TS]) == (6, hours(2))
+    with pytest.raises(TidemarkError):
+        fs.write_to_online_store("v", rows.assign(n="text"), now=hours(1))
+
+
 def test_repeated_stream_batch_replaces_itself(spark):
     fs = make_store(spark, [])
     rows = spark.createDataFrame([(1, hours(0), None, "a")], SCHEMA)
@@ -266,7 +283,7 @@ def test_stream_restarts_and_new_streams_lose_nothing(spark, tmp_path):
 
     def run(checkpoint):
         stream = spark.readStream.schema(SCHEMA).parquet(folder)
-        fs.push_stream("stats", stream, str(tmp_path / checkpoint), now=hours(9)).awaitTermination()
+        fs.push_stream("stats", str(tmp_path / checkpoint), stream, now=hours(9)).awaitTermination()
 
     feed(1, 1, "a")
     run("c1")

@@ -75,6 +75,28 @@ def fits(have: T.DataType, want: T.DataType) -> bool:
     return names[0] == names[1] or names in _WIDER
 
 
+def castable(have: T.DataType, want: T.DataType) -> bool:
+    """Whether rows handed in with type ``have`` may be cast to the declared ``want``.
+
+    Numbers of one family may narrow; a value that does not fit then fails the job.
+    """
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return castable(have.elementType, want.elementType)
+    families = (T.IntegralType, T.FractionalType)
+    return fits(have, want) or any(isinstance(have, f) and isinstance(want, f) for f in families)
+
+
+def to_declared(df: DataFrame, declared: dict[str, T.DataType], where: str) -> DataFrame:
+    """Cast columns to their declared types; raises if a type contradicts its declaration."""
+    wrong = [n for n, t in declared.items() if not castable(df.schema[n].dataType, t)]
+    if wrong:
+        have = {n: df.schema[n].dataType.simpleString() for n in wrong}
+        raise TypeMismatch(f"{where}: {have} do not fit the declared types")
+    return df.withColumns(
+        {n: q(n).cast(t) for n, t in declared.items() if df.schema[n].dataType != t}
+    )
+
+
 def check_declared(df: DataFrame, declared: dict[str, T.DataType], where: str) -> None:
     """Raise if a column's type contradicts its declaration.  Reads only the schema."""
     wrong = [

@@ -59,10 +59,8 @@ def online(
         name = structs[view_key(item.view)] = f"__ft_v{i}"
         keys = list(join_keys(item.view, entities))
         stored_keys = [s for _, s in keys] or [DUMMY_KEY]
-        found = snapshots.read(item.view.name, stored_keys, None, key_ttl, now)
-        if few and keys and found is not None and not is_small(limits, found):
-            only = request_keys(requests, keys)
-            found = snapshots.read(item.view.name, stored_keys, only, key_ttl, now)
+        only = request_keys(requests, keys) if few and keys else None
+        found = snapshots.read(item.view.name, stored_keys, only, limits, key_ttl, now)
         rows = _columns(joined, found, item.view, list(item.names), keys)
         joined = lookup(joined, rows, keys, name)
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import q
 from tidemark.functions.times import time_literal, to_utc
 from tidemark.operators.latest import CREATED_TS, EVENT_TS, WRITTEN_AT, latest_per_key
-from tidemark.plans.sizes import estimated_bytes
+from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, estimated_bytes, is_small
 
 _LOG_SCHEMA = (
     "view string, version string, seq bigint, covers array<string>, "
@@ -177,35 +177,39 @@ class Snapshots:
         view: str,
         keys: list[str],
         only: DataFrame | None = None,
+        limits: Limits = DEFAULT_LIMITS,
         key_ttl: timedelta | None = None,
         now: datetime | None = None,
     ) -> DataFrame | None:
         """One row per key, or None if nothing was ever loaded.
 
-        ``only`` is a DataFrame of keys to look at; other keys are left out before folders
-        are merged, which pays off where the keys are few and the snapshot is large.
+        ``only`` holds the few keys that will be looked at.  Where the snapshot is not
+        small, other keys are left out before folders are merged.
         """
-        merged = self._merged(view, self.versions(view), keys, only)
+        merged = self._merged(view, self.versions(view), keys, only, limits)
         if merged is not None and key_ttl:
             merged = unexpired(merged, key_ttl, now)
         return merged
 
     def _merged(
-        self, view: str, live: list[Row], keys: list[str], only: DataFrame | None = None
+        self,
+        view: str,
+        live: list[Row],
+        keys: list[str],
+        only: DataFrame | None = None,
+        limits: Limits = DEFAULT_LIMITS,
     ) -> DataFrame | None:
         if not live:
             return None
-        parts = []
-        for age, row in enumerate(live):
-            part = self.spark.read.parquet(self._folder(view, row["version"]))
-            if only is not None:
-                part = part.join(only, keys, "left_semi")
-            # On equal times the row written first stays: a greater number is older.
-            parts.append(part.withColumn(_AGE, F.lit(len(live) - age)))
+        parts = [self.spark.read.parquet(self._folder(view, row["version"])) for row in live]
+        if only is not None and not is_small(limits, *parts):
+            parts = [part.join(only, keys, "left_semi") for part in parts]
         if len(parts) == 1:
-            return parts[0].drop(_AGE)
-        union = parts[0]
-        for part in parts[1:]:
+            return parts[0]
+        # On equal times the row written first stays: a greater number is older.
+        aged = [p.withColumn(_AGE, F.lit(len(parts) - i)) for i, p in enumerate(parts)]
+        union = aged[0]
+        for part in aged[1:]:
             union = union.unionByName(part, allowMissingColumns=True)
         return latest_per_key(union, keys, [EVENT_TS, CREATED_TS, _AGE]).drop(_AGE)
 

@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DataType
 
 from tidemark.datasets import (
     FileStorage,
@@ -41,7 +42,7 @@ from tidemark.errors import (
 )
 from tidemark.functions.columns import all_not_null
 from tidemark.functions.times import to_utc
-from tidemark.functions.types import check_declared
+from tidemark.functions.types import check_declared, to_declared
 from tidemark.operators.latest import CREATED_TS, EVENT_TS, latest_per_key, pull_all, pull_latest
 from tidemark.operators.quality import Profiler
 from tidemark.plans.historical import historical, join_keys
@@ -54,7 +55,7 @@ from tidemark.snapshots import Snapshots
 from tidemark.sources.batch import BatchSource
 from tidemark.sources.inference import entity_type, feature_columns
 from tidemark.sources.spine import as_spine, infer_spine_time
-from tidemark.sources.streams import PushSource
+from tidemark.sources.streams import PushSource, StreamSource
 from tidemark.streaming.push import push_stream
 
 Definition = Entity | AnyView | FeatureService | BatchSource | PushSource
@@ -291,6 +292,7 @@ class FeatureStore:
     def _materialize(self, view, start, end, now, closed) -> None:
         ts, created, keys, values = self._roles(view)
         df = view.source.load(self.spark, start, end, closed).filter(all_not_null(keys))
+        df = to_declared(df, self._declared(view), f"view {view.name!r}")
         rows = snapshot_rows(pull_latest(df, keys, values, ts, created), keys, values, ts, created)
         self.snapshots.add(
             view.name, rows, keys or [DUMMY_KEY], to_utc(now or _utc_now()), start, end
@@ -312,8 +314,7 @@ class FeatureStore:
         missing = {*keys, *values, ts} - set(df.columns)
         if missing:
             raise SourceValidationError(f"pushed rows lack columns {sorted(missing)}")
-        check_declared(df, {f.name: f.dtype for f in v.features}, f"view {view!r}")
-        df = df.filter(all_not_null([*keys, ts]))
+        df = to_declared(df, self._declared(v), f"view {view!r}").filter(all_not_null([*keys, ts]))
         flat = snapshot_rows(df, keys, values, ts, created)
         stored = keys or [DUMMY_KEY]
         newest = latest_per_key(flat, stored, [EVENT_TS, CREATED_TS])
@@ -332,12 +333,17 @@ class FeatureStore:
     def push_stream(
         self,
         view: str,
-        stream: DataFrame,
         checkpoint: str,
+        stream: DataFrame | None = None,
         trigger: dict | None = None,
         now: datetime | None = None,
     ) -> StreamingQuery:
-        """Keep a view's snapshot up to date from a stream."""
+        """Keep a view's snapshot up to date from a stream, by default its stream source."""
+        if stream is None:
+            source = self._feature_view(view).stream_source
+            if not isinstance(source, StreamSource):
+                raise TidemarkError(f"view {view!r} has no stream source")
+            stream = source.read_stream(self.spark)
 
         def push(batch: DataFrame, version: str) -> None:
             self.write_to_online_store(view, batch, now, version)
@@ -411,6 +417,15 @@ class FeatureStore:
         ts = source.mapped(source.event_timestamp_column)
         return ts, source.mapped(source.created_timestamp_column), keys, values
 
+    def _declared(self, view: FeatureView) -> dict[str, DataType]:
+        """Types of a view's snapshot columns, the same for every load."""
+        declared = {f.name: f.dtype for f in view.features}
+        for name in view.entities:
+            entity = self._entities[name]
+            if entity.value_type is not None:
+                declared[entity.join_key] = entity.value_type
+        return declared
+
     def _push_times(self, view: FeatureView, df: DataFrame) -> tuple[str, str | None]:
         for source in (view.stream_source, view.source):
             event = getattr(source, "event_timestamp_column", None)

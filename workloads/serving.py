@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,10 +66,7 @@ def push_newer_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
         created_timestamp_column="created",
     )
     view = v.last_event(sf_dir)
-    fed = FeatureView(
-        view.name, view.entities, view.source, view.features, stream_source=push
-    )
-    fs = v.store(spark, push, fed)
+    fs = v.store(spark, push, replace(view, stream_source=push))
     fs.push("app_events", _pushed_events(spark, sf_dir, "signup", "error"), now=MIDDLE)
     fs.materialize(FIRST, MIDDLE, now=LATE)
     fs.push("app_events", _pushed_events(spark, sf_dir, "click"), now=LATE)
@@ -202,7 +200,7 @@ def stream_push(spark: SparkSession, sf_dir: str) -> DataFrame:
     fs = v.store(spark, v.last_event(sf_dir))
     fs.materialize(FIRST, MIDDLE, now=v.NOW)
     checkpoint = shared_folder(spark, "stream-push")
-    query = fs.push_stream("last_event", _event_stream(spark, sf_dir), checkpoint, now=v.NOW)
+    query = fs.push_stream("last_event", checkpoint, _event_stream(spark, sf_dir), now=v.NOW)
     query.awaitTermination()
     return _rows(fs, "last_event", ["user_id"])
 
@@ -226,9 +224,8 @@ def stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ts timestamp_ntz, created timestamp_ntz, event_id bigint"
         ),
     )
-    fs = v.store(spark, v.last_event(sf_dir))
-    checkpoint = shared_folder(spark, "stream-json")
-    query = fs.push_stream("last_event", source.read_stream(spark), checkpoint, now=v.NOW)
+    fs = v.store(spark, replace(v.last_event(sf_dir), stream_source=source))
+    query = fs.push_stream("last_event", shared_folder(spark, "stream-json"), now=v.NOW)
     query.awaitTermination()
     return _rows(fs, "last_event", ["user_id"])
 
