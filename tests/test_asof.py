@@ -45,7 +45,9 @@ def test_against_plain_scan(spark, plan, limits, ttl):
     assert got == Counter(naive_asof(spine, features, ttl))
 
 
-@pytest.mark.parametrize("plan,limits", [("window", Limits()), ("points", Limits()), ("sliced", TINY)])
+@pytest.mark.parametrize("plan,limits", [
+    ("window", Limits()), ("points", Limits()), ("sliced", TINY), ("auto", Limits()), ("auto", TINY),
+])
 @pytest.mark.parametrize("ttl", [None, timedelta(hours=3)])
 def test_without_keys(spark, plan, limits, ttl):
     spine, features = random_rows(seed=5)

@@ -138,7 +138,8 @@ def test_exact_quantiles(spark, limits):
     rows = [(v,) for v in values] + [(None,)] * 7
     df = spark.createDataFrame(rows, "x double").repartition(5)
     wanted = [0.0, 0.01, 0.25, 0.5, 0.333, 0.9, 1.0]
-    got = exact_quantiles(df, "x", wanted, limits).first()["quantiles"]
+    found = exact_quantiles(df, "x", wanted, limits)
+    got = found.first()["quantiles"]
     assert got == [float(np.quantile(values, p, method="nearest")) for p in wanted]
 
 

@@ -35,7 +35,7 @@ from tidemark.functions.columns import all_not_null, orderable, q
 from tidemark.functions.times import age_limit, align, is_time
 from tidemark.operators.latest import latest_per_key
 from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, is_small
-from tidemark.plans.skew import Skew, find_skew, is_hot, with_slice
+from tidemark.plans.skew import Skew, cut_time_line, find_skew, is_hot, with_slice
 
 # Internal columns; the prefix keeps them clear of user columns.
 _TS = "__ft_ts"
@@ -118,16 +118,25 @@ def _join_group(
     keys = _key_types(spine, spine_keys, sides)
     features = [_feature_rows(side, keys, spine.schema[ts].dataType) for side in sides]
     skew = None
-    if plan == "sliced" or (plan == "auto" and not is_small(limits, given, *[s.df for s in sides])):
+    if _may_be_skewed(plan, keys, limits, given, sides):
         both = _spine_rows(given, ts, spine_keys, keys).select(*keys, _TS)
         for feature in features:
             both = both.unionByName(feature.select(*keys, _TS))
-        skew = find_skew(both, list(keys), _TS, limits)
+        if keys:
+            skew = find_skew(both, list(keys), _TS, limits)
+        else:
+            skew = cut_time_line(both, _TS, limits)
         if skew is not None and skew.tied:
             return _join_points(spine, ts, spine_keys, sides, skew)
     return _fill(spine, ts, spine_keys, keys, features, sides, skew)
 
 
+def _may_be_skewed(plan, keys, limits: Limits, spine: DataFrame, sides: list[AsofSide]) -> bool:
+    if plan != "auto":
+        return plan == "sliced"
+    return not keys or not is_small(limits, spine, *[s.df for s in sides])
+
+
 def _key_types(
     spine: DataFrame, spine_keys: tuple[str, ...], sides: list[AsofSide]
 ) -> dict[str, T.DataType]:

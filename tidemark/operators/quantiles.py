@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import q
-from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, is_small
-from tidemark.plans.skew import draw_sample, quantile_edges, with_range
+from tidemark.plans.sizes import DEFAULT_LIMITS, Limits
+from tidemark.plans.skew import range_edges, with_range
 
 _VALUE, _COUNT, _BUCKET = "__ft_value", "__ft_count", "__ft_bucket"
 
@@ -20,13 +18,13 @@ def exact_quantiles(
     """One row with ``quantiles``: the value at rank ``round((n - 1) * p)`` for each p.
 
     Half ranks round to the even one.  Nulls do not count.  Equal values are counted
-    before the shuffle; the distinct values are cut into ranges (by a sample, when the
-    column is large), ranges are added up on their own, and a running total over the
-    few ranges tells where each one starts.
+    before the shuffle; the distinct values are cut into ranges at approximate quantiles,
+    ranges are added up on their own, and a running total over the few ranges tells
+    where each one starts.
     """
     values = df.select(q(column).alias(_VALUE)).filter(q(_VALUE).isNotNull())
     counts = values.groupBy(_VALUE).agg(F.count(F.lit(1)).alias(_COUNT))
-    edges = _range_edges(values, limits)
+    edges = range_edges(values, _VALUE, limits)
     counts = with_range(counts, q(_VALUE).cast("double"), edges, _BUCKET)
 
     ranges = counts.groupBy(_BUCKET).agg(F.sum(_COUNT).alias("__ft_size"))
@@ -50,16 +48,3 @@ def exact_quantiles(
         rank = F.bround((q("__ft_total") - 1) * F.lit(float(p)), 0)
         picked.append(F.max(F.when((rank >= first) & (rank < last), q(_VALUE))))
     return ranked.agg(F.array(*picked).alias("quantiles"))
-
-
-def _range_edges(values: DataFrame, limits: Limits) -> list[float]:
-    """Where to cut a large column into ranges; none for a small one."""
-    if is_small(limits, values):
-        return []
-    sample, rows, fraction = draw_sample(values, limits)
-    try:
-        n = min(limits.max_slices, math.ceil(rows / fraction / limits.group_rows))
-        edges = quantile_edges(sample, q(_VALUE).cast("double"), n) if n > 1 else []
-    finally:
-        sample.unpersist()
-    return sorted(set(edges))

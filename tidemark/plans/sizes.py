@@ -13,13 +13,15 @@ class Limits:
 
     small_bytes    inputs estimated below this may meet in a single group
     group_rows     rows one window group should not exceed by much
-    max_slices     most time slices a hot key is cut into
+    min_slices     parts a time line or a column is cut into at least
+    max_slices     most parts a hot key, a time line or a column is cut into
     sample_rows    rows looked at when searching for hot keys and slice edges
     max_hot_keys   1 / the smallest share of all rows that makes a key hot
     """
 
     small_bytes: int = 256 * 1024 * 1024
     group_rows: int = 5_000_000
+    min_slices: int = 16
     max_slices: int = 4096
     sample_rows: int = 4_000_000
     max_hot_keys: int = 20_000

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_not_null, q
 from tidemark.functions.times import epoch_seconds
-from tidemark.plans.sizes import Limits, scanned_bytes
+from tidemark.plans.sizes import Limits, is_small, scanned_bytes
 
 _VALUE = "__ft_number"
 _FOUND = "__ft_found"
@@ -85,29 +85,62 @@ def find_skew(points: DataFrame, keys: list[str], ts: str, limits: Limits) -> Sk
         total = rows / fraction
         if total <= limits.group_rows:
             return None
-        if keys:
-            share = max(limits.group_rows / total, 1.0 / limits.max_hot_keys)
-            counts = (
-                sample.select(F.xxhash64(*[q(k) for k in keys]).alias("h"))
-                .groupBy("h")
-                .count()
-                .filter(F.col("count") >= share * rows)
-                .collect()
-            )
-            if not counts:
-                return None
-            skew = Skew(tuple(sorted(r["h"] for r in counts)), ())
-            largest = max(r["count"] for r in counts) / fraction
-        else:
-            skew = Skew(None, ())
-            largest = total
-        n = min(limits.max_slices, max(2, math.ceil(largest / limits.group_rows)))
-        hot = sample.filter(is_hot(keys, skew) & q(ts).isNotNull())
-        found = quantile_edges(hot, epoch_seconds(q(ts), points.schema[ts].dataType), n)
+        share = max(limits.group_rows / total, 1.0 / limits.max_hot_keys)
+        counts = (
+            sample.select(F.xxhash64(*[q(k) for k in keys]).alias("h"))
+            .groupBy("h")
+            .count()
+            .filter(F.col("count") >= share * rows)
+            .collect()
+        )
+        if not counts:
+            return None
+        hot = tuple(sorted(r["h"] for r in counts))
+        largest = max(r["count"] for r in counts) / fraction
+        rows_of_hot = sample.filter(is_hot(keys, Skew(hot, ())))
+        edges = _time_edges(rows_of_hot, ts, _parts(largest, 2, limits))
+    finally:
+        sample.unpersist()
+    return _cut(hot, edges)
+
+
+def cut_time_line(points: DataFrame, ts: str, limits: Limits) -> Skew:
+    """Slices for rows without keys, which would otherwise all meet in one group."""
+    if is_small(limits, points):
+        return _cut(None, _time_edges(points, ts, limits.min_slices))
+    sample, rows, fraction = draw_sample(points, limits)
+    try:
+        edges = _time_edges(sample, ts, _parts(rows / fraction, limits.min_slices, limits))
+    finally:
+        sample.unpersist()
+    return _cut(None, edges)
+
+
+def range_edges(values: DataFrame, column: str, limits: Limits) -> list[float]:
+    """Where to cut a numeric column into ranges of bounded size."""
+    as_double = q(column).cast("double")
+    if is_small(limits, values):
+        return sorted(set(quantile_edges(values, as_double, limits.min_slices)))
+    sample, rows, fraction = draw_sample(values, limits)
+    try:
+        n = _parts(rows / fraction, limits.min_slices, limits)
+        return sorted(set(quantile_edges(sample, as_double, n)))
     finally:
         sample.unpersist()
+
+
+def _parts(rows: float, least: int, limits: Limits) -> int:
+    return min(limits.max_slices, max(least, math.ceil(rows / limits.group_rows)))
+
+
+def _time_edges(df: DataFrame, ts: str, n: int) -> list[float]:
+    seconds = epoch_seconds(q(ts), df.schema[ts].dataType)
+    return quantile_edges(df.filter(q(ts).isNotNull()), seconds, n)
+
+
+def _cut(hot: tuple[int, ...] | None, found: list[float]) -> Skew:
     edges = tuple(sorted(set(found)))
-    return Skew(skew.hot, edges, tied=len(edges) < len(found))
+    return Skew(hot, edges, tied=len(edges) < len(found))
 
 
 def quantile_edges(df: DataFrame, value: Column, n: int) -> list[float]:
