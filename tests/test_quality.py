@@ -79,6 +79,7 @@ def test_collecting(job):
     _, retrieval = job
     assert len(retrieval.to_df()) == 10
     assert retrieval.to_arrow().num_rows == 10
+    assert sorted(r["id"] for r in retrieval.to_rows()) == list(range(10))
 
 
 def test_validation_against_a_saved_dataset(spark, job):

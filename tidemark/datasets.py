@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.errors import SavedDatasetNotFound
@@ -50,6 +51,10 @@ class Retrieval:
         self.validate(validation_reference)
         return self.df.toArrow()
 
+    def to_rows(self) -> Iterator[Row]:
+        """The rows one partition at a time, for results too large to collect."""
+        return self.df.toLocalIterator(prefetchPartitions=True)
+
     def validate(self, reference: Reference | None) -> None:
         """Check the rows on the executors; raises if an expectation is not met."""
         if reference is not None:

@@ -199,12 +199,13 @@ def _sort_order(df: DataFrame, sides: list[AsofSide]) -> list[Column]:
     """Order inside a group: time, features before spine rows, created, then values."""
     order = [q(c) for c in (_TS, _FLAG, *_recency(df, _CREATED))]
     for side in sides:
-        fields = df.schema[side.name].dataType.fields
-        order += [
-            q(side.name).getField(f.name)
-            for f in fields
-            if f.name != EVENT_TIME and orderable(f.dataType)
-        ]
+        # The struct as a whole where possible: one sort column however many features.
+        dtype = df.schema[side.name].dataType
+        if orderable(dtype):
+            order.append(q(side.name))
+        else:
+            known = [f.name for f in dtype.fields if orderable(f.dataType)]
+            order.append(F.struct(*[q(side.name).getField(n) for n in known]))
     return order
 
 

@@ -49,3 +49,9 @@ def status_counts(lookups: DataFrame, features: list[str], suffix: str = "__stat
         .groupBy("feature", "status")
         .agg(F.count(F.lit(1)).alias("requests"))
     )
+
+
+def request_sizes(lookups: DataFrame, request_id: str) -> DataFrame:
+    """How many requests asked for how many rows: (rows, requests)."""
+    per_request = lookups.groupBy(q(request_id)).agg(F.count(F.lit(1)).alias("rows"))
+    return per_request.groupBy("rows").agg(F.count(F.lit(1)).alias("requests"))

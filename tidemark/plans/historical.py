@@ -78,11 +78,11 @@ def finish(
     joined: DataFrame, keep: list[str], request: Request, feature_column
 ) -> DataFrame:
     """Apply on-demand views and select the requested outputs."""
-    transformed: dict[str, str] = {}
+    transformed: dict[str, dict[str, Column]] = {}
     for i, item in enumerate(request.on_demand()):
-        name = transformed[item.view.name_to_use] = f"__ft_t{i}"
         inputs = input_columns(item.view, feature_column, item.view.request_schema())
-        joined = with_on_demand(joined, item.view, inputs, name)
+        joined, found = with_on_demand(joined, item.view, inputs, f"__ft_t{i}")
+        transformed[item.view.name_to_use] = found
 
     outputs: list[Column] = []
     for view, feature, output in request.outputs():
@@ -90,7 +90,7 @@ def finish(
             if output != feature:
                 outputs.append(q(feature).alias(output))
         elif isinstance(view, OnDemandView):
-            outputs.append(q(transformed[view.name_to_use]).getField(feature).alias(output))
+            outputs.append(transformed[view.name_to_use][feature].alias(output))
         else:
             outputs.append(feature_column(view, feature).alias(output))
     return joined.select(*[q(c) for c in keep], *outputs)

@@ -28,13 +28,14 @@ def input_columns(view: OnDemandView, feature_column, request_columns: dict[str,
 
 
 def with_on_demand(
-    df: DataFrame, view: OnDemandView, inputs: dict[str, Column], struct_name: str
-) -> DataFrame:
-    """Add one struct column with the view's features."""
+    df: DataFrame, view: OnDemandView, inputs: dict[str, Column], prefix: str
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Add the view's features under internal names; returns where to find each of them."""
     if view.mode == "columns":
         result = view.fn(inputs)
-        values = [result[f.name].cast(f.dtype).alias(f.name) for f in view.features]
-        return df.withColumn(struct_name, F.struct(*values))
+        names = {f.name: f"{prefix}_{i}" for i, f in enumerate(view.features)}
+        added = {names[f.name]: result[f.name].cast(f.dtype) for f in view.features}
+        return df.withColumns(added), {n: q(internal) for n, internal in names.items()}
     fn = view.fn
     names = [f.name for f in view.features]
     schema = T.StructType([T.StructField(f.name, f.dtype) for f in view.features])
@@ -44,9 +45,11 @@ def with_on_demand(
         return fn(rows.copy())[names].reset_index(drop=True)
 
     transform.__annotations__ = {"rows": pd.DataFrame, "return": pd.DataFrame}
-    apply = F.pandas_udf(transform, returnType=schema)
+    # Declared non-deterministic so that it is evaluated once, where it stands, and the
+    # optimizer does not reason about its many inputs one by one.
+    apply = F.pandas_udf(transform, returnType=schema).asNondeterministic()
     packed = F.struct(*[c.alias(n) for n, c in inputs.items()])
-    return df.withColumn(struct_name, apply(packed))
+    return df.withColumn(prefix, apply(packed)), {n: q(prefix).getField(n) for n in names}
 
 
 def inferred(spark: SparkSession, view: OnDemandView) -> tuple[Feature, ...]:

@@ -409,6 +409,10 @@ ORACLES: dict[str, str] = {
             SELECT 'event_type' AS feature, {_status("f.event_type")} AS status {_LOOKUP_FROM})
         GROUP BY 1, 2
     """,
+    "lookup_sizes": """
+        SELECT rows, count(*) AS requests
+        FROM (SELECT count(*) AS rows FROM lineitem GROUP BY l_orderkey) GROUP BY 1
+    """,
     "odfv_arith": _pit(
         "round(f.value / 24, 6) AS per_hour, CAST(floor(f.value + 100) AS INTEGER) AS whole, "
         "f.value AS value"

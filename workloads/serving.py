@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import Feature, FeatureStore, FeatureView, PushSource, RequestSource, on_demand_view
 from tidemark.operators.latest import CREATED_TS, EVENT_TS
-from tidemark.operators.lookup import status_counts
+from tidemark.operators.lookup import request_sizes, status_counts
 from tidemark.session import shared_folder
 from tidemark.sources.streams import StreamSource
 from tidemark.streaming import drop_retries, latest_stream, push_stream
@@ -171,6 +171,15 @@ def status_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status_counts(found, ["value", "event_type"])
 
 
+def lookup_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookups of every order line's supplier, one request per order."""
+    fs = v.store(spark, v.supplier_daily(sf_dir))
+    fs.materialize(datetime(1990, 1, 1), datetime(2010, 1, 1), now=v.NOW)
+    requests = v.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    found = fs.get_online_features(["supplier_daily:day_lines"], requests, now=v.NOW)
+    return request_sizes(found, "l_orderkey")
+
+
 def odfv_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = _gappy(sf_dir)
     request = RequestSource("extra", {"to_add": "int"})
