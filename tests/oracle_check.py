@@ -45,7 +45,7 @@ def rows_of(arrow) -> tuple[list[str], dict[str, str], Counter]:
 def compare(df, con, sql: str) -> str:
     """Empty if equal, else what differs."""
     names, types, rows = rows_of(df.toArrow())
-    found = con.execute(sql).to_arrow_table()
+    found = con.sql(sql).to_arrow_table()
     other_names, other_types, other = rows_of(found)
     if names != other_names:
         return f"columns {names} != {other_names}"
