@@ -241,3 +241,19 @@ def test_map_values_are_carried(spark):
 def test_unknown_plan(spark):
     with pytest.raises(ValueError):
         asof_join(spark.range(1), "id", [], "other")
+
+
+def test_planning_time_does_not_explode_with_the_number_of_features(spark):
+    import time
+
+    names = [f"f{i}" for i in range(60)]
+    wide = spark.range(3).select(
+        F.col("id").alias("key"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("ets"),
+        *[(F.col("id") + i).alias(n) for i, n in enumerate(names)],
+    )
+    spine = spark.createDataFrame([(1, hours(1), 0)], SPINE).filter("ts > timestamp_ntz'2023-01-01'")
+    start = time.monotonic()
+    df = asof_join(spine, "ts", [AsofSide("hit", wide, "ets", tuple(names), (("key", "key"),))], "window")
+    row = df.select("key", *[F.col("hit").getField(n).alias(n) for n in names]).first()
+    assert row["f59"] == 60 and time.monotonic() - start < 60

@@ -29,6 +29,9 @@ class Limits:
 
 DEFAULT_LIMITS = Limits()
 
+# Spark's default size of an input without statistics lies far above this.
+_NO_ESTIMATE = 1 << 60
+
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a DataFrame, or None where there is none.
@@ -46,7 +49,8 @@ def scanned_bytes(df: DataFrame) -> int | None:
     if plans is None:
         return None
     leaves = plans.analyzed().collectLeaves()
-    return sum(_size(leaves.apply(i)) for i in range(leaves.size()))
+    sizes = [_size(leaves.apply(i)) for i in range(leaves.size())]
+    return None if any(size >= _NO_ESTIMATE for size in sizes) else sum(sizes)
 
 
 def _plans(df: DataFrame):
