@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import logging
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -15,6 +16,7 @@ def build_session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-tests-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
