@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.storage import stored
+
 PART_RATE = 16.0
 STEPS = 96  # the distribution function of mean 16 is 1 in doubles well before this step
 BROADCAST_SOURCES = 10_000
@@ -75,7 +77,7 @@ def mix(
         _steps(F.col("rate") / parts).alias("_steps"),
     )
     # The rates are few in practice; their number decides, and beyond it Spark joins by shuffle.
-    table = table.checkpoint()
+    table = stored(table, "rates")
     if table.count() <= BROADCAST_SOURCES:
         table = F.broadcast(table)
     name = F.coalesce(F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))

@@ -24,6 +24,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 
 from tidemark.llm import labelled
 from tidemark.llm.batches import annotate
+from tidemark.llm.storage import stored
 
 ROWS_PER_CLASS = 6000
 THRESHOLD = 0.5
@@ -215,7 +216,8 @@ def learn(
     documents reach the driver, of which there are fewer than words in the sample.
     A second pass over the sample fits the curve from weights and lengths.
     """
-    rows = labelled.sample(docs, labels, label, rows_per_class, "toxicity").select("text", "label").checkpoint()
+    sampled = labelled.sample(docs, labels, label, rows_per_class, "toxicity").select("text", "label")
+    rows = stored(sampled, "toxicity-sample")
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     size = (n.get(0, 0), n.get(1, 0))
     counted = rows.mapInArrow(_count_task, "form string, harmless long, toxic long").groupBy("form")
