@@ -36,3 +36,16 @@ def annotate(
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *new], names=names)
 
     return df.select(*kept, F.col(text).cast("string").alias(TEXT)).mapInArrow(run, schema)
+
+
+def kept_rows(
+    docs: DataFrame, annotated: Callable[[DataFrame, str, tuple[str, ...]], DataFrame], condition: str, text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that meet a condition on columns computed from their text.
+
+    ``annotated`` gets the rows under neutral names, with the name of the text and of all
+    columns to keep, so that no column of ``docs`` can clash with a computed one.
+    """
+    names = [f"__column{i}" for i in range(len(docs.columns))]
+    found = annotated(docs.toDF(*names), names[docs.columns.index(text)], tuple(names))
+    return found.filter(condition).select(*names).toDF(*docs.columns)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tidemark.llm import kernels
-from tidemark.llm.batches import TEXT, annotate
+from tidemark.llm.batches import TEXT, annotate, kept_rows
 
 Q = 12
 SEGMENT = 100
@@ -268,5 +268,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark text, all their columns unchanged."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = find(docs.drop("regions"), benchmark, keep=tuple(c for c in docs.columns if c != "regions"))
-    return found.filter(F.size("regions") == 0).select(*[c for c in docs.columns if c != "regions"])
+    return kept_rows(docs, lambda df, text, keep: find(df, benchmark, text, keep), "size(regions) = 0")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField
 
 from tidemark.llm import kernels
-from tidemark.llm.batches import annotate
+from tidemark.llm.batches import annotate, kept_rows
 
 GRAM = 4  # bytes of an n-gram
 BITS = 16  # n-grams are hashed to 2^BITS buckets
@@ -251,5 +251,4 @@ def identify(docs: DataFrame) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognisable language; texts without a letter go."""
     model = learn(docs.filter(training_row(F.col("doc_id"))))
-    out = predict(docs, model, keep=tuple(docs.columns))
-    return out.filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    return kept_rows(docs, lambda df, text, keep: predict(df, model, text, keep), f"lang_pred <> '{UNKNOWN}'")

@@ -99,6 +99,11 @@ def mix(
     return copies.repartition("mix_key").sortWithinPartitions("mix_key")
 
 
+def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated or dropped so that sources weigh as the roots of their sizes; two columns more."""
+    return mix(docs, source_rates(docs))
+
+
 def expected_steps(rate: float) -> list[float]:
     """The same steps in plain Python, for tests."""
     p = math.exp(-rate)

@@ -310,6 +310,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one of the smallest id."""
-    gone = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near-duplicates, the one of the smallest id.
+
+    Of rows that share an id the one of the first text in order stays; rows without id stay.
+    """
+    found = near_duplicates(docs).select("doc_id", "kept")
+    gone = found.filter("NOT kept").select("doc_id").distinct()
+    rest = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeated = stored(repeated, "repeated")
+    if repeated.isEmpty():
+        return rest
+    marked = rest.join(repeated.withColumn("__again", F.lit(True)), "doc_id", "left")
+    row = F.struct("text", *[c for c in docs.columns if c != "text"])
+    once = marked.filter("__again").groupBy("doc_id").agg(F.min(row).alias("__row")).select("__row.*")
+    return marked.filter("__again IS NULL").select(*docs.columns).unionByName(once)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import compression, decontamination, langid, licenses, lm, mixing, neardup, quality_rules, toxicity
+from tidemark.llm import compression, decontamination, htmltext, langid, licenses, lm, mixing, neardup, quality_rules, toxicity
 from tidemark.llm.columns import table
 
 
@@ -18,6 +18,10 @@ def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.evaluate(table(spark, sf_dir, "documents"))
 
 
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_kneser_ney": op2_kneser_ney,
+    "op3_html_main_text": op3_html_main_text,
     "op4_minhash_near_dup": op4_minhash_near_dup,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,

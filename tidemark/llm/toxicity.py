@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField
 
 from tidemark.llm import labelled
-from tidemark.llm.batches import annotate
+from tidemark.llm.batches import annotate, kept_rows
 from tidemark.llm.storage import stored
 
 ROWS_PER_CLASS = 6000
@@ -303,5 +303,4 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic, all their columns unchanged."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     lexicon = learn(docs, labels.filter(labelled.learning_row(F.col("doc_id"))))
-    out = predict(docs, lexicon, keep=tuple(docs.columns))
-    return out.filter("predicted = 0").select(*docs.columns)
+    return kept_rows(docs, lambda df, text, keep: predict(df, lexicon, text, keep), "predicted = 0")
