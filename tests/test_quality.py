@@ -163,8 +163,10 @@ def test_prepared_columns(spark):
 def test_consistency_report_counts_differences(spark):
     a = spark.createDataFrame([(1, 1.0, "x"), (2, None, "y")], "k int, v double, s string")
     b = spark.createDataFrame([(1, 2.0, "x"), (2, None, "y")], "k int, v double, s string")
-    rows = {r["feature"]: (r["compared"], r["different"]) for r in dq.consistency_report(a, b, ["k"], ["v", "s"]).collect()}
-    assert rows == {"v": (2, 1), "s": (2, 0)}
+    a = a.unionAll(spark.createDataFrame([(3, 1.0, "z")], a.schema))
+    report = dq.consistency_report(a, b, ["k"], ["v", "s"]).collect()
+    rows = {r["feature"]: (r["compared"], r["different"], r["missing"]) for r in report}
+    assert rows == {"v": (3, 1, 1), "s": (3, 0, 1)}
 
 
 def test_source_kinds_and_pushdown(spark, tmp_path, capsys):

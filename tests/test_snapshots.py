@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.frames import hours
 from tidemark import Entity, Feature, FeatureStore, FeatureView, FrameSource, PushSource
 from tidemark.definitions import DUMMY_KEY
-from tidemark.errors import MissingSpineColumns, SourceValidationError, TidemarkError
+from tidemark.errors import FeatureNameCollision, MissingSpineColumns, SourceValidationError, TidemarkError
 from tidemark.operators.latest import CREATED_TS, EVENT_TS, latest_per_key, merge_latest, pull_latest
 from tidemark.operators.lookup import request_keys
 from tidemark.plans.sizes import Limits
@@ -164,16 +164,13 @@ def test_few_requests_cut_a_large_snapshot_first(spark, capsys):
     assert "LeftSemi" in capsys.readouterr().out
 
 
-def test_folding_keeps_rows_and_leaves_large_old_folders_alone(spark):
+def test_folding_keeps_rows(spark):
     fs = make_store(spark, [(i, hours(0), None, "base") for i in range(20_000)])
-    fs.snapshots.compact_after = 3
     fs.materialize(hours(-1), hours(1))
-    base = fs.snapshots.versions("stats")[0]["version"]
     for n in range(1, 6):
         rows = spark.createDataFrame([(n, hours(n), None, f"push{n}")], SCHEMA)
         fs.write_to_online_store("stats", rows, now=hours(n))
-    live = [r["version"] for r in fs.snapshots.versions("stats")]
-    assert base in live and len(live) <= 4
+    assert len(fs.snapshots.versions("stats")) == 6
     assert {k: v[0] for k, v in names(fs, [1, 5, 9]).items()} == {1: "push1", 5: "push5", 9: "base"}
     fs.snapshots.compact("stats", ["driver_id"])
     assert len(fs.snapshots.versions("stats")) == 1
@@ -274,6 +271,52 @@ def test_repeated_stream_batch_replaces_itself(spark):
     assert fs.snapshots.read("stats", ["driver_id"]).count() == 1
 
 
+def test_a_replay_disturbs_no_reader_and_survives_a_drop(spark):
+    fs = make_store(spark, [])
+    rows = spark.createDataFrame([(1, hours(0), None, "a")], SCHEMA)
+    fs.write_to_online_store("stats", rows, now=hours(1), version="q-1")
+    held = fs.snapshots.read("stats", ["driver_id"])
+    fs.write_to_online_store("stats", rows, now=hours(1), version="q-1")
+    assert held.count() == 1
+    fs.snapshots.drop("stats")
+    assert fs.snapshots.read("stats", ["driver_id"]) is None
+    fs.write_to_online_store("stats", rows, now=hours(1), version="q-1")
+    assert fs.snapshots.read("stats", ["driver_id"]).count() == 1
+
+
+def test_a_replay_stays_older_than_loads_after_its_first_run(spark):
+    fs = make_store(spark, [])
+    for name, version in (("first", "q-1"), ("second", "q-2"), ("first again", "q-1")):
+        fs.write_to_online_store("stats", spark.createDataFrame([(1, hours(0), None, name)], SCHEMA), hours(1), version)
+    assert names(fs, [1])[1][0] == "first again"
+
+
+def test_a_fold_during_a_drop_brings_nothing_back(spark):
+    fs = make_store(spark, [])
+    for n in range(2):
+        rows = spark.createDataFrame([(1, hours(n), None, "a")], SCHEMA)
+        fs.write_to_online_store("stats", rows, now=hours(1))
+    live = fs.snapshots.versions("stats")
+    merged = fs.snapshots._merged("stats", live, ["driver_id"])
+    fs.snapshots.drop("stats")
+    fs.snapshots._replace("stats", merged, live)
+    assert fs.snapshots.read("stats", ["driver_id"]) is None
+
+
+def test_lookup_names_must_not_collide_and_order_is_kept(spark):
+    fs = make_store(spark, [(i, hours(0), None, str(i)) for i in range(50)])
+    fs.materialize(hours(-1), hours(1))
+    taken = spark.createDataFrame([(1, "x")], "driver_id bigint, name string")
+    for metadata in (True, False):
+        with pytest.raises(FeatureNameCollision):
+            fs.get_online_features(["stats:name"], taken, metadata=metadata)
+    with pytest.raises(FeatureNameCollision):
+        fs.get_online_features(["stats:name"], taken.withColumnRenamed("name", "name__status"))
+    asked = [(i * 37) % 60 for i in range(120)]
+    df = fs.get_online_features(["stats:name"], [{"driver_id": i} for i in asked], metadata=False, ordered=True)
+    assert [r["driver_id"] for r in df.collect()] == asked
+
+
 def test_stream_restarts_and_new_streams_lose_nothing(spark, tmp_path):
     fs = make_store(spark, [])
     folder = str(tmp_path / "in")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import q
+from tidemark.operators.latest import CREATED_TS, EVENT_TS, latest_per_key
 
 
 def request_keys(requests: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
@@ -28,8 +29,9 @@ def lookup(
     values = [c for c in snapshot.columns if c not in {s for _, s in keys}]
     packed = F.struct(*[q(v) for v in values]).alias(name)
     if not keys:
-        # A single row by construction; the limit makes that bound part of the plan.
-        one = F.broadcast(snapshot.limit(1).select(packed))
+        # An aggregate without keys, so one row by construction.
+        recency = [c for c in (EVENT_TS, CREATED_TS) if c in snapshot.columns]
+        one = F.broadcast(latest_per_key(snapshot, [], recency).select(packed))
         return requests.join(one, F.lit(True), "left")
     right = snapshot.select(*[q(s).alias(f"__ft_s{i}") for i, (_, s) in enumerate(keys)], packed)
     condition = F.lit(True)

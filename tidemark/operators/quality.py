@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import ValidationFailed
 from tidemark.functions.columns import q
-from tidemark.functions.times import is_time
+from tidemark.functions.times import is_time, utc_text
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.quantiles import exact_quantiles
 
@@ -96,7 +96,7 @@ def prepared(df: DataFrame) -> DataFrame:
     changed: dict[str, Column] = {}
     for f in df.schema:
         if is_time(f.dataType):
-            changed[f.name] = F.date_format(q(f.name), "yyyy-MM-dd'T'HH:mm:ss")
+            changed[f.name] = F.substring(F.replace(utc_text(q(f.name), f.dataType), F.lit(" "), F.lit("T")), 1, 19)
         elif isinstance(f.dataType, T.FloatType):
             changed[f.name] = q(f.name).cast("double")
     return df.withColumns(changed) if changed else df
@@ -297,25 +297,32 @@ def _listable(dtype: T.DataType) -> bool:
 def consistency_report(
     training: DataFrame, looked_up: DataFrame, keys: list[str], features: list[str]
 ) -> DataFrame:
-    """Per feature: training rows compared, and rows whose two values differ.
+    """Per feature: training rows, those whose two values differ, and those not looked up.
 
-    Null equals null.  Repeated lookups of a key are taken together first, so that the
-    join never multiplies rows.
+    Null equals null; a row whose key was never looked up is missing, not different.
+    Repeated lookups of a key are taken together first, so that the join never multiplies
+    rows.
     """
     looked_up = looked_up.select(*[q(c) for c in [*keys, *features]])
     looked_up = latest_per_key(looked_up, keys, [])
     renamed = looked_up.select(
-        *[q(k) for k in keys], *[q(f).alias(f"__ft_other_{f}") for f in features]
+        *[q(k) for k in keys],
+        *[q(f).alias(f"__ft_other_{f}") for f in features],
+        F.lit(True).alias("__ft_found"),
     )
-    both = training.select(*[q(k) for k in keys], *[q(f) for f in features]).join(renamed, keys)
-    counts = [F.count(F.lit(1)).alias("__ft_n")]
+    given = training.select(*[q(k) for k in keys], *[q(f) for f in features])
+    both = given.join(renamed, keys, "left")
+    found = F.coalesce(q("__ft_found"), F.lit(False))
+    counts = [F.count(F.lit(1)).alias("__ft_n"), F.count_if(~found).alias("__ft_missing")]
     for f in features:
-        counts.append(F.count_if(~q(f).eqNullSafe(q(f"__ft_other_{f}"))).alias(f"__ft_bad_{f}"))
+        differs = found & ~q(f).eqNullSafe(q(f"__ft_other_{f}"))
+        counts.append(F.count_if(differs).alias(f"__ft_bad_{f}"))
     rows = [
         F.struct(
             F.lit(f).alias("feature"),
             q("__ft_n").alias("compared"),
             q(f"__ft_bad_{f}").alias("different"),
+            q("__ft_missing").alias("missing"),
         )
         for f in features
     ]

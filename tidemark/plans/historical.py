@@ -47,7 +47,7 @@ def historical(
     one job over the spine's time column.  "auto" does so when a source is not small.
     """
     check_request_data(request, spine.columns)
-    _check_spine_names(request, spine)
+    check_names(request, spine)
     needed = {ts}
     for item in request.fetched:
         needed.update(s for s, _ in join_keys(item.view, entities))
@@ -96,15 +96,17 @@ def finish(
     return joined.select(*[q(c) for c in keep], *outputs)
 
 
-def _check_spine_names(request: Request, spine: DataFrame) -> None:
-    have = set(spine.columns)
+def check_names(request: Request, given: DataFrame, suffixes: tuple[str, ...] = ()) -> None:
+    """Raise if an output, or one with a suffix, has the name of a given column."""
+    have = set(given.columns)
     taken = [
-        output
+        output + suffix
         for view, _, output in request.outputs()
-        if not isinstance(view, RequestView) and output in have
+        for suffix in ("", *suffixes)
+        if not isinstance(view, RequestView) and output + suffix in have
     ]
     if taken:
-        raise FeatureNameCollision(f"the spine already has columns {taken}")
+        raise FeatureNameCollision(f"the given rows already have columns {taken}")
 
 
 def _side(

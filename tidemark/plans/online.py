@@ -14,7 +14,7 @@ from tidemark.functions.status import value_status
 from tidemark.functions.times import align
 from tidemark.operators.latest import CREATED_TS, EVENT_TS
 from tidemark.operators.lookup import lookup, request_keys
-from tidemark.plans.historical import finish, join_keys
+from tidemark.plans.historical import check_names, finish, join_keys
 from tidemark.plans.resolve import Request, check_request_data, view_key
 from tidemark.plans.sizes import Limits, is_small
 from tidemark.snapshots import Snapshots
@@ -22,6 +22,7 @@ from tidemark.sources.spine import require_columns
 
 STATUS = "__status"
 EVENT_TIME = "__event_timestamp"
+_ORDER = "__ft_order"
 
 
 def entity_columns(requests: DataFrame, entities: dict[str, Entity]) -> DataFrame:
@@ -43,10 +44,16 @@ def online(
     metadata: bool,
     key_ttl: timedelta | None,
     limits: Limits,
+    ordered: bool = False,
 ) -> DataFrame:
     """The requests with feature values and, with ``metadata``, status and event time."""
     requests = entity_columns(requests, entities)
     check_request_data(request, requests.columns)
+    check_names(request, requests, (STATUS, EVENT_TIME) if metadata else ())
+    if ordered:
+        numbered = requests.withColumn(_ORDER, F.monotonically_increasing_id())
+        found = online(numbered, request, entities, snapshots, now, metadata, key_ttl, limits)
+        return found.orderBy(_ORDER).drop(_ORDER)
     needed: set[str] = set()
     for item in request.fetched:
         needed.update(r for r, _ in join_keys(item.view, entities))

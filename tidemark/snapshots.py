@@ -1,17 +1,19 @@
 """The latest value of every entity, kept as Parquet.
 
-Every load adds one folder of rows; nothing that may be read is ever overwritten.  A
-log of loads says which folders are current, so a load that failed half way is not
-seen.  Reading merges the current folders ("newest event wins"), and ``compact`` folds
-them into one.  Adding rows therefore costs what the new rows cost, not what the
-snapshot costs.
+Every load writes a folder of its own and then one log record that names it.  A folder is
+never written to again once the log names it, so readers are never disturbed, and a load
+that failed half way is not seen.  Reading merges the current folders ("newest event
+wins"); ``compact`` folds them into one when the owner asks for it.  Adding rows
+therefore costs what the new rows cost, not what the snapshot costs.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -21,28 +23,28 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import q
 from tidemark.functions.times import time_literal, to_utc
 from tidemark.operators.latest import CREATED_TS, EVENT_TS, WRITTEN_AT, latest_per_key
-from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, estimated_bytes, is_small
+from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, is_small
 
 _LOG_SCHEMA = (
-    "view string, version string, seq bigint, covers array<string>, "
+    "view string, folder string, version string, seq bigint, covers array<string>, columns string, "
     "range_start timestamp_ntz, range_end timestamp_ntz, recorded_at timestamp_ntz"
 )
+# Among rows of equal times the one written first stays: a greater number is older.
 _AGE = "__ft_age"
 
 
 class Snapshots:
     """Snapshot tables below one folder, one per view."""
 
-    def __init__(self, spark: SparkSession, root: str, compact_after: int = 16):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.compact_after = compact_after
 
     # -- the log ---------------------------------------------------------------
 
     def log(self, view: str) -> DataFrame:
-        """Every load of a view so far.  Short, so it is read as one partition."""
-        return self._log(f"{self.root}/_loads/{view}").coalesce(1)
+        """Every load, fold and drop of a view so far."""
+        return self._log(f"{self.root}/_loads/{view}")
 
     def _log(self, folder: str) -> DataFrame:
         try:
@@ -58,33 +60,45 @@ class Snapshots:
             .select("seq", "range_start", "range_end")
         )
 
+    def _since_drop(self, view: str) -> DataFrame:
+        """Log records after the last drop; a fold is as old as the newest rows in it."""
+        loads = self.log(view)
+        dropped = loads.filter("folder IS NULL").agg(F.coalesce(F.max("seq"), F.lit(0)).alias("dropped"))
+        # one row
+        return loads.join(F.broadcast(dropped), F.col("seq") > F.col("dropped")).drop("dropped")
+
     def last_end(self, view: str) -> datetime | None:
         """Latest end of any range loaded since the view was last dropped."""
-        loads = self.log(view)
-        dropped = F.max(F.when(F.col("version").isNull(), F.col("seq")))
-        gone = loads.agg(dropped.alias("seq")).first()["seq"]
-        if gone is not None:
-            loads = loads.filter(F.col("seq") > gone)
-        return loads.agg(F.max("range_end").alias("end")).first()["end"]
+        return self._since_drop(view).agg(F.max("range_end").alias("end")).first()["end"]
 
     def versions(self, view: str) -> list[Row]:
-        """Current folders of a view, oldest first; compaction keeps them few."""
-        loads = self.log(view)
-        covered = loads.select(F.explode("covers").alias("version"))
-        live = loads.filter(F.col("version").isNotNull()).join(covered, "version", "left_anti")
-        return live.groupBy("version").agg(F.min("seq").alias("seq")).orderBy("seq").collect()
+        """Current folders of a view, oldest first.
+
+        Of a version loaded several times the newest folder counts.
+        """
+        loads = self._since_drop(view).filter("folder IS NOT NULL")
+        newest = loads.groupBy("version").agg(
+            F.max_by(F.struct("folder", "columns"), "seq").alias("last"), F.max("seq").alias("seq")
+        )
+        covered = loads.select(F.explode("covers").alias("folder"))
+        live = newest.select("last.folder", "version", "seq", "last.columns")
+        return live.join(covered, "folder", "left_anti").orderBy("seq", "folder").collect()
 
     def views(self) -> list[str]:
         """Names of views that have been loaded at least once."""
         loads = self._log(f"{self.root}/_loads/*")
         return [r["view"] for r in loads.select("view").distinct().collect()]
 
-    def _record(self, view, version, covers=(), start=None, end=None, at=None, seq=None) -> None:
+    def _record(
+        self, view, folder, version=None, covers=(), columns=None, start=None, end=None, at=None, seq=None
+    ) -> None:
         entry = {
             "view": F.lit(view),
+            "folder": F.lit(folder).cast("string"),
             "version": F.lit(version).cast("string"),
             "seq": F.lit(seq or time.time_ns()),
             "covers": F.array(*[F.lit(c) for c in covers]).cast("array<string>"),
+            "columns": F.lit(columns).cast("string"),
             "range_start": _moment(start),
             "range_end": _moment(end),
             "recorded_at": _moment(at),
@@ -98,49 +112,37 @@ class Snapshots:
         self,
         view: str,
         rows: DataFrame,
-        keys: list[str],
         at: datetime,
         start: datetime | None = None,
         end: datetime | None = None,
         version: str | None = None,
     ) -> None:
-        """Add rows (keys, values, event and created time).
+        """Add rows (keys, values, event and created time), one per key.
 
-        A load with a fixed ``version`` may be repeated: it replaces its own folder.
+        A load with a fixed ``version`` may be repeated: its newest folder takes the place
+        of the ones before it, and its rows keep the age of the first.
         """
-        version = version or uuid.uuid4().hex
-        stamped = rows.withColumn(WRITTEN_AT, time_literal(at, T.TimestampNTZType()))
-        stamped.write.mode("overwrite").parquet(self._folder(view, version))
+        seq = time.time_ns()
+        first = seq
+        if version is not None:
+            earlier = self._since_drop(view).filter(F.col("version") == version)
+            first = earlier.agg(F.min("seq")).first()[0] or seq
+        folder = uuid.uuid4().hex
+        stamped = rows.withColumn(WRITTEN_AT, time_literal(at, T.TimestampNTZType())).withColumn(_AGE, F.lit(-first))
+        columns = self._write(view, folder, stamped)
         at, start, end = (None if t is None else to_utc(t) for t in (at, start, end))
-        self._record(view, version, start=start, end=end, at=at)
-        live = self.versions(view)
-        if len(live) > self.compact_after:
-            self._fold(view, self._recent(view, live), keys)
+        self._record(view, folder, version or folder, (), columns, start, end, at, seq)
+
+    def _write(self, view: str, folder: str, rows: DataFrame) -> str:
+        rows.write.mode("errorifexists").parquet(self._folder(view, folder))
+        return rows.schema.json()
 
     def compact(self, view: str, keys: list[str]) -> None:
         """Fold all current folders of a view into one."""
-        self._fold(view, self.versions(view), keys)
-
-    def _fold(self, view: str, live: list[Row], keys: list[str]) -> None:
+        live = self.versions(view)
         if len(live) > 1:
             self._replace(view, self._merged(view, live, keys), live)
 
-    def _recent(self, view: str, live: list[Row]) -> list[Row]:
-        """The newest folders, without older ones much larger than all after them.
-
-        So a large snapshot is rewritten only once the rows added since are a good part
-        of it, however often rows are added.
-        """
-        sizes = [self._size(view, row) for row in live]
-        first = 0
-        while first < len(live) - 2 and sizes[first] > 4 * sum(sizes[first + 1 :]):
-            first += 1
-        return live[first:]
-
-    def _size(self, view: str, row: Row) -> int:
-        folder = self.spark.read.parquet(self._folder(view, row["version"]))
-        return estimated_bytes(folder) or 0
-
     def purge(self, view: str, keys: list[str], key_ttl: timedelta, now: datetime) -> None:
         """Rewrite a view without the keys whose last write is older than ``key_ttl``."""
         live = self.versions(view)
@@ -150,8 +152,7 @@ class Snapshots:
 
     def drop(self, view: str, at: datetime | None = None) -> None:
         """Forget a view's rows and loaded ranges."""
-        live = [r["version"] for r in self.versions(view)]
-        self._record(view, None, covers=live, at=None if at is None else to_utc(at))
+        self._record(view, None, at=None if at is None else to_utc(at))
 
     def drop_unused(self, used: list[str]) -> list[str]:
         """Drop every view that is not in ``used``; returns what was dropped."""
@@ -161,14 +162,14 @@ class Snapshots:
         return unused
 
     def _replace(self, view: str, rows: DataFrame, live: list[Row]) -> None:
-        version = uuid.uuid4().hex
-        rows.write.mode("errorifexists").parquet(self._folder(view, version))
-        covers = [r["version"] for r in live]
-        # As old as the newest row in it, so that later loads still count as later.
-        self._record(view, version, covers, seq=live[-1]["seq"])
+        folder = uuid.uuid4().hex
+        columns = self._write(view, folder, rows)
+        covers = [r["folder"] for r in live]
+        # As old as the newest rows in it: later loads, and a drop meanwhile, still come after it.
+        self._record(view, folder, folder, covers, columns, seq=live[-1]["seq"])
 
-    def _folder(self, view: str, version: str) -> str:
-        return f"{self.root}/{view}/v={version}"
+    def _folder(self, view: str, folder: str) -> str:
+        return f"{self.root}/{view}/{folder}"
 
     # -- reading ---------------------------------------------------------------
 
@@ -189,7 +190,7 @@ class Snapshots:
         merged = self._merged(view, self.versions(view), keys, only, limits)
         if merged is not None and key_ttl:
             merged = unexpired(merged, key_ttl, now)
-        return merged
+        return None if merged is None else merged.drop(_AGE)
 
     def _merged(
         self,
@@ -201,17 +202,20 @@ class Snapshots:
     ) -> DataFrame | None:
         if not live:
             return None
-        parts = [self.spark.read.parquet(self._folder(view, row["version"])) for row in live]
+        # Folders of one schema are read together; the log knows it, so no footer is opened.
+        alike: dict[str, list[str]] = {}
+        for row in live:
+            alike.setdefault(row["columns"], []).append(self._folder(view, row["folder"]))
+        parts = [
+            self.spark.read.schema(T.StructType.fromJson(json.loads(columns))).parquet(*folders)
+            for columns, folders in alike.items()
+        ]
         if only is not None and not is_small(limits, *parts):
             parts = [part.join(only, keys, "left_semi") for part in parts]
-        if len(parts) == 1:
-            return parts[0]
-        # On equal times the row written first stays: a greater number is older.
-        aged = [p.withColumn(_AGE, F.lit(len(parts) - i)) for i, p in enumerate(parts)]
-        union = aged[0]
-        for part in aged[1:]:
-            union = union.unionByName(part, allowMissingColumns=True)
-        return latest_per_key(union, keys, [EVENT_TS, CREATED_TS, _AGE]).drop(_AGE)
+        union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if len(live) == 1:
+            return union
+        return latest_per_key(union, keys, [EVENT_TS, CREATED_TS, _AGE])
 
 
 def _moment(at: datetime | None) -> Column:

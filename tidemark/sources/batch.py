@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,7 @@ class BatchSource:
     created_timestamp_column: str | None = None
     field_mapping: dict[str, str] = field(default_factory=dict)
     date_partition_column: str | None = None
+    date_partition_format: str | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The table as it is, unfiltered and with its own column names."""
@@ -75,6 +77,8 @@ class BatchSource:
         missing = {back.get(c, c) for c in (*declared, *needs)} - set(schema.names)
         if missing:
             raise SourceValidationError(f"source {self.name!r} lacks columns {sorted(missing)}")
+        if self.date_partition_column:
+            check_partition_format(schema[self.date_partition_column].dataType, self.date_partition_format)
         event = self.event_timestamp_column
         if event and not is_time(schema[event].dataType):
             raise SourceValidationError(
@@ -94,6 +98,10 @@ class BatchSource:
         The bounds are literals of the column's own type, so they reach the scan; with a
         date partition column they also select the partitions to read.  ``closed="left"``
         leaves ``end`` itself out.  ``rows`` is the result of ``read`` where at hand.
+        How finely a partition column cuts time is what ``date_partition_format`` says, such
+        as "yyyyMMdd" or "yyyy-MM" for text and whole numbers, and likewise for dates.  Without
+        it, dates and timestamps may stand for anything from an hour to a quarter, and
+        other types select no partitions; so all settings give the same rows.
         """
         df = self.read(spark) if rows is None else rows
         event = self.event_timestamp_column
@@ -102,7 +110,9 @@ class BatchSource:
                 event = single_time_column(df.schema)
             df = in_time_range(df, event, start, end, closed)
             if self.date_partition_column:
-                df = _in_partitions(df, self.date_partition_column, start, end)
+                df = _in_partitions(
+                    df, self.date_partition_column, self.date_partition_format, start, end
+                )
         if self.field_mapping:
             df = df.withColumnsRenamed(self.field_mapping)
         return df
@@ -128,20 +138,48 @@ def in_time_range(
 
 
 def _in_partitions(
-    df: DataFrame, column: str, start: datetime | None, end: datetime | None
+    df: DataFrame,
+    column: str,
+    pattern: str | None,
+    start: datetime | None,
+    end: datetime | None,
 ) -> DataFrame:
-    """Restrict a day-partitioned table to the days the range touches."""
+    """Restrict a time-partitioned table to the partitions the range touches."""
     dtype = df.schema[column].dataType
+    first = None if start is None else time_literal(start, T.DateType())
+    last = None if end is None else time_literal(end, T.DateType())
+    if is_time(dtype):
+        unit = _UNITS.get(re.sub("[^yMd]", "", pattern or ""), "quarter")
+        zoned = not isinstance(dtype, T.DateType)
+        # Hours of the first and last day, and a day more on either side for zones.
+        low = None if first is None else q(column) >= F.date_add(F.date_trunc(unit, first).cast("date"), -zoned)
+        high = None if last is None else q(column) < F.date_add(last, 1 + zoned)
+    elif pattern is not None:
+        low = None if first is None else q(column) >= F.date_format(first, pattern).cast(dtype)
+        high = None if last is None else q(column) <= F.date_format(last, pattern).cast(dtype)
+    else:
+        return df
+    for bound in (low, high):
+        if bound is not None:
+            df = df.filter(bound)
+    return df
 
-    def day(moment: datetime):
-        literal = time_literal(moment, T.DateType())
-        return literal if is_time(dtype) else F.date_format(literal, "yyyy-MM-dd").cast(dtype)
 
-    if start is not None:
-        df = df.filter(q(column) >= day(start))
-    if end is not None:
-        df = df.filter(q(column) <= day(end))
-    return df
+# Patterns whose text, or number, sorts like the time it stands for.
+_SORTABLE = re.compile(r"yyyy(?:[^A-Za-z]?MM(?:[^A-Za-z]?dd)?)?")
+
+
+_UNITS = {"yyyyMMdd": "day", "yyyyMM": "month", "yyyy": "year"}
+
+
+def check_partition_format(dtype: T.DataType, pattern: str | None) -> None:
+    """Raise unless partitions written in this pattern can be compared in time order."""
+    if pattern is None:
+        return
+    if not is_time(dtype) and not isinstance(dtype, (T.StringType, T.IntegralType)):
+        raise SourceValidationError(f"no partition format for {dtype.simpleString()}")
+    if not _SORTABLE.fullmatch(pattern) or isinstance(dtype, T.IntegralType) and not pattern.isalpha():
+        raise SourceValidationError(f"partitions in the form {pattern!r} do not sort by time")
 
 
 @dataclass(frozen=True, kw_only=True)

@@ -294,9 +294,7 @@ class FeatureStore:
         df = view.source.load(self.spark, start, end, closed).filter(all_not_null(keys))
         df = to_declared(df, self._declared(view), f"view {view.name!r}")
         rows = snapshot_rows(pull_latest(df, keys, values, ts, created), keys, values, ts, created)
-        self.snapshots.add(
-            view.name, rows, keys or [DUMMY_KEY], to_utc(now or _utc_now()), start, end
-        )
+        self.snapshots.add(view.name, rows, to_utc(now or _utc_now()), start, end)
 
     def write_to_online_store(
         self,
@@ -318,7 +316,7 @@ class FeatureStore:
         flat = snapshot_rows(df, keys, values, ts, created)
         stored = keys or [DUMMY_KEY]
         newest = latest_per_key(flat, stored, [EVENT_TS, CREATED_TS])
-        self.snapshots.add(view, newest, stored, to_utc(now or _utc_now()), version=version)
+        self.snapshots.add(view, newest, to_utc(now or _utc_now()), version=version)
 
     def push(self, source: str, rows: DataFrame | pd.DataFrame, now: datetime | None = None) -> None:
         """Push rows of a push source into every view fed by it."""
@@ -357,10 +355,12 @@ class FeatureStore:
         full_feature_names: bool = False,
         now: datetime | None = None,
         metadata: bool = True,
+        ordered: bool = False,
     ) -> DataFrame:
         """Latest known features for many entities at once.
 
-        With ``metadata`` each feature is followed by its status and event time.
+        With ``metadata`` each feature is followed by its status and event time.  With
+        ``ordered`` the answers come in the order of the requests, by a range sort.
         """
         if isinstance(entity_rows, list):
             if len({frozenset(r) for r in entity_rows}) != 1:
@@ -377,6 +377,7 @@ class FeatureStore:
             metadata,
             self.key_ttl,
             self.limits,
+            ordered,
         )
 
     # -- saved datasets ------------------------------------------------------------

@@ -341,6 +341,19 @@ ORACLES: dict[str, str] = {
         FROM ({_PURCHASES} AND ts >= TIMESTAMP '2024-01-20') s
         ASOF LEFT JOIN events f ON s.user_id = f.user_id AND s.ts >= f.ts
     """,
+    "pit_partition_forms": f"""
+        SELECT p.*, form, prune FROM (
+            SELECT s.event_id, s.user_id, s.ts,
+                   {_FRESH.format("f.value", "value")}, {_FRESH.format("f.event_type", "event_type")}
+            FROM ({_PURCHASES} AND ts >= TIMESTAMP '2024-01-20') s
+            ASOF LEFT JOIN events f ON s.user_id = f.user_id AND s.ts >= f.ts) p,
+            (VALUES ('text'), ('number'), ('month'), ('date'), ('unknown')) AS forms(form),
+            (VALUES ('True'), ('False'), ('auto')) AS prunes(prune)
+        UNION ALL
+        SELECT NULL, user_id, NULL, value, event_type, form, 'loaded' FROM ({_latest(
+            f"SELECT *, CAST(NULL AS TIMESTAMP) AS created FROM events WHERE {_TO_MIDDLE}", "value, event_type"
+        )}), (VALUES ('text'), ('number'), ('month'), ('date'), ('unknown')) AS forms(form)
+    """,
     "source_formats": """
         SELECT f.format, a.* FROM (VALUES ('csv'), ('json'), ('parquet'), ('table')) f(format),
         (SELECT count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
@@ -442,6 +455,10 @@ ORACLES: dict[str, str] = {
                l_suppkey || '|' || l_returnflag || '|' || l_linestatus AS id
         FROM lineitem
     """,
+    "entity_hash": """
+        SELECT CAST(1 AS BIGINT) AS hashes, true AS same, count(*) AS keys, count(*) AS distinct_hashes
+        FROM (SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem)
+    """,
     "type_casts": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(NULL AS DOUBLE) AS c_name,
                CAST(c_nationkey AS BIGINT) AS c_nationkey,
@@ -452,11 +469,10 @@ ORACLES: dict[str, str] = {
                count(c_mktsegment) AS c_mktsegment FROM customer
     """,
     "list_casts": """
-        SELECT vec_id, CAST(len(v) AS INTEGER) AS n, v[1] AS first,
-               CASE WHEN v IS NOT NULL THEN CAST(coalesce(list_sum(v), 0) AS BIGINT) END AS total
-        FROM (SELECT vec_id, CASE label WHEN 0 THEN CAST([] AS BIGINT[]) WHEN 1 THEN NULL
-              ELSE list_transform(embedding[1:4],
-                   lambda x: CAST(floor(CAST(x * CAST(1000 AS FLOAT) AS DOUBLE)) AS BIGINT)) END AS v
+        SELECT vec_id, CAST(len(v) AS INTEGER) AS n, v[1] AS first, CAST(list_sum(v) AS BIGINT) AS total,
+               CAST(0 AS INTEGER) AS n_none, true AS missing
+        FROM (SELECT vec_id, list_transform(embedding,
+                   lambda x: CAST(floor(CAST(x * CAST(1000 AS FLOAT) AS DOUBLE)) AS BIGINT)) AS v
               FROM embeddings)
     """,
     "saved_dataset_roundtrip": _PIT_TTL,
@@ -473,9 +489,22 @@ ORACLES: dict[str, str] = {
     "dq_quantile_check": _dq_quantile_check(),
     "dq_auto": _dq_auto(),
     "dq_reference": _DQ_REFERENCE,
-    "consistency_report": """
-        SELECT f.feature, count(DISTINCT user_id) AS compared, CAST(0 AS BIGINT) AS different
-        FROM events, (VALUES ('value'), ('event_type')) f(feature) GROUP BY 1
+    "consistency_report": f"""
+        WITH a AS (SELECT * FROM (SELECT *, row_number() OVER (
+                       PARTITION BY user_id ORDER BY ts DESC, created DESC) AS rn
+                   FROM ({_CREATED}) WHERE ts <= TIMESTAMP '2024-01-20') WHERE rn = 1),
+             b AS (SELECT * FROM (SELECT *, row_number() OVER (
+                       PARTITION BY user_id ORDER BY ts DESC, created DESC) AS rn
+                   FROM ({_CREATED}) WHERE ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-10') WHERE rn = 1),
+             j AS (SELECT u.user_id, a.value AS av, a.event_type AS ae, b.value AS bv, b.event_type AS be,
+                          b.user_id IS NULL OR u.user_id % 10 = 0 AS gone
+                   FROM (SELECT DISTINCT user_id FROM events) u
+                   LEFT JOIN a ON a.user_id = u.user_id LEFT JOIN b ON b.user_id = u.user_id)
+        SELECT 'value' AS feature, count(*) AS compared, CAST(count_if(u.user_id % 10 <> 0 AND av IS DISTINCT FROM bv) AS BIGINT)
+               AS different, CAST(count_if(u.user_id % 10 = 0) AS BIGINT) AS missing FROM j u
+        UNION ALL
+        SELECT 'event_type', count(*), CAST(count_if(u.user_id % 10 <> 0 AND ae IS DISTINCT FROM be) AS BIGINT),
+               CAST(count_if(u.user_id % 10 = 0) AS BIGINT) FROM j u
     """,
     "stream_push": _latest(_CREATED),
     "stream_json": _latest(_CREATED),

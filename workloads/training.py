@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -192,6 +193,55 @@ def pit_partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fs.get_historical_features(spine, refs, prune=True).df
 
 
+DAY_FORMS = {
+    "text": ("yyyyMMdd", "string"),
+    "number": ("yyyyMMdd", "int"),
+    "month": ("yyyy-MM", "string"),
+    "date": ("yyyy-MM-dd", "date"),
+    "unknown": (None, "string"),
+}
+
+
+def pit_partition_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days written as text, numbers, months and dates; pruning on, off and automatic."""
+    events = v.table(spark, sf_dir, "events")
+    late = F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    spine = v.purchases(spark, sf_dir).filter(late)
+    features = [Feature("value", "double"), Feature("event_type", "string")]
+    out = []
+    for form, (pattern, kind) in DAY_FORMS.items():
+        folder = shared_folder(spark, f"events-by-{form}")
+        written = F.date_format("ts", pattern or "dd/MM/yyyy").cast(kind)
+        by_day = events.withColumn("day", F.translate(written.cast("string"), "/", "_") if pattern is None else written)
+        by_day.repartition("day").write.partitionBy("day").parquet(folder)
+        schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in events.schema)}, day {kind}"
+        source = FileSource(
+            name=form,
+            path=folder,
+            file_schema=schema,
+            event_timestamp_column="ts",
+            date_partition_column="day",
+            date_partition_format=pattern,
+        )
+        fs = v.store(spark, FeatureView("by_day", ["user"], source, features, TTL))
+        for prune in (True, False, "auto"):
+            found = fs.get_historical_features(spine, ["by_day:value", "by_day:event_type"], prune=prune).df
+            out.append(found.withColumn("form", F.lit(form)).withColumn("prune", F.lit(str(prune))))
+        fs.materialize(datetime(2024, 1, 1), datetime(2024, 1, 15), now=v.NOW)
+        stored = fs.snapshots.read("by_day", ["user_id"])
+        loaded = stored.select(
+            F.lit(None).cast("bigint").alias("event_id"),
+            "user_id",
+            F.lit(None).cast("timestamp_ntz").alias("ts"),
+            "value",
+            "event_type",
+            F.lit(form).alias("form"),
+            F.lit("loaded").alias("prune"),
+        )
+        out.append(loaded)
+    return reduce(DataFrame.unionByName, out)
+
+
 def source_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders through every file format and a catalog table."""
     orders = v.table(spark, sf_dir, "orders")
@@ -365,8 +415,16 @@ def entity_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per key how many hashes it has, and over all keys how many hashes differ."""
     lineitem = v.table(spark, sf_dir, "lineitem")
-    return lineitem.select("l_suppkey", "l_returnflag", entity_hash(["l_suppkey", "l_returnflag"]).alias("hash"))
+    keys = ["l_suppkey", "l_returnflag"]
+    hashed = lineitem.select(*keys, entity_hash(keys).alias("a"), entity_hash(keys[::-1]).alias("b"))
+    per_key = hashed.groupBy(*keys).agg(
+        F.count_distinct("a").alias("hashes"), F.min("a").alias("hash"), F.bool_and(F.col("a") == F.col("b")).alias("same")
+    )
+    return per_key.groupBy("hashes", "same").agg(
+        F.count(F.lit(1)).alias("keys"), F.count_distinct("hash").alias("distinct_hashes")
+    )
 
 
 def type_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,21 +451,22 @@ def cast_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists cast to a declared list type; empty and null lists stay what they are."""
+    """Whole vectors cast to a declared list type; empty and null lists stay what they are."""
     embeddings = v.table(spark, sf_dir, "embeddings")
-    head = F.slice("embedding", 1, 4)
-    shaped = (
-        F.when(F.col("label") == 0, F.expr("cast(array() as array<float>)"))
-        .when(F.col("label") == 1, F.lit(None).cast("array<float>"))
-        .otherwise(head)
-    )
-    cast = cast_declared(
-        embeddings.select("vec_id", F.transform(shaped, lambda x: F.floor(x * 1000).cast("double")).alias("v")),
-        {"v": spark_type(ValueType.INT64_LIST)},
+    scaled = F.transform("embedding", lambda x: F.floor(x * 1000).cast("double"))
+    shaped = embeddings.select(
+        "vec_id",
+        scaled.alias("v"),
+        F.when(F.col("label") >= 0, F.expr("cast(array() as array<double>)")).alias("none"),
+        F.lit(None).cast("array<double>").alias("missing"),
     )
+    declared = spark_type(ValueType.INT64_LIST)
+    cast = cast_declared(shaped, {"v": declared, "none": declared, "missing": declared})
     return cast.select(
         "vec_id",
-        F.when(F.col("v").isNotNull(), F.size("v")).alias("n"),
+        F.size("v").alias("n"),
         F.get("v", F.lit(0)).alias("first"),
         F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"),
+        F.size("none").alias("n_none"),
+        F.col("missing").isNull().alias("missing"),
     )
