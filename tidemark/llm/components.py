@@ -22,11 +22,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.expr("sum(cast(xxhash64(v, u) as decimal(38, 0)))")
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every edge leads straight to a smallest node: one per u, and no v is a u."""
+    roles = edges.select(F.col("u").alias("node"), F.lit(1).alias("u")).unionAll(
+        edges.select(F.col("v").alias("node"), F.lit(None).cast("int").alias("u"))
     )
-    return tuple(row.first())
+    uses = roles.groupBy("node").agg(F.count("u").alias("as_u"), F.count(F.lit(1)).alias("all"))
+    return uses.filter("as_u > 1 OR as_u = 1 AND all > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -37,12 +39,10 @@ def components(edges: DataFrame) -> DataFrame:
     rounds grow with the logarithm of the longest path.  Loops and repeated edges are
     harmless; nodes without edges do not appear; no edges give no rows.
     """
-    now = stored(edges.filter("u <> v").select("u", "v").distinct(), "edges")
-    before = None
-    state = _state(now)
-    while state != before and state[0]:
+    now = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    now = stored(now.distinct(), "edges")
+    while not _is_stars(now):
         now = stored(_small_star(_large_star(now)), "edges")
-        before, state = state, _state(now)
     member = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     centre = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return member.unionAll(centre)

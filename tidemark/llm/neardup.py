@@ -6,13 +6,14 @@ similarity of 0.75 or more.
 1. One pass over the texts gives each set's size, digest and 128 universal hash minima.
 2. Equal sets are one node from here on, so copies never meet as pairs.
 3. 32 bands of 4 minima are the buckets.  Rows are range-sorted by bucket and, within it, by
-   the bands that follow; each row is paired with the rows before it: all of them in a
-   bucket of up to ``NEIGHBOURS + 1`` rows, the nearest ones and the first in a larger one.
-   Pairs are therefore linear in the number of rows, whatever the size of a group.
+   the bands that follow.  A bucket of up to ``SMALL`` rows gives all its pairs; in a larger
+   one each row is paired with the row before it and the first, and the bucket's rows are
+   kept for step 5.  So the pairs are linear in the rows, whatever the size of a group.
 4. Pairs are checked on sketches of the minima, then on the full sets: first the most
    similar partner of each node, then every pair that still joins two components.
-5. Large buckets that span several components are sorted anew by other bands and paired
-   again, until a round finds no link.
+5. Rows of large buckets that span several components are sorted anew by other bands, in
+   several orders, and paired with the nearest rows of other components, until a round
+   finds no link.
 """
 
 from __future__ import annotations
@@ -35,7 +36,9 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 PERCENT = 75
-NEIGHBOURS = 8
+SMALL = 16  # rows of a bucket that are paired in full
+ORDERS = 4  # of large buckets, per round
+NEAREST = 4  # rows of other components each row is paired with, per order
 # Sketches are compared byte by byte; 0.75 - 4 standard deviations of 128 draws.
 LEAST_ESTIMATE = 0.597
 MEMBERS = 256  # of one first text, per group of the verification
@@ -105,53 +108,129 @@ def signatures(docs: DataFrame) -> DataFrame:
     return annotate(docs, "text", make, fields, ("doc_id",))
 
 
+def _runs(keys: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the runs of equal keys; of at least one row."""
+    edge = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]]).tolist()
+    return list(zip(edge[:-1], edge[1:]))
+
+
+def _pair_rows(key: list[int], a: list[int], b: list[int]) -> pa.RecordBatch:
+    arrays = [pa.array(x, pa.int64()) for x in (key, a, b)]
+    return pa.RecordBatch.from_arrays(arrays, names=["key", "a", "b"])
+
+
 def _pair_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within runs of equal keys of the sorted rows (key, label, node)."""
-    key, first = None, None
-    recent: deque[int] = deque(maxlen=NEIGHBOURS)
+    """Pairs (null, a, b) within runs of the sorted rows (key, node), and rows (key, node, null) of large runs.
+
+    The first and the last run of a task may go on in another one, so they count as large.
+    """
+    now: int | None = None
+    held: list[int] = []  # rows of the run so far; its first and last ones once it is large
+    large, edge = False, True
+    key: list[int] = []
+    left: list[int] = []
+    right: list[int] = []
+
+    def pair(a: int, b: int) -> None:
+        if a != b:
+            key.append(None)
+            left.append(min(a, b))
+            right.append(max(a, b))
+
+    def keep(node: int) -> None:
+        key.append(now)
+        left.append(node)
+        right.append(None)
+
+    def close() -> None:
+        if not large:
+            for i, b in enumerate(held):
+                for a in held[:i]:
+                    pair(a, b)
+                if edge:
+                    keep(b)
+
     for batch in batches:
-        left, right = [], []
         keys, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        edge = np.append(np.flatnonzero(np.diff(keys)) + 1, len(keys))
-        start = 0
-        for end in edge.tolist():
-            # a run of one row inside the batch has no pair
-            if end - start > 1 or start == 0 or end == len(keys):
-                here = int(keys[start])
-                if here != key:
-                    key, first = here, int(nodes[start])
-                    recent.clear()
-                for node in nodes[start:end].tolist():
-                    for other in recent:
-                        left.append(other)
-                        right.append(node)
-                    if len(recent) == NEIGHBOURS and first not in recent:
-                        left.append(first)
-                        right.append(node)
-                    recent.append(node)
-            start = end
-        if left:
-            a, b = np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            both = both[both[:, 0] != both[:, 1]]
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
-
-
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Distinct candidate pairs (a < b) of rows (key, label, node)."""
-    ordered = rows.repartitionByRange("key", "label").sortWithinPartitions("key", "label", "node")
-    return ordered.select("key", "node").mapInArrow(_pair_task, "a long, b long").distinct()
-
-
-def _band_rows(nodes: DataFrame, turn: int) -> DataFrame:
-    """(key, label, node): each band as key, labelled by bits of the four bands that come next."""
-    step = 2 * turn + 1
+        for start, end in _runs(keys) if len(keys) else ():
+            if int(keys[start]) != now:
+                if now is not None:
+                    close()
+                    edge = False
+                now, held, large = int(keys[start]), [], False
+                if end - start == 1 and end < len(keys) and not edge:
+                    continue  # alone in its bucket
+            for node in nodes[start:end].tolist():
+                if not large and len(held) == SMALL:
+                    large = True
+                    for i, own in enumerate(held):
+                        keep(own)
+                        if i:
+                            pair(held[0], own)
+                            pair(held[i - 1], own)
+                if large:
+                    keep(node)
+                    pair(held[0], node)
+                    pair(held[-1], node)
+                    held = [held[0], node]
+                else:
+                    held.append(node)
+        yield _pair_rows(key, left, right)
+        key.clear(), left.clear(), right.clear()
+    edge = True
+    close()
+    yield _pair_rows(key, left, right)
+
+
+def _bucket_rows(nodes: DataFrame) -> DataFrame:
+    """(key, node) of all bands, sorted by bucket and by bits of the four bands that come next."""
     exploded = nodes.select("node", "bands", F.posexplode("bands").alias("band", "key"))
+    rows = exploded.select("key", _label(F.col("band"), 1).alias("label"), "node")
+    return rows.repartitionByRange("key", "label").sortWithinPartitions("key", "label", "node").select("key", "node")
+
+
+def _label(band, step: int):
     label = F.lit(0).cast("long")
     for k in range(1, 5):
-        bits = F.get("bands", (F.col("band") + k * step) % BANDS).bitwiseAND(F.lit(0xFFFF))
+        bits = F.get("bands", F.pmod(band + k * step, F.lit(BANDS))).bitwiseAND(F.lit(0xFFFF))
         label = F.shiftleft(label, 16).bitwiseOR(bits)
-    return exploded.select("key", label.alias("label"), "node")
+    return label
+
+
+def _across_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of near rows of different components within runs of the sorted rows (key, node, component)."""
+    now, recent = None, deque(maxlen=64)
+    for batch in batches:
+        found = set()
+        for key, node, component in zip(*(c.to_pylist() for c in batch.columns)):
+            if key != now:
+                now = key
+                recent.clear()
+            taken = 0
+            for other, its in reversed(recent):
+                if its != component:
+                    found.add((min(other, node), max(other, node)))
+                    taken += 1
+                    if taken == NEAREST:
+                        break
+            recent.append((node, component))
+        a, b = zip(*sorted(found)) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _pairs_across(large: DataFrame, nodes: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Candidate pairs from large buckets of several components, each sorted in ``ORDERS`` ways."""
+    own = nodes.join(labels.select("node", "component"), "node", "left")
+    own = own.select("node", "bands", F.coalesce("component", "node").alias("component"))
+    rows = large.join(own, "node")
+    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    rows = rows.join(mixed.select("key"), "key", "left_semi")
+    orders = F.explode(F.array(*[F.lit(turn * ORDERS + k) for k in range(ORDERS)])).alias("order")
+    rows = rows.select("key", "node", "component", "bands", orders)
+    label = _label(F.pmod(F.xxhash64("key", "order"), F.lit(BANDS)).cast("int"), 5)
+    sorted_rows = rows.select(F.xxhash64("key", "order").alias("key"), label.alias("label"), "node", "component")
+    sorted_rows = sorted_rows.repartitionByRange("key", "label").sortWithinPartitions("key", "label", "node")
+    return sorted_rows.select("key", "node", "component").mapInArrow(_across_task, "a long, b long").distinct()
 
 
 def _estimate_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +299,7 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     at = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     to = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     both = pairs.join(at, "a", "left").join(to, "b", "left")
-    return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "alike")
+    return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
 def _node_texts(nodes: DataFrame, pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -230,47 +309,47 @@ def _node_texts(nodes: DataFrame, pairs: DataFrame, docs: DataFrame) -> DataFram
     return found.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "text")
 
 
-def links(docs: DataFrame, nodes: DataFrame, max_rounds: int = 6) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, max_rounds: int = 4) -> DataFrame:
     """(node, component) of the nodes that have a link.
 
     ``nodes``: (node, n_shingles, sketch, bands), one row per distinct set.
     """
-    labels, edges = None, None
+    found = stored(_bucket_rows(nodes).mapInArrow(_pair_task, "key long, a long, b long"), "pairs")
+    large = found.filter("b IS NULL").select("key", F.col("a").alias("node"))
+    pairs = _plausible(found.filter("b IS NOT NULL").select("a", "b").distinct(), nodes)
+    pairs = stored(pairs, "plausible")
+    texts = stored(_node_texts(nodes, pairs, docs), "texts")
+    nearest = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a")).select("a", "b")
+    labels = components(_verified(nearest, texts))
+    labels = _joined(labels, _verified(_across(pairs, labels), texts))
+    if large.isEmpty():
+        return labels
     for turn in range(max_rounds):
-        rows = _band_rows(nodes, turn)
-        if labels is not None:
-            rows = stored(_mixed_buckets(rows, labels), "buckets")
-            if rows.isEmpty():
-                break
-        pairs = _plausible(_pairs(rows), nodes)
-        if labels is not None:
-            pairs = _across(pairs, labels)
-        pairs = stored(pairs, "pairs")
+        pairs = stored(_plausible(_pairs_across(large, nodes, labels, turn), nodes), "plausible")
         if pairs.isEmpty():
             break
         texts = stored(_node_texts(nodes, pairs, docs), "texts")
-        if labels is None:
-            nearest = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a")).select("a", "b")
-            edges = stored(_verified(nearest, texts), "links")
-            labels = components(edges)
-            pairs = stored(_across(pairs, labels), "pairs")
-        more = stored(_verified(pairs.select("a", "b"), texts), "links")
-        if more.isEmpty():
+        before = labels
+        labels = _joined(labels, _verified(_across(pairs, labels), texts))
+        if labels is before:
             break
-        edges = stored(edges.unionAll(more).distinct(), "links")
-        labels = components(edges)
-    if labels is None:
-        return nodes.select("node", F.col("node").alias("component")).limit(0)
     return labels
 
 
-def _mixed_buckets(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of buckets too large to have been paired in full that span several components."""
-    large = rows.groupBy("key").count().filter(f"count > {NEIGHBOURS + 1}").select("key")
-    inside = rows.join(large, "key").join(labels.select("node", "component"), "node", "left")
-    inside = inside.select("key", "label", "node", F.coalesce("component", "node").alias("component"))
-    mixed = inside.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    return inside.join(mixed.select("key"), "key").select("key", "label", "node")
+def _joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels after further links; the same object if there are none."""
+    edges = stored(edges, "links")
+    if edges.isEmpty():
+        return labels
+    u = labels.select(F.col("node").alias("u"), F.col("component").alias("cu"))
+    v = labels.select(F.col("node").alias("v"), F.col("component").alias("cv"))
+    raised = edges.join(u, "u", "left").join(v, "v", "left")
+    merged = components(raised.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
+    new = merged.select(F.col("node").alias("component"), F.col("component").alias("final"))
+    moved = labels.join(new, "component", "left").select("node", F.coalesce("final", "component").alias("component"))
+    # nodes that had no link before are components of themselves
+    fresh = merged.join(labels.select("node"), "node", "left_anti")
+    return stored(moved.unionByName(fresh.select("node", "component")), "labels")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
