@@ -146,11 +146,11 @@ def test_exact_quantiles(spark, limits):
 
 def test_auto_profile(spark):
     df = spark.range(100).selectExpr("id", "id % 3 AS few", "if(id = 5, null, 'x') AS gap")
-    checks = {(e.check, e.column) for e in dq.auto_profile(df)}
+    checks = {(e.check, e.column) for e in dq.auto_profile(df, ["few", "gap"])}
     assert (dq.VALUES_IN_SET, "few") in checks and (dq.VALUES_BETWEEN, "id") in checks
     assert (dq.VALUES_NOT_NULL, "gap") not in checks and (dq.VALUES_IN_SET, "gap") in checks
     shifted = df.withColumn("few", F.col("few") + 1)
-    assert [r["column_name"] for r in dq.failures(shifted, dq.auto_profile(df)).collect()] == ["few"]
+    assert [r["column_name"] for r in dq.failures(shifted, dq.auto_profile(df, ["few"])).collect()] == ["few"]
 
 
 def test_prepared_columns(spark):

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 from typing import Any
 
@@ -255,43 +256,43 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     return df.agg(*stats).select(F.inline(F.array(*rows)))
 
 
-def auto_profile(df: DataFrame, few: int = 60) -> list[Expectation]:
+def auto_profile(df: DataFrame, set_columns: list[str] = ()) -> list[Expectation]:
     """Expectations any similar dataset should meet, generated from ``df``.
 
-    Types always; no nulls where there are none; the value set of columns with at most
-    ``few`` values, and the range of other numeric columns.  Two jobs: the first gives
-    counts and ranges, the second collects the values of columns already known to have
-    few, so no value list can grow with the data.
+    Types always; no nulls where there are none; the value set of the columns in
+    ``set_columns``, of which the caller knows that they hold few values; the range of all
+    other numbers and times.  One job, and one more for the value sets.
     """
     types = {f.name: f.dataType for f in df.schema}
-    profile = {r["column_name"]: r for r in column_profile(df).collect()}
-    # The estimate is within a few percent; twice the bound leaves nothing out.
-    listable = [
-        c for c, r in profile.items() if r["distinct_estimate"] <= 2 * few and _listable(types[c])
-    ]
-    sets = (
-        df.agg(*[F.collect_set(q(c)).alias(c) for c in listable]).first().asDict()
-        if listable
-        else {}
-    )
+    df = prepared(df)
+    ranged = [c for c in df.columns if c not in set_columns and (_is_number(types[c]) or is_time(types[c]))]
+    stats = [F.count(F.lit(1)).alias("__ft_n")]
+    for i, c in enumerate(df.columns):
+        stats.append(F.count(q(c)).alias(f"__ft_{i}_present"))
+        if c in ranged:
+            stats += [F.min(q(c)).alias(f"__ft_{i}_min"), F.max(q(c)).alias(f"__ft_{i}_max")]
+    totals = df.agg(*stats).first()
+    sets = df.agg(*[F.collect_set(q(c)).alias(c) for c in set_columns]).first().asDict() if set_columns else {}
     found: list[Expectation] = []
-    for c, stats in profile.items():
+    for i, c in enumerate(df.columns):
         found.append(values_in_types(c, [types[c].simpleString()]))
-        if stats["null_count"] == 0:
+        if totals[f"__ft_{i}_present"] == totals["__ft_n"]:
             found.append(values_not_null(c))
-        if c in sets and 0 < len(sets[c]) <= few:
+        if sets.get(c):
             found.append(values_in_set(c, sets[c]))
-        elif _is_number(types[c]) and stats["min_value"] is not None:
-            found.append(values_between(c, stats["min_value"], stats["max_value"]))
+        elif c in ranged and totals[f"__ft_{i}_min"] is not None:
+            low, high = (_plain(totals[f"__ft_{i}_{end}"]) for end in ("min", "max"))
+            found.append(values_between(c, low, high))
     return found
 
 
-def _is_number(dtype: T.DataType) -> bool:
-    return isinstance(dtype, T.NumericType)
+def _plain(value):
+    """A value JSON can hold."""
+    return float(value) if isinstance(value, Decimal) else value
 
 
-def _listable(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.StringType, T.IntegralType, T.BooleanType))
+def _is_number(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.NumericType)
 
 
 def consistency_report(

@@ -121,7 +121,6 @@ def _report(source: str, rows: list[str]) -> str:
     return f"WITH t AS ({source}), a AS (SELECT {{aggregates}} FROM t) {parts}"
 
 
-_LATE_ORDERS = "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'"
 _EARLY_ORDERS = "SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'"
 
 
@@ -142,7 +141,7 @@ _PASS_AGGREGATES = """
     count(*) FILTER (o_orderstatus NOT IN ('F', 'O', 'P')) AS odd
 """
 _DQ_PASS = _report(
-    _LATE_ORDERS,
+    "SELECT * FROM orders",
     [
         _row(0, "expect_column_values_to_not_be_null", "o_custkey", "nulls = 0", "1 - nulls / n", "nulls", "nulls"),
         _row(1, "expect_column_values_to_be_between", "o_totalprice", "outside = 0", "1 - outside / n", "outside"),
@@ -161,7 +160,7 @@ _FAIL_AGGREGATES = """
 """
 _DQ_FAIL = f"""
     SELECT * FROM ({_report(
-        _LATE_ORDERS,
+        "SELECT * FROM orders",
         [
             _row(0, "expect_column_max_to_be_between", "o_totalprice", "hi BETWEEN -1000 AND -100", "hi"),
             _row(1, "expect_column_values_to_be_in_set", "o_orderstatus", "odd = 0", "1 - odd / n", "odd"),
@@ -190,15 +189,18 @@ def _dq_quantiles() -> str:
 
 
 def _dq_quantile_check() -> str:
-    def at(p):
-        return _quantile(p, "o_totalprice", _LATE_ORDERS)
+    def at(p, table="SELECT * FROM orders"):
+        return _quantile(p, "o_totalprice", table)
+
+    def near(p):
+        early = at(p, _EARLY_ORDERS)
+        return f"CASE WHEN {at(p)} BETWEEN CAST(0.9 AS DOUBLE) * {early} AND CAST(1.1 AS DOUBLE) * {early} THEN 0 ELSE 1 END"
 
     name = "expect_column_quantile_values_to_be_between"
     rows = [
-        (0, f"(CASE WHEN {at(0.25)} BETWEEN 1 AND 250000 THEN 0 ELSE 1 END) + "
-            f"(CASE WHEN {at(0.5)} BETWEEN 1 AND 10 THEN 0 ELSE 1 END)"),
-        (1, f"(CASE WHEN {at(0.1)} >= 1 THEN 0 ELSE 1 END) + "
-            f"(CASE WHEN {at(0.9)} <= 1000000 THEN 0 ELSE 1 END)"),
+        (0, " + ".join(f"({near(p)})" for p in (0.1, 0.25, 0.5, 0.9))),
+        (1, f"(CASE WHEN {at(0.25)} >= CAST(0.9 AS DOUBLE) * {at(0.25, _EARLY_ORDERS)} THEN 0 ELSE 1 END) + "
+            f"(CASE WHEN {at(0.5)} <= 10 THEN 0 ELSE 1 END)"),
     ]
     return " UNION ALL ".join(
         f"SELECT {_row(i, name, 'o_totalprice', 'bad = 0', 'NULL', 'bad')} "
@@ -208,28 +210,28 @@ def _dq_quantile_check() -> str:
 
 
 def _dq_auto() -> str:
-    early = f"SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM ({_EARLY_ORDERS})"
-    aggregates = "count(*) AS n, " + ", ".join(
-        [
-            "count(*) FILTER (o_totalprice < (SELECT lo FROM e) OR o_totalprice > (SELECT hi FROM e)) AS outside",
-            f"count(*) FILTER (o_orderstatus NOT IN (SELECT o_orderstatus FROM ({_EARLY_ORDERS}))) AS odd_status",
-            f"count(*) FILTER (o_orderpriority NOT IN (SELECT o_orderpriority FROM ({_EARLY_ORDERS}))) AS odd_priority",
-        ]
-    )
-    rows = []
-    for column in ("o_totalprice", "o_orderstatus", "o_orderpriority"):
-        rows.append(_row(None, "expect_column_values_to_be_in_type_list", column, "true"))
-        rows.append(_row(None, "expect_column_values_to_not_be_null", column, "true", "1", "0"))
-    rows.append(
-        _row(None, "expect_column_values_to_be_between", "o_totalprice", "outside = 0", "1 - outside / n", "outside")
-    )
-    rows.append(
-        _row(None, "expect_column_values_to_be_in_set", "o_orderstatus", "odd_status = 0", "1 - odd_status / n", "odd_status")
-    )
-    rows.append(
-        _row(None, "expect_column_values_to_be_in_set", "o_orderpriority", "odd_priority = 0", "1 - odd_priority / n", "odd_priority")
-    )
-    body = _report(_LATE_ORDERS, rows).format(aggregates=aggregates)
+    columns = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
+    sets = ("o_orderstatus", "o_orderpriority")
+    bounds, aggregates, rows = [], ["count(*) AS n"], []
+    for c in columns:
+        # times are compared to the second, as text
+        value = f"strftime({c}, '%Y-%m-%dT%H:%M:%S')" if c == "o_orderdate" else c
+        if c in sets:
+            aggregates.append(f"count(*) FILTER ({c} NOT IN (SELECT {c} FROM ({_EARLY_ORDERS}))) AS bad_{c}")
+        else:
+            bounds.append(f"min({value}) AS lo_{c}, max({value}) AS hi_{c}")
+            aggregates.append(
+                f"count(*) FILTER ({value} < (SELECT lo_{c} FROM e) OR {value} > (SELECT hi_{c} FROM e)) AS bad_{c}"
+            )
+        kind = "expect_column_values_to_be_" + ("in_set" if c in sets else "between")
+        for check, success, observed, bad in (
+            ("expect_column_values_to_be_in_type_list", "true", "NULL", "NULL"),
+            ("expect_column_values_to_not_be_null", "true", "1", "0"),
+            (kind, f"bad_{c} = 0", f"1 - bad_{c} / n", f"bad_{c}"),
+        ):
+            rows.append(_row(len(rows), check, c, success, observed, bad))
+    body = _report("SELECT * FROM orders", rows).format(aggregates=", ".join(aggregates))
+    early = f"SELECT {', '.join(bounds)} FROM ({_EARLY_ORDERS})"
     return body.replace("WITH t AS", f"WITH e AS ({early}), t AS", 1)
 
 
@@ -462,7 +464,7 @@ ORACLES: dict[str, str] = {
     "type_casts": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(NULL AS DOUBLE) AS c_name,
                CAST(c_nationkey AS BIGINT) AS c_nationkey,
-               CAST(floor(c_acctbal) AS INTEGER) AS c_acctbal, c_mktsegment FROM customer
+               CAST(trunc(c_acctbal) AS INTEGER) AS c_acctbal, c_mktsegment FROM customer
     """,
     "cast_failures": """
         SELECT CAST(0 AS BIGINT) AS c_custkey, count(c_name) AS c_name,
