@@ -26,9 +26,8 @@ from pyspark.sql.types import DoubleType, LongType, StructField
 
 from tidemark.llm import kernels
 from tidemark.llm.batches import annotate
-from tidemark.llm.storage import stored
+from tidemark.llm.storage import fresh_folder, stored
 from tidemark.plans.sizes import scanned_bytes
-from tidemark.session import shared_folder
 
 START, END = np.uint64(0x5D1A6C0F3E2B9471), np.uint64(0xA3C59AC2F1039E5B)
 FLUSH_TOKENS = 3_000_000
@@ -314,7 +313,7 @@ def learn(texts: DataFrame, text: str = "text") -> BigramModel:
     rows = texts.select(F.col(text).cast("string").alias("text"))
     size = scanned_bytes(texts) or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size * 2 // SHARD_BYTES))
-    folder = _local(shared_folder(spark, "bigrams"))
+    folder = _local(fresh_folder(spark, "bigrams"))
     os.makedirs(folder, exist_ok=True)
     layout = Layout(folder, shards)
     counted = _dealt(rows.mapInArrow(_count_words(shards), BLOCK), shards).mapInArrow(_merge_words(shards), BLOCK)
