@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tests.frames import T0, hours, naive_asof, random_rows
 from tidemark.operators.asof import AsofSide, asof_join
-from tidemark.plans.sizes import Limits
-from tidemark.plans.skew import find_skew
+from tidemark.plans.sizes import Limits, is_small
+from tidemark.plans.skew import draw_sample, find_skew, with_slice
 
 SPINE = "key bigint, ts timestamp_ntz, row_id bigint"
 FEATURES = "key bigint, ets timestamp_ntz, created timestamp_ntz, value bigint"
@@ -218,7 +218,7 @@ def test_hot_key_is_cut_into_bounded_groups(spark):
     points = rows.select("key", "ts").unionByName(features.select("key", F.col("ets").alias("ts")))
     skew = find_skew(points, ["key"], "ts", limits)
     assert not skew.tied
-    from tidemark.plans.skew import is_hot, with_slice
+    from tidemark.plans.skew import is_hot
 
     hot = with_slice(points.filter(is_hot(["key"], skew)), "ts", skew, "s")
     largest = hot.groupBy("key", "s").count().agg(F.max("count")).first()[0]
@@ -257,3 +257,32 @@ def test_planning_time_does_not_explode_with_the_number_of_features(spark):
     df = asof_join(spine, "ts", [AsofSide("hit", wide, "ets", tuple(names), (("key", "key"),))], "window")
     row = df.select("key", *[F.col("hit").getField(n).alias(n) for n in names]).first()
     assert row["f59"] == 60 and time.monotonic() - start < 60
+
+
+def test_hot_keys_of_different_periods_are_all_cut(spark):
+    hour = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, {} / 1000.0)"
+    brief = spark.range(20_000).selectExpr("0L AS k", hour.format("id * 180") + " AS ts")
+    rest = spark.range(60_000).selectExpr("1 + id % 20 AS k", hour.format("id * 432000") + " AS ts")
+    points = brief.unionAll(rest)
+    limits = Limits(small_bytes=0, group_rows=500, sample_rows=200_000)
+    skew = find_skew(points, ["k"], "ts", limits)
+    assert len(skew.hot) == 21 and not skew.tied
+    largest = with_slice(points, "ts", skew, "slice").groupBy("k", "slice").count().agg(F.max("count")).first()[0]
+    assert largest < 2 * limits.group_rows
+
+
+def test_inputs_that_multiply_rows_are_not_small(spark, tmp_path):
+    path = str(tmp_path / "few")
+    spark.range(10).write.parquet(path)
+    few = spark.read.parquet(path)
+    limits = Limits(small_bytes=1 << 16)
+    assert is_small(limits, few) and is_small(limits, few.join(few.withColumnRenamed("id", "n"), F.col("id") == F.col("n")))
+    assert not is_small(limits, few.selectExpr("explode(sequence(0, 100000)) AS n"))
+    assert not is_small(limits, few.join(few.withColumnRenamed("id", "n"), F.col("id") < F.col("n")))
+
+
+def test_a_sample_drawn_too_large_is_thinned(spark):
+    limits = Limits(sample_rows=100)
+    sample, rows, fraction = draw_sample(spark.range(100_000), limits)
+    assert rows <= 400 and abs(rows / fraction - 100_000) < 50_000
+    sample.unpersist()

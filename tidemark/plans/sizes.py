@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -64,16 +65,33 @@ def _size(plan) -> int:
     return int(str(plan.stats().sizeInBytes()))
 
 
+# Plan nodes whose output Catalyst cannot estimate: generators and functions of the caller.
+_GENERATORS = re.compile(r"\b(Generate|Expand|MapIn\w+|MapPartitions|FlatMap\w*)\b")
+_EQUALITY = re.compile(r"<=>|[^<>!]=")
+
+
+def _plan_lines(df: DataFrame) -> list[str]:
+    plans = _plans(df)
+    return [] if plans is None else plans.analyzed().toString().splitlines()
+
+
 def is_small(limits: Limits, *dfs: DataFrame) -> bool:
     """Whether all inputs together are estimated to stay below ``small_bytes``.
 
     Joins on keys seldom make more rows than they read, whatever the estimate says, so
-    inputs that read very little count as small without one.
+    inputs that read very little count as small without one, unless a join has no
+    equality.  What generators and callers' functions make is never known to be small.
     """
+    lines = [line for df in dfs for line in _plan_lines(df)]
+    if any(_GENERATORS.search(line) for line in lines):
+        return False
+    plain = all(_EQUALITY.search(line) for line in lines if re.search(r"\bJoin\b", line))
     for measure, bound in (
         (scanned_bytes, limits.small_bytes // 4),
         (estimated_bytes, limits.small_bytes),
     ):
+        if measure is scanned_bytes and not plain:
+            continue
         sizes = [measure(df) for df in dfs]
         if None not in sizes and sum(sizes) <= bound:
             return True

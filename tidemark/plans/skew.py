@@ -96,12 +96,39 @@ def find_skew(points: DataFrame, keys: list[str], ts: str, limits: Limits) -> Sk
         if not counts:
             return None
         hot = tuple(sorted(r["h"] for r in counts))
-        largest = max(r["count"] for r in counts) / fraction
-        rows_of_hot = sample.filter(is_hot(keys, Skew(hot, ())))
-        edges = _time_edges(rows_of_hot, ts, _parts(largest, 2, limits))
+        found, tied = _edges_per_key(sample, keys, ts, counts, fraction, limits)
     finally:
         sample.unpersist()
-    return _cut(hot, edges)
+    return Skew(hot, tuple(sorted(found)), tied)
+
+
+def _edges_per_key(
+    sample: DataFrame, keys: list[str], ts: str, counts: list, fraction: float, limits: Limits
+) -> tuple[set[float], bool]:
+    """The time edges that cut every hot key by its own event times, all together.
+
+    Every key is cut at the edges of all of them, so however its rows are spread over
+    time, no slice of it exceeds its own share.  Keys that need about as many parts are
+    looked at in one job over the sample; the edges are at most about twice the rows of
+    hot keys over ``group_rows``.
+    """
+    classes: dict[int, list[int]] = {}
+    for row in counts:
+        parts = _parts(row["count"] / fraction, 2, limits)
+        classes.setdefault(1 << (parts - 1).bit_length(), []).append(row["h"])
+    edges: set[float] = set()
+    tied = False
+    seconds = epoch_seconds(q(ts), sample.schema[ts].dataType)
+    for parts, hashes in classes.items():
+        rows = sample.filter(q(ts).isNotNull()).filter(is_hot(keys, Skew(tuple(sorted(hashes)), ())))
+        per_key = rows.groupBy(F.xxhash64(*[q(k) for k in keys]).alias("h")).agg(
+            _quantiles(seconds, parts).alias("e")
+        )
+        for row in per_key.toLocalIterator():
+            own = set(row["e"] or [])
+            tied = tied or len(own) < len(row["e"] or [])
+            edges |= own
+    return edges, tied
 
 
 def cut_time_line(points: DataFrame, ts: str, limits: Limits) -> Skew:
@@ -145,16 +172,19 @@ def _cut(hot: tuple[int, ...] | None, found: list[float]) -> Skew:
 
 def quantile_edges(df: DataFrame, value: Column, n: int) -> list[float]:
     """The n - 1 values that cut a column into n parts of about equal size."""
-    wanted = ", ".join(f"{i / n:.8f}D" for i in range(1, n))
-    edges = F.expr(f"percentile_approx(v, array({wanted}), {20 * n})")
-    return df.select(value.alias("v")).agg(edges.alias("e")).first()["e"] or []
+    return df.agg(_quantiles(value, n).alias("e")).first()["e"] or []
+
+
+def _quantiles(value: Column, n: int) -> Column:
+    return F.percentile_approx(value, [i / n for i in range(1, n)], 20 * n)
 
 
 def draw_sample(points: DataFrame, limits: Limits) -> tuple[DataFrame, int, float]:
     """A stored sample of about ``sample_rows`` rows, its size and its fraction.
 
     How many rows there are is guessed from the bytes read instead of being counted; a
-    sample that came out too small is drawn again with a larger fraction.
+    sample that came out too small is drawn again with a larger fraction, one that came
+    out too large is thinned.
     """
     size = scanned_bytes(points)
     guess = limits.sample_rows * 100 if size is None else size / _BYTES_PER_ROW
@@ -163,6 +193,12 @@ def draw_sample(points: DataFrame, limits: Limits) -> tuple[DataFrame, int, floa
         drawn = points if fraction >= 1.0 else points.sample(fraction=fraction, seed=17)
         drawn = drawn.persist(StorageLevel.MEMORY_AND_DISK)
         rows = drawn.count()
+        if rows > 4 * limits.sample_rows:
+            share = limits.sample_rows / rows
+            thinned = drawn.sample(fraction=share, seed=18).persist(StorageLevel.MEMORY_AND_DISK)
+            rows = thinned.count()
+            drawn.unpersist()
+            return thinned, rows, fraction * share
         if fraction >= 1.0 or rows * 10 >= limits.sample_rows:
             return drawn, rows, fraction
         drawn.unpersist()
