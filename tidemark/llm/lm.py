@@ -30,8 +30,8 @@ from tidemark.llm.storage import fresh_folder, stored
 from tidemark.plans.sizes import scanned_bytes
 
 START, END = np.uint64(0x5D1A6C0F3E2B9471), np.uint64(0xA3C59AC2F1039E5B)
-FLUSH_TOKENS = 3_000_000
-CHUNK_TOKENS = 1_000_000
+FLUSH_TOKENS = 1_500_000
+CHUNK_TOKENS = 400_000
 SHARD_BYTES = 64 * 1024 * 1024
 _ODD = np.uint64(0x9FB21C651E98DF25)
 BLOCK = "shard int, kind string, n long, payload binary"
@@ -102,14 +102,18 @@ def _previous(tokens: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct keys, the place of one of each, and summed counts."""
+def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, the place of one of each, and summed counts (of ones if not given)."""
     order = np.argsort(keys, kind="stable")
     ordered = keys[order]
     fresh = np.ones(len(keys), dtype=bool)
     fresh[1:] = ordered[1:] != ordered[:-1]
     starts = np.flatnonzero(fresh)
-    return ordered[starts], order[starts], np.add.reduceat(counts[order], starts) if len(keys) else counts
+    if counts is None:
+        summed = np.diff(np.append(starts, len(keys)))
+    else:
+        summed = np.add.reduceat(counts[order], starts) if len(keys) else counts
+    return ordered[starts], order[starts], summed
 
 
 def _rows(shards: list[int], kinds: list[str], sizes: list[int], payloads: list[bytes]) -> pa.RecordBatch:
@@ -161,7 +165,7 @@ def _merged(blocks, kind: str, *types) -> list[np.ndarray]:
 def _count_words(shards: int):
     def run(batches):
         for tokens, _ in _flushes(batches):
-            words, _, counts = _summed(tokens, np.ones(len(tokens), dtype=np.int64))
+            words, _, counts = _summed(tokens)
             yield from _blocks("words", _shard(words, shards), words, counts)
 
     return run
@@ -188,7 +192,7 @@ def _count_pairs(layout: Layout):
     def run(batches):
         for tokens, before in _flushes(batches):
             keys = _pair_key(before, tokens)
-            _, place, counts = _summed(keys, np.ones(len(keys), dtype=np.int64))
+            _, place, counts = _summed(keys)
             first, second = before[place], tokens[place]
             shard = layout.pair_shard(first, second)
             order = np.lexsort((first, shard))
@@ -227,7 +231,7 @@ def _merge_pairs(layout: Layout):
             held = counts[order]
             stats = [np.add.reduceat(x.astype(np.int64), starts) for x in (held, held == 1, held == 2, held >= 3)]
             yield from _blocks("contexts", _shard(own, layout.shards), own, *stats)
-            words, _, ways = _summed(second, np.ones(len(second), dtype=np.int64))
+            words, _, ways = _summed(second)
             yield from _blocks("ways", _shard(words, layout.shards), words, ways)
 
     return run
