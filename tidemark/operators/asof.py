@@ -35,7 +35,7 @@ from tidemark.functions.columns import all_not_null, orderable, q
 from tidemark.functions.times import age_limit, align, is_time
 from tidemark.operators.latest import latest_per_key
 from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, is_small
-from tidemark.plans.skew import Skew, cut_time_line, find_skew, is_hot, with_slice
+from tidemark.plans.skew import LAST, RANK, Skew, cut_time_line, find_skew, ranked, with_slice
 
 # Internal columns; the prefix keeps them clear of user columns.
 _TS = "__ft_ts"
@@ -262,24 +262,23 @@ def _spread_unmatched(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def _assign_slice(df: DataFrame, keys: list[str], skew: Skew) -> DataFrame:
     """Slice number for hot keys, -1 for all others."""
-    sliced = with_slice(df, _TS, skew, _SLICE)
-    return sliced.withColumn(_SLICE, F.when(is_hot(keys, skew), q(_SLICE)).otherwise(F.lit(-1)))
+    return with_slice(df, keys, _TS, skew, _SLICE)
 
 
 def _with_carry(df: DataFrame, keys: list[str], side: AsofSide, skew: Skew) -> DataFrame:
     """Feature rows with their slice, plus the last row before each slice of a hot key."""
     sliced = _assign_slice(df, keys, skew)
-    last_slice = skew.slices - 1
-    if last_slice == 0:
+    if skew.slices == 1:
         return sliced
     hot = sliced.filter(q(_SLICE) >= 0)
     last = latest_per_key(hot, [*keys, _SLICE], _recency(hot, _TS, _CREATED))
     # One row per hot key and slice by now, so this window stays small.
     following = F.lead(_SLICE).over(Window.partitionBy(*keys).orderBy(_SLICE))
-    carried = last.withColumn("__ft_to", F.coalesce(following, F.lit(last_slice)))
+    carried = ranked(last.withColumn("__ft_next", following), keys, skew)
+    carried = carried.withColumn("__ft_to", F.coalesce("__ft_next", LAST)).drop(RANK, LAST)
     if side.ttl:
         carried = carried.withColumn("__ft_exp", q(_TS) + F.lit(side.ttl))
-        carried = with_slice(carried, "__ft_exp", skew, "__ft_end")
+        carried = with_slice(carried, keys, "__ft_exp", skew, "__ft_end")
         carried = carried.withColumn("__ft_to", F.least("__ft_to", "__ft_end"))
     carried = (
         carried.filter(q(_SLICE) < q("__ft_to"))

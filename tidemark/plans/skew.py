@@ -7,8 +7,9 @@ never a result.
 
 from __future__ import annotations
 
+import bisect
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
@@ -28,35 +29,58 @@ _BYTES_PER_ROW = 40
 
 @dataclass(frozen=True)
 class Skew:
-    """Hot keys (by hash) and the time edges that cut them.
+    """Hot keys (by hash) and the time edges that cut each of them.
 
-    ``hot`` is None when there are no keys at all, i.e. every row is in one group.
-    ``tied`` says that one single event time holds a whole slice's worth of rows, so
-    that cutting by time alone would leave a large group.
+    ``hot`` is None when there are no keys at all, i.e. every row is in one group.  Rows
+    are placed on one line: the rank of their key plus their time as a share of the
+    sampled span, so a slice belongs to one key and slices of a key follow its time.
+    ``edges`` cut that line.  ``tied`` says that one single event time holds a whole
+    slice's worth of rows, so that cutting by time alone would leave a large group.
     """
 
     hot: tuple[int, ...] | None
     edges: tuple[float, ...]
     tied: bool = False
+    start: float = 0.0
+    span: float = 1.0
 
     @property
     def slices(self) -> int:
         return len(self.edges) + 1
 
+    def last_slice(self, rank: int) -> int:
+        return bisect.bisect_left(self.edges, rank + 1.0)
 
-def is_hot(keys: list[str], skew: Skew) -> Column:
-    """Whether a row belongs to a hot key."""
+    def place(self, seconds: Column) -> Column:
+        """Share of the span; order is kept, and times beyond the sample's stay inside."""
+        share = (seconds - F.lit(self.start)) / F.lit(self.span)
+        return F.greatest(F.lit(0.0), F.least(share, F.lit(_ALMOST_ONE)))
+
+
+# Below one by more than the rounding of a rank and a share added up.
+_ALMOST_ONE = 1.0 - 1e-9
+_HASH, RANK, LAST = "__ft_hash", "__ft_rank", "__ft_last"
+
+
+def ranked(df: DataFrame, keys: list[str], skew: Skew) -> DataFrame:
+    """Adds the rank of a row's key among the hot ones and its last slice; null for others.
+
+    The hot keys, at most ``max_hot_keys``, are sent to every task.
+    """
     if skew.hot is None:
-        return F.lit(True)
-    # As text: thousands of literals are slow to hand over one by one.
-    names = ", ".join(f"`{k}`" for k in keys)
-    return F.expr(f"xxhash64({names}) IN ({', '.join(map(str, skew.hot))})")
+        return df.withColumns({RANK: F.lit(0), LAST: F.lit(skew.last_slice(0))})
+    rows = [(h, r, skew.last_slice(r)) for r, h in enumerate(skew.hot)]
+    table = df.sparkSession.createDataFrame(rows, f"{_HASH} bigint, {RANK} int, {LAST} int")
+    return df.join(F.broadcast(table), F.xxhash64(*[q(k) for k in keys]) == q(_HASH), "left").drop(_HASH)
 
 
-def with_slice(df: DataFrame, ts: str, skew: Skew, name: str) -> DataFrame:
-    """Add the number of the time slice a row falls into."""
+def with_slice(df: DataFrame, keys: list[str], ts: str, skew: Skew, name: str) -> DataFrame:
+    """Add the number of the slice a row falls into, -1 for keys that are not hot."""
     seconds = epoch_seconds(q(ts), df.schema[ts].dataType)
-    return with_range(df, seconds, skew.edges, name)
+    placed = ranked(df, keys, skew)
+    sliced = with_range(placed, q(RANK) + skew.place(seconds), skew.edges, name)
+    found = F.when(q(RANK).isNotNull(), q(name)).otherwise(F.lit(-1))
+    return sliced.withColumn(name, found).drop(RANK, LAST)
 
 
 def with_range(df: DataFrame, value: Column, edges, name: str) -> DataFrame:
@@ -95,52 +119,52 @@ def find_skew(points: DataFrame, keys: list[str], ts: str, limits: Limits) -> Sk
         )
         if not counts:
             return None
-        hot = tuple(sorted(r["h"] for r in counts))
-        found, tied = _edges_per_key(sample, keys, ts, counts, fraction, limits)
+        return _cut_keys(sample, keys, ts, counts, fraction, limits)
     finally:
         sample.unpersist()
-    return Skew(hot, tuple(sorted(found)), tied)
 
 
-def _edges_per_key(
+def _cut_keys(
     sample: DataFrame, keys: list[str], ts: str, counts: list, fraction: float, limits: Limits
-) -> tuple[set[float], bool]:
-    """The time edges that cut every hot key by its own event times, all together.
+) -> Skew:
+    """Cuts every hot key at quantiles of its own event times.
 
-    Every key is cut at the edges of all of them, so however its rows are spread over
-    time, no slice of it exceeds its own share.  Keys that need about as many parts are
-    looked at in one job over the sample; the edges are at most about twice the rows of
-    hot keys over ``group_rows``.
+    Keys that need about as many parts are looked at in one job over the sample; all
+    edges together are about twice the rows of hot keys over ``group_rows``.
     """
+    hot = tuple(sorted(r["h"] for r in counts))
+    seconds = epoch_seconds(q(ts), sample.schema[ts].dataType)
+    timed = sample.filter(q(ts).isNotNull())
+    ends = timed.agg(F.min(seconds).alias("lo"), F.max(seconds).alias("hi")).first()
+    start = ends["lo"] or 0.0
+    bare = Skew(hot, (), start=start, span=max((ends["hi"] or 0.0) - start, 1.0) * (1 + 1e-6))
+    line = ranked(timed, keys, bare).filter(q(RANK).isNotNull())
+    line = line.select(q(RANK), (q(RANK) + bare.place(seconds)).alias("v"))
     classes: dict[int, list[int]] = {}
+    place = {h: r for r, h in enumerate(hot)}
     for row in counts:
         parts = _parts(row["count"] / fraction, 2, limits)
-        classes.setdefault(1 << (parts - 1).bit_length(), []).append(row["h"])
-    edges: set[float] = set()
+        classes.setdefault(1 << (parts - 1).bit_length(), []).append(place[row["h"]])
+    edges = {float(r) for r in range(1, len(hot))}
     tied = False
-    seconds = epoch_seconds(q(ts), sample.schema[ts].dataType)
-    for parts, hashes in classes.items():
-        rows = sample.filter(q(ts).isNotNull()).filter(is_hot(keys, Skew(tuple(sorted(hashes)), ())))
-        per_key = rows.groupBy(F.xxhash64(*[q(k) for k in keys]).alias("h")).agg(
-            _quantiles(seconds, parts).alias("e")
-        )
-        for row in per_key.toLocalIterator():
-            own = set(row["e"] or [])
-            tied = tied or len(own) < len(row["e"] or [])
-            edges |= own
-    return edges, tied
+    for parts, ranks in classes.items():
+        chosen = line if len(classes) == 1 else line.filter(q(RANK).isin(ranks))
+        for row in chosen.groupBy(RANK).agg(_quantiles(q("v"), parts).alias("e")).toLocalIterator():
+            found = row["e"] or []
+            tied = tied or len(set(found)) < len(found)
+            edges.update(found)
+    return replace(bare, edges=tuple(sorted(edges)), tied=tied)
 
 
 def cut_time_line(points: DataFrame, ts: str, limits: Limits) -> Skew:
     """Slices for rows without keys, which would otherwise all meet in one group."""
     if is_small(limits, points):
-        return _cut(None, _time_edges(points, ts, limits.min_slices))
+        return _cut_line(points, ts, limits.min_slices)
     sample, rows, fraction = draw_sample(points, limits)
     try:
-        edges = _time_edges(sample, ts, _parts(rows / fraction, limits.min_slices, limits))
+        return _cut_line(sample, ts, _parts(rows / fraction, limits.min_slices, limits))
     finally:
         sample.unpersist()
-    return _cut(None, edges)
 
 
 def range_edges(values: DataFrame, column: str, limits: Limits) -> list[float]:
@@ -160,14 +184,15 @@ def _parts(rows: float, least: int, limits: Limits) -> int:
     return min(limits.max_slices, max(least, math.ceil(rows / limits.group_rows)))
 
 
-def _time_edges(df: DataFrame, ts: str, n: int) -> list[float]:
+def _cut_line(df: DataFrame, ts: str, n: int) -> Skew:
     seconds = epoch_seconds(q(ts), df.schema[ts].dataType)
-    return quantile_edges(df.filter(q(ts).isNotNull()), seconds, n)
-
-
-def _cut(hot: tuple[int, ...] | None, found: list[float]) -> Skew:
-    edges = tuple(sorted(set(found)))
-    return Skew(hot, edges, tied=len(edges) < len(found))
+    found = quantile_edges(df.filter(q(ts).isNotNull()), seconds, n)
+    if not found:
+        return Skew(None, ())
+    start, span = found[0], max(found[-1] - found[0], 1.0) * 2
+    # The outer quarters of the line hold the times before the first edge and after the last.
+    edges = sorted({0.25 + (x - start) / span for x in found})
+    return Skew(None, tuple(edges), len(edges) < len(found), start - span / 4, span)
 
 
 def quantile_edges(df: DataFrame, value: Column, n: int) -> list[float]:
