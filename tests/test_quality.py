@@ -18,7 +18,7 @@ from tidemark import (
     TableSource,
     TableStorage,
 )
-from tidemark.errors import SavedDatasetNotFound, ValidationFailed
+from tidemark.errors import SavedDatasetNotFound, SourceValidationError, ValidationFailed
 from tidemark.functions.keys import entity_hash, entity_key, row_id
 from tidemark.functions.times import align, epoch_seconds, in_zone
 from tidemark.functions.types import cast_failures, spark_type
@@ -26,6 +26,7 @@ from tidemark.operators import quality as dq
 from tidemark.operators.quantiles import exact_quantiles
 from tidemark.plans.historical import time_span
 from tidemark.plans.sizes import Limits
+from tidemark.sources.batch import ConnectorSource, check_partition_format
 
 
 @pytest.fixture()
@@ -229,3 +230,71 @@ def test_keys(spark):
 def test_cast_failures(spark):
     df = spark.createDataFrame([("1",), ("x",), (None,)], "a string")
     assert cast_failures(df, {"a": spark_type("int")}).first()["a"] == 1
+
+
+def test_arrow_batches_and_query_text(spark, job):
+    _, retrieval = job
+    batches = list(retrieval.to_batches())
+    assert sum(b.num_rows for b in batches) == 10 and batches[0].schema.names == retrieval.df.columns
+    assert "Physical Plan" in retrieval.query_text()
+
+
+def test_quantile_checks_of_a_column_share_their_plan(spark):
+    df = spark.range(1000).selectExpr("id", "id * 2 AS twice")
+    checks = [
+        dq.quantiles_between("id", [0.5], [(400, 600)]),
+        dq.quantiles_between("id", [0.5, 0.9], [(400, 600), (None, 10)]),
+        dq.quantiles_between("twice", [0.1], [(150, 250)]),
+        dq.values_not_null("id"),
+    ]
+    rows = dq.report(df, checks).orderBy("position").collect()
+    assert [(r["success"], r["unexpected_count"]) for r in rows] == [(True, 0), (False, 1), (True, 0), (True, 0)]
+
+
+def test_times_are_checked_as_utc_in_any_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00' AS t")
+        assert dq.prepared(df).first()["t"] == "2024-03-10T02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_connectors_and_endpoints(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    source = ConnectorSource(format="parquet", options={"path": str(tmp_path / "t")})
+    assert source.read(spark).count() == 3
+    given = {}
+
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            given.update(options)
+            return self
+
+        def option(self, key, value):
+            given[key] = value
+            return self
+
+        def load(self, path):
+            return path
+
+    class Session:
+        read = Reader()
+
+    endpoint = FileSource(path="s3a://b/t", s3_endpoint_override="http://host:9000", options={"mergeSchema": "true"})
+    assert endpoint.read(Session()) == "s3a://b/t"
+    assert given == {"mergeSchema": "true", "fs.s3a.endpoint": "http://host:9000"}
+
+
+@pytest.mark.parametrize("pattern, kind", [("yyyyMMdd", "int"), ("dd-MM-yyyy", "string"), ("yyyy-MM-dd", "double"), ("yyyy-MM", "int")])
+def test_partition_formats_must_sort(pattern, kind):
+    dtype = spark_type(kind)
+    if (pattern, kind) == ("yyyyMMdd", "int"):
+        check_partition_format(dtype, pattern)
+    else:
+        with pytest.raises(SourceValidationError):
+            check_partition_format(dtype, pattern)

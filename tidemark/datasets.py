@@ -18,6 +18,7 @@ from tidemark.errors import SavedDatasetNotFound
 from tidemark.functions.columns import q
 from tidemark.functions.times import utc_text
 from tidemark.operators.quality import Expectation, Profiler, validate
+from tidemark.session import shared_folder
 from tidemark.sources.batch import in_time_range
 
 
@@ -44,17 +45,42 @@ class Retrieval:
 
     def to_df(self, validation_reference: Reference | None = None) -> pd.DataFrame:
         """The rows as pandas, checked first if a reference is given."""
-        self.validate(validation_reference)
-        return self.df.toPandas()
+        return self.validated(validation_reference).toPandas()
 
     def to_arrow(self, validation_reference: Reference | None = None) -> pa.Table:
-        self.validate(validation_reference)
-        return self.df.toArrow()
+        return self.validated(validation_reference).toArrow()
+
+    def to_batches(self) -> Iterator[pa.RecordBatch]:
+        """The rows as Arrow batches, one partition at a time."""
+
+        def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema) as out:
+                    out.write_batch(batch)
+                yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["batch"])
+
+        for row in self.df.mapInArrow(packed, "batch binary").toLocalIterator(prefetchPartitions=True):
+            yield from pa.ipc.open_stream(row["batch"])
 
     def to_rows(self) -> Iterator[Row]:
         """The rows one partition at a time, for results too large to collect."""
         return self.df.toLocalIterator(prefetchPartitions=True)
 
+    def validated(self, reference: Reference | None) -> DataFrame:
+        """The rows, checked first if a reference is given; the joins run once for both.
+
+        The checked rows are kept in a table in the shared folder while they are handed on.
+        """
+        if reference is None:
+            return self.df
+        spark = self.df.sparkSession
+        path = shared_folder(spark, "validated")
+        self.df.write.parquet(path)
+        rows = spark.read.schema(self.df.schema).parquet(path)
+        validate(rows, list(reference.expectations))
+        return rows
+
     def validate(self, reference: Reference | None) -> None:
         """Check the rows on the executors; raises if an expectation is not met."""
         if reference is not None:
@@ -67,6 +93,10 @@ class Retrieval:
         """Print the query plan with its size estimates; nothing runs."""
         self.df.explain("cost")
 
+    def query_text(self) -> str:
+        """The logical and physical plans as text; nothing runs."""
+        return self.df._jdf.queryExecution().toString()
+
 
 @dataclass(frozen=True)
 class FileStorage:

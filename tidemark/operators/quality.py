@@ -1,7 +1,7 @@
 """Profiling datasets and checking them against expectations.
 
-All expectations of a dataset are evaluated by one aggregation over it (plus one job
-shape per quantile check); the report is a small DataFrame.
+All expectations of a dataset are evaluated by one aggregation over it, and one more
+plan per column with quantile checks; the report is a small DataFrame.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from decimal import Decimal
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -107,24 +106,30 @@ def report(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
     """One row per expectation, in order of ``position``."""
     types = {f.name: f.dataType.simpleString() for f in df.schema}
     df = prepared(df)
-    single = [(i, e) for i, e in enumerate(expectations) if e.check != QUANTILES_BETWEEN]
-    rows = []
-    if single:
-        stats: dict[str, Column] = {"__ft_n": F.count(F.lit(1))}
-        for i, e in single:
-            stats.setdefault(f"__ft_present_{e.column}", F.count(q(e.column)))
-            for name, stat in _stats(e).items():
-                stats[f"__ft_{i}_{name}"] = stat
-        # A single row.
-        totals = df.agg(*[c.alias(n) for n, c in stats.items()])
-        results = F.array(*[_result(i, e, types) for i, e in single])
-        rows.append(totals.select(F.inline(results)))
-    for i, e in enumerate(expectations):
-        if e.check == QUANTILES_BETWEEN:
-            rows.append(_quantile_rows(df, i, e))
-    if not rows:
+    numbered = list(enumerate(expectations))
+    if not numbered:
         return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
-    return reduce(DataFrame.unionByName, rows)
+    stats: dict[str, Column] = {"__ft_n": F.count(F.lit(1))}
+    probabilities: dict[str, dict[float, int]] = {}
+    for i, e in numbered:
+        stats.setdefault(f"__ft_present_{e.column}", F.count(q(e.column)))
+        for name, stat in _stats(e).items():
+            stats[f"__ft_{i}_{name}"] = stat
+        if e.check == QUANTILES_BETWEEN:
+            wanted = probabilities.setdefault(e.column, {})
+            for p in e.params["quantiles"]:
+                wanted.setdefault(p, len(wanted))
+    # A single row, and a single row more per column with quantile checks.
+    totals = df.agg(*[c.alias(n) for n, c in stats.items()])
+    for k, (column, wanted) in enumerate(probabilities.items()):
+        found = exact_quantiles(df, column, list(wanted)).withColumnRenamed("quantiles", f"__ft_quantiles_{k}")
+        totals = totals.join(F.broadcast(found), F.lit(True), "left")
+    places = {c: (f"__ft_quantiles_{k}", wanted) for k, (c, wanted) in enumerate(probabilities.items())}
+    results = [
+        _quantile_result(i, e, *places[e.column]) if e.check == QUANTILES_BETWEEN else _result(i, e, types)
+        for i, e in numbered
+    ]
+    return totals.select(F.inline(F.array(*results)))
 
 
 def failures(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
@@ -153,7 +158,7 @@ def _stats(e: Expectation) -> dict[str, Column]:
         return {"value": F.min(column)}
     if e.check == MAX_BETWEEN:
         return {"value": F.max(column)}
-    if e.check == VALUES_IN_TYPES:
+    if e.check in (VALUES_IN_TYPES, QUANTILES_BETWEEN):
         return {}
     raise ValueError(f"unknown check {e.check!r}")
 
@@ -202,24 +207,14 @@ def _row(i, e: Expectation, success, observed, unexpected, n, present) -> Column
     )
 
 
-def _quantile_rows(df: DataFrame, i: int, e: Expectation) -> DataFrame:
-    """The report row of a quantile check: quantiles and counts meet as two one-row tables."""
-    quantiles = exact_quantiles(df, e.column, e.params["quantiles"])
-    counts = df.agg(F.count(F.lit(1)).alias("n"), F.count(q(e.column)).alias("present"))
-    both = quantiles.withColumn("one", F.lit(1)).unionByName(
-        counts.withColumn("one", F.lit(1)), allowMissingColumns=True
-    )
-    row = both.groupBy("one").agg(
-        F.max("quantiles").alias("quantiles"), F.max("n").alias("n"), F.max("present").alias("present")
-    )
-    checks = [
-        F.get(F.col("quantiles"), F.lit(j)).isNotNull()
-        & _between(F.get(F.col("quantiles"), F.lit(j)), low, high)
-        for j, (low, high) in enumerate(e.params["ranges"])
-    ]
-    bad = sum((F.when(ok, 0).otherwise(1) for ok in checks), F.lit(0))
-    result = _row(i, e, bad == 0, F.lit(None), bad, F.col("n"), F.col("present"))
-    return row.select(result.alias("r")).select("r.*")
+def _quantile_result(i: int, e: Expectation, column: str, places: dict[float, int]) -> Column:
+    """The report row of a quantile check, from the aggregated row."""
+    bad = F.lit(0)
+    for p, (low, high) in zip(e.params["quantiles"], e.params["ranges"]):
+        value = F.get(q(column), F.lit(places[p]))
+        ok = value.isNotNull() & _between(value, low, high)
+        bad = bad + F.when(ok, 0).otherwise(1)
+    return _row(i, e, bad == 0, F.lit(None), bad, q("__ft_n"), q(f"__ft_present_{e.column}"))
 
 
 # -- profiles -------------------------------------------------------------------
