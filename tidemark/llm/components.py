@@ -12,7 +12,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     moved = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.filter("u <> v").distinct()
+    return moved.filter("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

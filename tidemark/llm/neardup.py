@@ -36,11 +36,12 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 PERCENT = 75
-SMALL = 16  # rows of a bucket that are paired in full
+SMALL = 24  # rows of a bucket that are paired in full
 ORDERS = 4  # of large buckets, per round
 NEAREST = 4  # rows of other components each row is paired with, per order
 # Sketches are compared byte by byte; 0.75 - 4 standard deviations of 128 draws.
 LEAST_ESTIMATE = 0.597
+SURE = 0.85
 MEMBERS = 256  # of one first text, per group of the verification
 _PIECE = 1 << 18
 
@@ -218,11 +219,10 @@ def _across_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _pairs_across(large: DataFrame, nodes: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Candidate pairs from large buckets of several components, each sorted in ``ORDERS`` ways."""
-    own = nodes.join(labels.select("node", "component"), "node", "left")
-    own = own.select("node", "bands", F.coalesce("component", "node").alias("component"))
-    rows = large.join(own, "node")
+def _pairs_across(large: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Candidate pairs from rows (key, node, bands) of buckets of several components, sorted in ``ORDERS`` ways."""
+    rows = large.join(labels.select("node", "component"), "node", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "node"))
     mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     rows = rows.join(mixed.select("key"), "key", "left_semi")
     orders = F.explode(F.array(*[F.lit(turn * ORDERS + k) for k in range(ORDERS)])).alias("order")
@@ -302,10 +302,12 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _node_texts(nodes: DataFrame, pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Texts of the nodes that occur in pairs."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    found = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+def _node_texts(docs: DataFrame, pairs: DataFrame, large: DataFrame) -> DataFrame:
+    """Texts of the nodes that occur in pairs or in large buckets: all that may be compared."""
+    ids = [pairs.select(F.col(c).alias("doc_id")) for c in ("a", "b")]
+    wanted = ids[0].unionAll(ids[1]).unionAll(large.select(F.col("node").alias("doc_id"))).distinct()
+    # Always by shuffle, so that the plan is the same at every size.
+    found = docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
     return found.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "text")
 
 
@@ -318,17 +320,17 @@ def links(docs: DataFrame, nodes: DataFrame, max_rounds: int = 4) -> DataFrame:
     large = found.filter("b IS NULL").select("key", F.col("a").alias("node"))
     pairs = _plausible(found.filter("b IS NOT NULL").select("a", "b").distinct(), nodes)
     pairs = stored(pairs, "plausible")
-    texts = stored(_node_texts(nodes, pairs, docs), "texts")
-    nearest = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a")).select("a", "b")
+    texts = stored(_node_texts(docs, pairs, large), "texts")
+    # Of partners that are all very similar the smallest, so that dense groups are stars at once.
+    order = F.struct(F.least("alike", F.lit(SURE)), -F.col("a"))
+    nearest = pairs.groupBy("b").agg(F.max_by("a", order).alias("a")).select("a", "b")
     labels = components(_verified(nearest, texts))
     labels = _joined(labels, _verified(_across(pairs, labels), texts))
-    if large.isEmpty():
-        return labels
+    large = stored(large.join(nodes.select("node", "bands"), "node"), "large")
     for turn in range(max_rounds):
-        pairs = stored(_plausible(_pairs_across(large, nodes, labels, turn), nodes), "plausible")
+        pairs = stored(_plausible(_pairs_across(large, labels, turn), nodes), "plausible")
         if pairs.isEmpty():
             break
-        texts = stored(_node_texts(nodes, pairs, docs), "texts")
         before = labels
         labels = _joined(labels, _verified(_across(pairs, labels), texts))
         if labels is before:
