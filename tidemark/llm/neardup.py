@@ -332,7 +332,7 @@ def links(docs: DataFrame, nodes: DataFrame, max_rounds: int = 4) -> DataFrame:
         if pairs.isEmpty():
             break
         before = labels
-        labels = _joined(labels, _verified(_across(pairs, labels), texts))
+        labels = _joined(labels, _verified(pairs.select("a", "b"), texts))
         if labels is before:
             break
     return labels
