@@ -220,6 +220,32 @@ def test_components_against_all_pairs(spark):
     assert got == want
 
 
+def test_pairs_among_many_texts_on_one_template(spark):
+    rng, rows, want = random.Random(9), [], {}
+    fresh = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+    template = fresh(172)  # 168 of 200 shingles, so any two texts have a similarity of 168 / 232
+    for k in range(1800):
+        own = fresh(32)
+        first = len(rows)
+        rows.append((first, " ".join(template + own), "en", "s"))
+        want[first] = first
+        if k % 9 == 0:  # 172 / 228
+            rows.append((first + 1, " ".join(template + own[:4] + fresh(28)), "en", "s"))
+            want[first + 1] = first
+    assert brute_components([r[:2] for r in rows[:40]]) == {i: (200, want[i]) for i in range(40)}
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(tables.frame(spark, rows)).collect()}
+    assert got == want
+
+
+def test_slices_of_large_buckets_leave_no_pair_out(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SKETCHES", 16)
+    monkeypatch.setattr(neardup, "TEXTS", 8)
+    rows = near_rows()
+    want = brute_components([(r[0], r[1]) for r in rows])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(tables.frame(spark, rows)).collect()}
+    assert got == want
+
+
 def test_stars_find_long_paths_and_hubs(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 60)] + [(7, 7), (201, 200), (200, 201)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}

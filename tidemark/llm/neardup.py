@@ -11,14 +11,16 @@ similarity of 0.75 or more.
    kept for step 5.  So the pairs are linear in the rows, whatever the size of a group.
 4. Pairs are checked on sketches of the minima, then on the full sets: first the most
    similar partner of each node, then every pair that still joins two components.
-5. Rows of large buckets that span several components are sorted anew by other bands, in
-   several orders, and paired with the nearest rows of other components, until a round
-   finds no link.
+5. In large buckets that span several components all rows of different components that
+   fit by size are compared, block by block: on their sketches, and those that may have a
+   partner on their full sets, whose shared shingles are counted by products of matrices.
+   A block sends only links that join components, at most one a row, so no pair is left
+   out and none is written that changes nothing.
 """
 
 from __future__ import annotations
 
-from collections import deque
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +39,9 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 PERCENT = 75
 SMALL = 24  # rows of a bucket that are paired in full
-ORDERS = 4  # of large buckets, per round
-NEAREST = 4  # rows of other components each row is paired with, per order
+# Rows and shingles of a slice of a large bucket; blocks are pairs of slices.
+SKETCHES, TEXTS, SHINGLES = 1024, 256, 1 << 20
+COLUMNS = 4096  # shingles counted at a time
 # Sketches are compared byte by byte; 0.75 - 4 standard deviations of 128 draws.
 LEAST_ESTIMATE = 0.597
 SURE = 0.85
@@ -198,39 +201,160 @@ def _label(band, step: int):
     return label
 
 
-def _across_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of near rows of different components within runs of the sorted rows (key, node, component)."""
-    now, recent = None, deque(maxlen=64)
-    for batch in batches:
-        found = set()
-        for key, node, component in zip(*(c.to_pylist() for c in batch.columns)):
-            if key != now:
-                now = key
-                recent.clear()
-            taken = 0
-            for other, its in reversed(recent):
-                if its != component:
-                    found.add((min(other, node), max(other, node)))
-                    taken += 1
-                    if taken == NEAREST:
-                        break
-            recent.append((node, component))
-        a, b = zip(*sorted(found)) if found else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-def _pairs_across(large: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Candidate pairs from rows (key, node, bands) of buckets of several components, sorted in ``ORDERS`` ways."""
+def _mixed(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (key, node, component) of buckets of several components; of buckets of the same rows only one."""
     rows = large.join(labels.select("node", "component"), "node", "left")
     rows = rows.withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    rows = rows.join(mixed.select("key"), "key", "left_semi")
-    orders = F.explode(F.array(*[F.lit(turn * ORDERS + k) for k in range(ORDERS)])).alias("order")
-    rows = rows.select("key", "node", "component", "bands", orders)
-    label = _label(F.pmod(F.xxhash64("key", "order"), F.lit(BANDS)).cast("int"), 5)
-    sorted_rows = rows.select(F.xxhash64("key", "order").alias("key"), label.alias("label"), "node", "component")
-    sorted_rows = sorted_rows.repartitionByRange("key", "label").sortWithinPartitions("key", "label", "node")
-    return sorted_rows.select("key", "node", "component").mapInArrow(_across_task, "a long, b long").distinct()
+    buckets = rows.groupBy("key").agg(
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+    )
+    once = buckets.filter("lo <> hi").groupBy("n", "one", "two").agg(F.min("key").alias("key"))
+    return rows.join(once.select("key"), "key", "left_semi").select("key", "node", "component")
+
+
+def _blocks(rows: DataFrame, most_rows: int, most_shingles: int | None = None) -> DataFrame:
+    """Rows (block, part, side, key, node, component, n_shingles): any two of a bucket that fit by size share a block.
+
+    Sizes of linked sets lie in the same or in neighbouring classes.  A cell holds a class
+    (side 0) and the one above it (side 1), and is cut into slices.  A block holds two
+    slices (parts 0 and 1) or one (part 2).
+    """
+    size = F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(math.log(1.34)))  # a little above 4 / 3
+    both = rows.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1))))
+    both = both.withColumn("cell", F.xxhash64("key", size - F.col("side")))
+    groups = F.ceil(F.count(F.lit(1)) / most_rows)
+    if most_shingles:
+        groups = F.greatest(groups, F.ceil(F.sum("n_shingles") / most_shingles))
+    cells = both.groupBy("cell").agg(
+        groups.cast("int").alias("groups"),
+        F.min("side").alias("first"),
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
+    )
+    cells = cells.filter("first = 0 AND lo <> hi").select("cell", "groups")
+    dealt = both.join(cells, "cell").withColumn("slice", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    return dealt.select(
+        F.xxhash64("cell", F.least("slice", "other"), F.greatest("slice", "other")).alias("block"),
+        F.expr("CASE WHEN slice < other THEN 0 WHEN slice > other THEN 1 ELSE 2 END").alias("part"),
+        "side",
+        "key",
+        "node",
+        "component",
+        "n_shingles",
+    )
+
+
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one block after the other, from rows sorted by block."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = batch.column(0).to_numpy()
+        for start, end in _runs(keys) if len(keys) else ():
+            if held and held[0].column(0)[0].as_py() != keys[start]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _sides(block: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows to compare with which rows, and which of these pairs fit by class, component and size."""
+    part, side, component, size = (block.column(c).to_numpy() for c in ("part", "side", "component", "n_shingles"))
+    a, b = np.flatnonzero(part != 1), np.flatnonzero(part != 0)
+    fits = (side[a][:, None] + side[b] < 2) & (component[a][:, None] != component[b])
+    fits &= 100 * np.minimum(size[a][:, None], size[b]) >= PERCENT * np.maximum(size[a][:, None], size[b])
+    return a, b, fits
+
+
+def _near_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, node) of the rows of a block whose sketch allows a link with another one."""
+    for block in _block_rows(batches):
+        a, b, fits = _sides(block)
+        if not fits.any():
+            continue
+        joined = b"".join(block.column("sketch").to_pylist())
+        sketches = np.ascontiguousarray(np.frombuffer(joined, dtype=np.uint8).reshape(-1, HASHES).T)
+        alive = np.zeros(block.num_rows, dtype=bool)
+        for at in range(0, len(a), 128):
+            own = a[at : at + 128]
+            alike = np.zeros((len(own), len(b)), dtype=np.uint8)
+            for column in sketches:
+                alike += column[own][:, None] == column[b]
+            near = fits[at : at + 128] & (alike >= LEAST_ESTIMATE * HASHES)
+            alive[own[near.any(axis=1)]] = True
+            alive[b[near.any(axis=0)]] = True
+        kept = block.select(["key", "node"]).filter(pa.array(alive)).combine_chunks()
+        yield from kept.to_batches()
+
+
+def _shared(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of elements that each set of ``a`` shares with each of ``b``."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = times > 1
+    column = np.cumsum(several) - 1
+    kept = several[place]
+    owner, place = owner[kept], column[place[kept]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    out = np.zeros((len(a), len(b)), dtype=np.float32)  # exact below 2 ** 24
+    for at in range(0, int(several.sum()), COLUMNS):
+        lo, hi = np.searchsorted(place, [at, at + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        held[owner[lo:hi], place[lo:hi] - at] = 1
+        out += held[a] @ held[b].T
+    return out.astype(np.int64)
+
+
+def _exact_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) of a block that join components, one for each pair of components that come together."""
+    powers = kernels.Powers()
+    for block in _block_rows(batches):
+        a, b, fits = _sides(block)
+        if not fits.any():
+            continue
+        sets: list[np.ndarray] = []
+        for _, found, cuts in _sets(block.column("text").combine_chunks(), powers):
+            sets.extend(found[cuts[i] : cuts[i + 1]] for i in range(len(cuts) - 1))
+        shared, sizes = _shared(sets, a, b), np.array([len(x) for x in sets])
+        linked = fits & (100 * shared >= PERCENT * (sizes[a][:, None] + sizes[b] - shared))
+        node, component = block.column("node").to_pylist(), block.column("component").to_pylist()
+        parent = {c: c for c in component}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        u, v = [], []
+        for i, k in zip(*(x.tolist() for x in np.nonzero(linked))):
+            one, two = root(component[a[i]]), root(component[b[k]])
+            if one != two:
+                parent[one] = two
+                u.append(node[a[i]])
+                v.append(node[b[k]])
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
+def _links_in_large(large: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (u, v) between components, from all pairs of rows (key, node) of large buckets."""
+    rows = _mixed(large, labels).join(nodes.select("node", "n_shingles"), "node")
+    rows = stored(rows.select("key", "node", "component", "n_shingles"), "mixed")
+    blocks = _blocks(rows, SKETCHES).join(nodes.select("node", "sketch"), "node")
+    blocks = blocks.select("block", "part", "side", "key", "node", "component", "n_shingles", "sketch")
+    blocks = blocks.repartition("block").sortWithinPartitions("block", "node")
+    near = stored(blocks.mapInArrow(_near_task, "key long, node long").distinct(), "near")
+    rows = rows.join(near, ["key", "node"], "left_semi")
+    blocks = _blocks(rows, TEXTS, SHINGLES).join(texts, "node")
+    blocks = blocks.select("block", "part", "side", "node", "component", "n_shingles", "text")
+    blocks = blocks.repartition("block").sortWithinPartitions("block", "node")
+    return blocks.mapInArrow(_exact_task, "u long, v long")
 
 
 def _estimate_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,7 +435,7 @@ def _node_texts(docs: DataFrame, pairs: DataFrame, large: DataFrame) -> DataFram
     return found.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "text")
 
 
-def links(docs: DataFrame, nodes: DataFrame, max_rounds: int = 4) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have a link.
 
     ``nodes``: (node, n_shingles, sketch, bands), one row per distinct set.
@@ -326,16 +450,7 @@ def links(docs: DataFrame, nodes: DataFrame, max_rounds: int = 4) -> DataFrame:
     nearest = pairs.groupBy("b").agg(F.max_by("a", order).alias("a")).select("a", "b")
     labels = components(_verified(nearest, texts))
     labels = _joined(labels, _verified(_across(pairs, labels), texts))
-    large = stored(large.join(nodes.select("node", "bands"), "node"), "large")
-    for turn in range(max_rounds):
-        pairs = stored(_plausible(_pairs_across(large, labels, turn), nodes), "plausible")
-        if pairs.isEmpty():
-            break
-        before = labels
-        labels = _joined(labels, _verified(pairs.select("a", "b"), texts))
-        if labels is before:
-            break
-    return labels
+    return _joined(labels, _links_in_large(large, labels, nodes, texts))
 
 
 def _joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
