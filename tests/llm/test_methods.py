@@ -383,6 +383,24 @@ def test_regions_against_full_alignment():
         assert {r["item_id"] for r in regions} == want
 
 
+def test_excerpts_and_replaced_words_are_found():
+    item = tables.sentence(77, 60)[:233].strip()
+    short = next(t for t in (tables.sentence(k, 18) for k in range(999)) if 81 <= len(t) <= 100 and max(map(len, t.split())) == 7)
+    found = decontamination._finder(decontamination.build_index([(0, item), (1, short)]))
+
+    def replaced(text: str, *at: int) -> str:
+        return " ".join("z" * len(w) if k in at else w for k, w in enumerate(text.split()))
+
+    near = [k for k, w in enumerate(item.split()) if len(w) <= 7]
+    cases = [(0, item[k : k + 120]) for k in range(len(item) - 119)]
+    cases += [(0, item[k : k + 79]) for k in range(len(item) - 78)]
+    cases += [(0, replaced(item, a, b)) for a in near for b in near]
+    cases += [(1, replaced(short, k)) for k in range(18)]
+    texts = [f"{tables.sentence(2000 + k, 20)} {text} {tables.sentence(5000 + k, 20)}" for k, (_, text) in enumerate(cases)]
+    for (want, _), regions in zip(cases, found(pa.array(texts))[0].to_pylist()):
+        assert {r["item_id"] for r in regions} == {want}
+
+
 def test_benchmark_in_blocks_gives_the_same(spark):
     docs, benchmark = documents(spark), spark.read.parquet(f"{SF}/benchmark.parquet")
     rows = lambda n: sorted(
