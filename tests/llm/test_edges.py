@@ -109,6 +109,20 @@ def test_pipeline_on_empty_tables(spark, empty):
     assert corpus_pipeline.run(spark, empty).count() == 0
 
 
+def test_documents_stay_without_labels_to_learn_from(spark, tmp_path):
+    from tidemark.llm import toxicity
+
+    texts = ["a clean text", "you idiot", "by the trash can", *(f"idiot number {k}" for k in range(20))]
+    docs = tables.frame(spark, [(k, t, "en", "s") for k, t in enumerate(texts)])
+    for rows in ([], [(99, 1)], [(0, 0)], [(k, 1) for k in range(1, 23) if k != 2]):
+        labels = spark.createDataFrame(rows, "doc_id bigint, toxic int")
+        got = {r["doc_id"]: r["predicted"] for r in toxicity.classify(docs, labels).collect()}
+        assert got == {k: int(k not in (0, 2)) for k in range(23)}
+    folder = tables.write_tables(spark, str(tmp_path), tables.frame(spark, ROWS), empty=True)
+    assert len(toxicity.stage(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder).collect()) == len(ROWS)
+    assert corpus_pipeline.run(spark, folder).count() > 0
+
+
 def test_near_dedup_keeps_one_of_repeated_rows(spark):
     from tidemark.llm import neardup
 
