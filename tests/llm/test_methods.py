@@ -161,6 +161,21 @@ def test_pages_without_marks():
         htmltext.extract(page)
 
 
+def test_marked_content_stays_whole():
+    first, last = (tables.sentence(k, 100) for k in (1, 2))
+    weak = htmltext.Weights({"word": 0.2, "link": -2.0, "boiler": -2.0, "tag": -1.0})
+    for weights in (htmltext.DEFAULT, weak):
+        for sign in ("has-sidebar", "no-comments", "search"):
+            page = f"<body><div class='{sign}'><nav>Menu</nav><article><p>{first}</article><div class=comments>so so</div></div>"
+            assert htmltext.extract(page, weights) == first
+        page = f"<article><p>{first}</p><aside>{tables.sentence(3, 400)}</aside><div class=ad>Buy {last}</div><p>{last}</p></article>"
+        assert htmltext.extract(page, weights) == f"{first}\n\n{last}"
+        page = f"<body><p>Site<article><h1><a href=x>Title</a></h1><p>{first}</p><p><a href=y>{last}</a></p></article>"
+        assert htmltext.extract(page, weights) == f"Title\n\n{first}\n\n{last}"
+    assert htmltext.extract(f"<body><nav>Menu</nav><div class=has-sidebar><p>{first}</p></div>") == first
+    assert htmltext.extract(f"<body><div hidden><p>{first}</p></div>") == ""
+
+
 def test_best_run_like_trying_all():
     rng = random.Random(3)
     for _ in range(300):

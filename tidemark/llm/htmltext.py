@@ -5,6 +5,8 @@ the main content, learned from pages that mark their content (a single article o
 element): plain words come out positive; tags, and words in links or in menus, adverts,
 forms and the like, negative.  One linear scan finds the run of the largest sum.  The text
 of that run is the result, without the parts inside it that are boilerplate by name.
+Inside marked content links weigh as much as words, and tags and boilerplate nothing, so
+none of them cuts the run.
 """
 
 from __future__ import annotations
@@ -54,6 +56,7 @@ _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'
 _PARTS = re.compile(r"[a-z]+|[0-9]+")
 _RAW, _BOILERPLATE, _BLOCKS, _SPACING, _VOID, _SIGNS = map(frozenset, (RAW, BOILERPLATE, BLOCKS, SPACING, VOID, SIGNS))
 _MARKS = ("article", "main")
+_HIDDEN = " hidden"  # no word of an attribute
 
 
 @dataclass(frozen=True)
@@ -76,6 +79,7 @@ class Token:
     words: int
     boiler: bool
     marked: bool
+    within: bool  # in a marked element, or in an aside in one
 
 
 def _signs(attrs: str) -> set[str]:
@@ -83,31 +87,57 @@ def _signs(attrs: str) -> set[str]:
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            out.add("modal")
+            out.add(_HIDDEN)
         elif key in ("class", "id", "role"):
             out.update(_PARTS.findall(value))
     return out
 
 
 def tokens(page: str) -> list[Token]:
-    """The page in order.  Elements left open end with the element around them."""
+    """The page in order.  Elements left open end with the element around them.
+
+    Sign words say nothing about an element around more than half of the words of the
+    marked content or, on a page without, of all words.
+    """
+    out, signed = _tokens(page, frozenset())
+    inner = [0]
+    every = [0]
+    for t in out:
+        inner.append(inner[-1] + t.words * t.marked)
+        every.append(every[-1] + t.words)
+    sums = inner if inner[-1] else every
+    spared = frozenset(
+        place for place, first, last, marked in signed
+        if not (marked and inner[-1]) and 2 * (sums[min(last, len(out))] - sums[first]) > sums[-1]
+    )
+    return _tokens(page, spared)[0] if spared else out
+
+
+def _tokens(page: str, spared: frozenset[int]) -> tuple[list[Token], list[tuple[int, int, int, bool]]]:
+    """Tokens, and place, first and last token and mark of elements with sign words; those of ``spared`` places count as without."""
     out: list[Token] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, boilerplate, link, marked
-    boiler = link = marked = False
+    signed: list[tuple[int, int, int, bool]] = []
+    open_signs: list[tuple[int, int, int, bool]] = []  # depth, place, first token, marked
+    stack: list[tuple[str, bool, bool, bool, bool]] = []  # name, boilerplate, link, marked, within
+    boiler = link = marked = within = False
     at = 0
 
+    def close() -> None:
+        while open_signs and open_signs[-1][0] > len(stack):
+            signed.append((open_signs[-1][1], open_signs[-1][2], len(out), open_signs.pop()[3]))
+
     def text(raw: str) -> None:
         if raw:
             plain = html.unescape(raw)
             kind = "boiler" if boiler else "link" if link else "word"
-            out.append(Token("text", plain, kind, len(plain.split()), boiler, marked))
+            out.append(Token("text", plain, kind, len(plain.split()), boiler, marked, within))
 
     for m in _TOKEN.finditer(page):
         text(page[at : m.start()])
         at = m.end()
         if m["name"] is None:
             if m["raw"]:
-                out.append(Token("space", " ", f"<{m['raw'].lower()}", 0, True, marked))
+                out.append(Token("space", " ", f"<{m['raw'].lower()}", 0, True, marked, within))
             continue
         name = m["name"].lower()
         kind = "block" if name in _BLOCKS else "space" if name in _SPACING else "tag"
@@ -117,28 +147,38 @@ def tokens(page: str) -> list[Token]:
                     gone = stack.pop()
                     if gone[0] == name:
                         break
-                boiler, link, marked = stack[-1][1:] if stack else (False, False, False)
-            out.append(Token(kind, "", f"</{name}", 0, boiler, marked))
+                boiler, link, marked, within = stack[-1][1:] if stack else (False, False, False, False)
+                close()
+            out.append(Token(kind, "", f"</{name}", 0, boiler, marked, within))
             continue
         if name == "body":  # whatever the head left open ends here
-            stack, boiler, link, marked = [s for s in stack if s[0] == "html"], False, False, False
+            stack, boiler, link, marked, within = [s for s in stack if s[0] == "html"], False, False, False, False
+            close()
         if name == "p" and stack and stack[-1][0] == "p":
             stack.pop()
-            boiler, link, marked = stack[-1][1:] if stack else (False, False, False)
-        out.append(Token(kind, "", f"<{name}", 0, boiler, marked))
+            boiler, link, marked, within = stack[-1][1:] if stack else (False, False, False, False)
+            close()
+        out.append(Token(kind, "", f"<{name}", 0, boiler, marked, within))
         if name in _VOID or m["attrs"].rstrip().endswith("/"):
             continue
         signs = _signs(m["attrs"]) if m["attrs"] else set()
+        if signs & (_SIGNS | {"header"}) and name not in ("html", "body", "article", "main"):
+            open_signs.append((len(stack) + 1, m.start(), len(out), marked))
+            if m.start() in spared:
+                signs &= {_HIDDEN}
         inside = marked or name in _MARKS
-        odd = name in _BOILERPLATE or bool(signs & _SIGNS) or not marked and (name in HEADINGS or "header" in signs)
+        odd = name in _BOILERPLATE or _HIDDEN in signs or bool(signs & _SIGNS) or not marked and (name in HEADINGS or "header" in signs)
         if name in ("html", "body", "article", "main"):
             odd = False
         elif marked and odd and signs & set(HEADINGS) and name not in _BOILERPLATE:
-            odd = bool((signs & _SIGNS) - set(HEADINGS))
+            odd = bool((signs & (_SIGNS | {_HIDDEN})) - set(HEADINGS))
+        within = within or name in _MARKS
         boiler, link, marked = boiler or odd, link or name == "a", inside and not (name == "aside")
-        stack.append((name, boiler, link, marked))
+        stack.append((name, boiler, link, marked, within))
     text(page[at:])
-    return out
+    stack = []
+    close()
+    return out, signed
 
 
 def _marked_once(sequence: list[Token]) -> bool:
@@ -218,7 +258,9 @@ def extract(page: str | None, weights: Weights = DEFAULT) -> str:
             score = weights.of[t.name] * t.words
         else:
             score = weights.of.get(_class(t), weights.of["tag"])
-        if has_mark and not t.marked:
+        if has_mark and t.within:
+            score = 0.0 if t.boiler or t.kind != "text" else weights.of["word"] * t.words
+        elif has_mark:
             score = min(score, weights.outside * max(t.words, 1))
         scores.append(score)
     start, end = best_run(scores)
