@@ -13,7 +13,7 @@ SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 # Names that operators use for their own columns.
-CLASHING = "score, kept, label, copy, regions, weight, held_out, node, key, text_, lang_pred, predicted, one"
+CLASHING = "score, kept, label, copy, regions, weight, held_out, node, key, runs, ids, spans, text_, lang_pred, predicted, one"
 
 
 def words(text: str | None) -> list[str]:
@@ -65,11 +65,14 @@ def write_tables(spark: SparkSession, folder: str, docs: DataFrame, empty: bool
     docs.write.parquet(f"{folder}/documents.parquet")
     labels = [(5, 1, 0), (6, 0, 1), (6, 0, 1), (7, None, None), (None, 1, 1), (99, 1, 1)]
     pages = [(0, "u", None), (1, None, ""), (2, "u", "<p>one &amp; two"), (2, "u", "<p>one &amp; two"), (None, "u", "<")]
+    turns = [(0, 0, "user", "hi"), (0, None, None, "x"), (0, None, None, "x"), (1, 0, "user", None), (None, 0, "user", "hi")]
+    turns += [(205, 3, "user", ""), (-7, 1, "bot", sentence(3, 5000))]
     items = [(0, None), (1, ""), (2, "short"), (3, sentence(5, 40))]
     for name, rows, schema in (
         ("labels", labels, "doc_id bigint, quality int, toxic int, score string"),
         ("pages", pages, "page_id bigint, url string, html string, text string"),
         ("benchmark", items, "item_id bigint, text string, regions string"),
+        ("conversations", turns, "conv_id bigint, turn bigint, role string, text string, depth string"),
     ):
         rows = [] if empty else [(*r, "mine") for r in rows]
         spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")

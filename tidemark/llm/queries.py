@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import compression, decontamination, htmltext, langid, licenses, lm, mixing, neardup, quality_rules, toxicity
+from tidemark.llm import compression, decontamination, htmltext, langid, licenses, lm, mixing, neardup, pieces
+from tidemark.llm import quality_rules, runs, toxicity, trie
 from tidemark.llm.columns import table
 
 
@@ -52,6 +53,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.collapse(table(spark, sf_dir, "documents"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), model or pieces.public_model())
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_kneser_ney": op2_kneser_ney,
@@ -63,10 +76,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_decontamination": op9_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
     "op5_quality_rules": quality_rules.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op8_license_scan": licenses.ORACLE,
+    "op13_prefix_trie": trie.ORACLE,
 }
