@@ -19,6 +19,9 @@ on its own.  Where many rows share a single event time, the join runs on the dis
 (key, time) points and its result is joined back to the spine, an equi join that
 adaptive execution splits when skewed.  Tables without keys are cut by time in the
 same way.
+
+Feature rows of keys that no spine row has are left out before the shuffle
+(``plans/keys.py``) where the feature tables are not small.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import all_not_null, orderable, q
 from tidemark.functions.times import age_limit, align, is_time
 from tidemark.operators.latest import latest_per_key
+from tidemark.plans.keys import key_filter
 from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, is_small
 from tidemark.plans.skew import LAST, RANK, Skew, cut_time_line, find_skew, ranked, with_slice
 
@@ -73,10 +77,13 @@ def asof_join(
     sides: list[AsofSide],
     plan: str = "auto",
     limits: Limits = DEFAULT_LIMITS,
+    prune_keys: bool | str = "auto",
 ) -> DataFrame:
     """Add one struct column per side to ``spine``.
 
-    ``plan`` is one of ``PLANS``; all give the same rows.
+    ``plan`` is one of ``PLANS``; all give the same rows.  ``prune_keys`` leaves out feature
+    rows of keys the spine does not have, which takes a job over its key columns; "auto"
+    does so when the feature tables are not small.
     """
     if plan not in PLANS:
         raise ValueError(f"plan must be one of {PLANS}, not {plan!r}")
@@ -87,7 +94,7 @@ def asof_join(
         groups.setdefault((spine_keys, _created_type(side)), []).append(side)
     out = spine
     for (spine_keys, _), members in groups.items():
-        out = _join_group(out, spine, ts, spine_keys, members, plan, limits)
+        out = _join_group(out, spine, ts, spine_keys, members, plan, limits, prune_keys)
     return out.select(*[q(c) for c in spine.columns], *[q(s.name) for s in sides])
 
 
@@ -107,16 +114,23 @@ def _join_group(
     sides: list[AsofSide],
     plan: str,
     limits: Limits,
+    prune_keys: bool | str,
 ) -> DataFrame:
     """Join the sides that share their keys.
 
     ``spine`` may already carry the structs of other sides; ``given`` is the caller's
     spine, which has the same rows and is cheaper to look at.
     """
-    if plan == "points":
-        return _join_points(spine, ts, spine_keys, sides, None)
     keys = _key_types(spine, spine_keys, sides)
     features = [_feature_rows(side, keys, spine.schema[ts].dataType) for side in sides]
+    if prune_keys == "auto":
+        prune_keys = not is_small(limits, *[s.df for s in sides])
+    if prune_keys and keys:
+        asked = given.filter(all_not_null([ts])).select(*[q(s).cast(keys[k]).alias(k) for s, k in zip(spine_keys, keys)])
+        wanted = key_filter(asked, list(keys), limits)
+        features = [wanted.keep(f) for f in features] if wanted else features
+    if plan == "points":
+        return _join_points(spine, ts, spine_keys, keys, features, sides, None)
     skew = None
     if _may_be_skewed(plan, keys, limits, given, sides):
         both = _spine_rows(given, ts, spine_keys, keys).select(*keys, _TS)
@@ -127,7 +141,7 @@ def _join_group(
         else:
             skew = cut_time_line(both, _TS, limits)
         if skew is not None and skew.tied:
-            return _join_points(spine, ts, spine_keys, sides, skew)
+            return _join_points(spine, ts, spine_keys, keys, features, sides, skew)
     return _fill(spine, ts, spine_keys, keys, features, sides, skew)
 
 
@@ -292,6 +306,8 @@ def _join_points(
     spine: DataFrame,
     ts: str,
     spine_keys: tuple[str, ...],
+    keys: dict[str, T.DataType],
+    features: list[DataFrame],
     sides: list[AsofSide],
     skew: Skew | None,
 ) -> DataFrame:
@@ -303,12 +319,7 @@ def _join_points(
         .select(*[q(s).alias(p) for s, p in zip(spine_keys, point_keys)], q(ts).alias(point_ts))
         .distinct()
     )
-    keys = _key_types(spine, spine_keys, sides)
-    time_type = spine.schema[ts].dataType
-    features = [
-        latest_per_key(rows, [*keys, _TS], _recency(rows, _CREATED))
-        for rows in (_feature_rows(side, keys, time_type) for side in sides)
-    ]
+    features = [latest_per_key(rows, [*keys, _TS], _recency(rows, _CREATED)) for rows in features]
     hits = _fill(points, point_ts, tuple(point_keys), keys, features, sides, skew)
     condition = q(ts) == q(point_ts)
     for s, p in zip(spine_keys, point_keys):

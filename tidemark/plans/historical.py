@@ -40,11 +40,13 @@ def historical(
     plan: str,
     prune: bool | str,
     limits: Limits,
+    prune_keys: bool | str = "auto",
 ) -> DataFrame:
     """The spine with the requested features as further columns.
 
     With ``prune`` the sources are cut to the time span the spine can match; that takes
-    one job over the spine's time column.  "auto" does so when a source is not small.
+    one job over the spine's time column.  With ``prune_keys`` they are cut to its keys.
+    "auto" does so when a source is not small.
     """
     check_request_data(request, spine.columns)
     check_names(request, spine)
@@ -66,7 +68,7 @@ def historical(
         structs[view_key(item.view)] = name = f"__ft_v{i}"
         keys = join_keys(item.view, entities)
         sides.append(_side(spark, name, item, keys, rows, lo, hi))
-    joined = asof_join(spine, ts, sides, plan, limits) if sides else spine
+    joined = asof_join(spine, ts, sides, plan, limits, prune_keys) if sides else spine
 
     def feature_column(view: FeatureView, feature: str) -> Column:
         return q(structs[view_key(view)]).getField(feature)

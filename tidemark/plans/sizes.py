@@ -18,6 +18,8 @@ class Limits:
     max_slices     most parts a hot key, a time line or a column is cut into
     sample_rows    rows looked at when searching for hot keys and slice edges
     max_hot_keys   1 / the smallest share of all rows that makes a key hot
+    exact_keys     keys asked for that become literals of a filter
+    filter_words   most 64-bit words of a Bloom filter on keys
     """
 
     small_bytes: int = 256 * 1024 * 1024
@@ -26,6 +28,8 @@ class Limits:
     max_slices: int = 4096
     sample_rows: int = 4_000_000
     max_hot_keys: int = 20_000
+    exact_keys: int = 1000
+    filter_words: int = 1 << 20
 
 
 DEFAULT_LIMITS = Limits()

@@ -232,13 +232,18 @@ class FeatureStore:
         event_timestamp: str | None = None,
         plan: str = "auto",
         prune: bool | str = "auto",
+        prune_keys: bool | str = "auto",
     ) -> Retrieval:
-        """Point-in-time features for every row of ``entity_df``, which keeps its columns."""
+        """Point-in-time features for every row of ``entity_df``, which keeps its columns.
+
+        ``prune`` and ``prune_keys`` cut the sources to the times and keys of the rows before
+        anything is joined, at the cost of a job each; "auto" does so for large sources.
+        """
         request = resolve(features, self._views, full_feature_names)
         spine = as_spine(self.spark, entity_df)
         ts = event_timestamp or infer_spine_time(spine)
         df = historical(
-            self.spark, spine, ts, request, self._entities, plan, prune, self.limits
+            self.spark, spine, ts, request, self._entities, plan, prune, self.limits, prune_keys
         )
         keys = {s for item in request.fetched for s, _ in join_keys(item.view, self._entities)}
         return Retrieval(df, tuple(request.refs), tuple(sorted(keys)), ts, full_feature_names)

@@ -268,6 +268,22 @@ def _dq_profile() -> str:
     return " UNION ALL ".join(rows)
 
 
+_ALIAS_TWICE = f"""
+    SELECT s.l_orderkey, s.l_linenumber, s.customer_nation, s.supplier_nation, s.l_shipdate,
+           CASE WHEN b.o_orderdate >= s.l_shipdate - INTERVAL 7 DAY
+                THEN b.nation_orders END AS buyer__nation_orders,
+           CASE WHEN e.o_orderdate >= s.l_shipdate - INTERVAL 7 DAY
+                THEN e.nation_orders END AS seller__nation_orders
+    FROM (SELECT l_orderkey, l_linenumber, c_nationkey AS customer_nation,
+                 s_nationkey AS supplier_nation, l_shipdate
+          FROM ({_LINES_CUSTOMER}) JOIN customer ON o_custkey = c_custkey
+          JOIN supplier ON l_suppkey = s_suppkey) s
+    ASOF LEFT JOIN ({_NATION_DAILY}) b
+      ON s.customer_nation = b.nation AND s.l_shipdate >= b.o_orderdate
+    ASOF LEFT JOIN ({_NATION_DAILY}) e
+      ON s.supplier_nation = e.nation AND s.l_shipdate >= e.o_orderdate
+"""
+
 _ZONED = "timezone('UTC', timezone('{0}', ts))"
 
 ORACLES: dict[str, str] = {
@@ -301,21 +317,9 @@ ORACLES: dict[str, str] = {
     """,
     "pit_entityless": _ENTITYLESS,
     "pit_entityless_sliced": _ENTITYLESS,
-    "pit_alias_twice": f"""
-        SELECT s.l_orderkey, s.l_linenumber, s.customer_nation, s.supplier_nation, s.l_shipdate,
-               CASE WHEN b.o_orderdate >= s.l_shipdate - INTERVAL 7 DAY
-                    THEN b.nation_orders END AS buyer__nation_orders,
-               CASE WHEN e.o_orderdate >= s.l_shipdate - INTERVAL 7 DAY
-                    THEN e.nation_orders END AS seller__nation_orders
-        FROM (SELECT l_orderkey, l_linenumber, c_nationkey AS customer_nation,
-                     s_nationkey AS supplier_nation, l_shipdate
-              FROM ({_LINES_CUSTOMER}) JOIN customer ON o_custkey = c_custkey
-              JOIN supplier ON l_suppkey = s_suppkey) s
-        ASOF LEFT JOIN ({_NATION_DAILY}) b
-          ON s.customer_nation = b.nation AND s.l_shipdate >= b.o_orderdate
-        ASOF LEFT JOIN ({_NATION_DAILY}) e
-          ON s.supplier_nation = e.nation AND s.l_shipdate >= e.o_orderdate
-    """,
+    "pit_alias_twice": _ALIAS_TWICE,
+    "pit_key_pruned": _PIT,
+    "pit_key_literals": _ALIAS_TWICE,
     "pit_multi_view": f"""
         SELECT s.*, {_S_OK} a.day_quantity END AS day_quantity, {_S_OK} a.day_lines END AS day_lines,
                b.returned_quantity, {_C_OK} c.day_spent END AS day_spent,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -26,7 +27,7 @@ from tidemark.functions.types import ValueType, cast_declared, cast_failures, sp
 from tidemark.functions.vectors import cosine_similarity
 from tidemark.operators.grid import spine_grid
 from tidemark.operators.latest import pull_all, pull_latest
-from tidemark.plans.sizes import Limits
+from tidemark.plans.sizes import DEFAULT_LIMITS, Limits
 from tidemark.session import shared_folder
 from workloads import views as v
 
@@ -61,6 +62,17 @@ def pit_spine_range_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pit_ttl(spark, sf_dir, prune=True)
 
 
+def pit_key_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature rows of keys that no purchase has are left out by a Bloom filter of the spine's keys."""
+    fs = v.store(spark, v.activity(sf_dir), limits=replace(DEFAULT_LIMITS, exact_keys=0))
+    return fs.get_historical_features(v.purchases(spark, sf_dir), REFS, prune_keys=True).df
+
+
+def pit_key_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few keys become literals of a filter: nations twice, under two names."""
+    return pit_alias_twice(spark, sf_dir, prune_keys=True)
+
+
 def pit_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The time-sliced plan of hot keys, on suppliers with many ties per day."""
     fs = v.store(spark, v.supplier_lines(sf_dir), limits=TINY_GROUPS)
@@ -105,13 +117,13 @@ def pit_entityless_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fs.get_historical_features(spine, refs).df
 
 
-def pit_alias_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pit_alias_twice(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     view = v.nation_daily(sf_dir, timedelta(days=7))
     buyers = view.with_name("buyer").with_join_key_map({"nation": "customer_nation"})
     sellers = view.with_name("seller").with_join_key_map({"nation": "supplier_nation"})
     service = FeatureService("nations", [buyers, sellers])
     fs = v.store(spark, view, service)
-    return fs.get_historical_features(v.lines_with_nations(spark, sf_dir), service, True).df
+    return fs.get_historical_features(v.lines_with_nations(spark, sf_dir), service, True, **options).df
 
 
 def pit_multi_view(spark: SparkSession, sf_dir: str) -> DataFrame:
