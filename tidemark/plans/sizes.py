@@ -20,6 +20,8 @@ class Limits:
     max_hot_keys   1 / the smallest share of all rows that makes a key hot
     exact_keys     keys asked for that become literals of a filter
     filter_words   most 64-bit words of a Bloom filter on keys
+    bucket_bytes   bytes of a snapshot folder that make up a bucket of the key
+    max_buckets    most buckets of a folder (a power of two)
     """
 
     small_bytes: int = 256 * 1024 * 1024
@@ -30,6 +32,8 @@ class Limits:
     max_hot_keys: int = 20_000
     exact_keys: int = 1000
     filter_words: int = 1 << 20
+    bucket_bytes: int = 64 * 1024 * 1024
+    max_buckets: int = 1024
 
 
 DEFAULT_LIMITS = Limits()
@@ -58,6 +62,12 @@ def scanned_bytes(df: DataFrame) -> int | None:
     return None if any(size >= _NO_ESTIMATE for size in sizes) else sum(sizes)
 
 
+def known_bytes(df: DataFrame) -> int | None:
+    """The smaller of what a DataFrame is estimated to hold and what it reads, or None."""
+    sizes = (estimated_bytes(df), scanned_bytes(df))
+    return min((x for x in sizes if x is not None and x < _NO_ESTIMATE), default=None)
+
+
 def _plans(df: DataFrame):
     try:
         return df._jdf.queryExecution()

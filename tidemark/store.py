@@ -77,7 +77,7 @@ class FeatureStore:
     ):
         self.spark = spark
         root = (root or shared_folder(spark, "features")).rstrip("/")
-        self.snapshots = Snapshots(spark, f"{root}/snapshots")
+        self.snapshots = Snapshots(spark, f"{root}/snapshots", limits)
         self.datasets = SavedDatasets(spark, f"{root}/datasets")
         self.key_ttl = key_ttl
         self.limits = limits
@@ -299,7 +299,7 @@ class FeatureStore:
         df = view.source.load(self.spark, start, end, closed).filter(all_not_null(keys))
         df = to_declared(df, self._declared(view), f"view {view.name!r}")
         rows = snapshot_rows(pull_latest(df, keys, values, ts, created), keys, values, ts, created)
-        self.snapshots.add(view.name, rows, to_utc(now or _utc_now()), start, end)
+        self.snapshots.add(view.name, rows, to_utc(now or _utc_now()), start, end, keys=keys or [DUMMY_KEY])
 
     def write_to_online_store(
         self,
@@ -321,7 +321,7 @@ class FeatureStore:
         flat = snapshot_rows(df, keys, values, ts, created)
         stored = keys or [DUMMY_KEY]
         newest = latest_per_key(flat, stored, [EVENT_TS, CREATED_TS])
-        self.snapshots.add(view, newest, to_utc(now or _utc_now()), version=version)
+        self.snapshots.add(view, newest, to_utc(now or _utc_now()), version=version, keys=stored)
 
     def push(self, source: str, rows: DataFrame | pd.DataFrame, now: datetime | None = None) -> None:
         """Push rows of a push source into every view fed by it."""

@@ -97,6 +97,13 @@ def _latest(rows: str, extra: str = "value, event_type, ts AS event_ts, created
 _IN_RANGE = "ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20'"
 _TO_MIDDLE = "ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-15'"
 
+# Loads of four days each, both ends included.
+_IN_LOADS = (
+    "(ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-25' AND day(ts) % 5 <> 0 "
+    "OR ts IN (TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-15', "
+    "TIMESTAMP '2024-01-20', TIMESTAMP '2024-01-25'))"
+)
+
 _GAPPY = f"""
     SELECT user_id, ts, event_type,
            CASE WHEN event_type <> 'error' THEN value END AS value FROM ({_CREATED})
@@ -393,10 +400,16 @@ ORACLES: dict[str, str] = {
     "push_newer_wins": _latest(
         f"SELECT * FROM ({_CREATED}) WHERE event_type IN ('signup', 'error', 'click') OR {_TO_MIDDLE}"
     ),
-    "snapshot_compaction": _latest(
-        f"SELECT * FROM ({_CREATED}) WHERE ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-25' "
-        "AND day(ts) % 5 <> 0 OR ts IN (TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-10', "
-        "TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-20', TIMESTAMP '2024-01-25')"
+    "snapshot_compaction": _latest(f"SELECT * FROM ({_CREATED}) WHERE {_IN_LOADS}"),
+    "snapshot_folding": _latest(
+        f"SELECT * FROM ({_CREATED}) WHERE event_type IN ('signup', 'error', 'click') OR {_IN_LOADS}"
+    ),
+    "load_counts": " UNION ALL ".join(
+        f"""SELECT {first} AS range_start, {last} AS range_end, count(DISTINCT user_id) AS rows, max(ts) AS latest
+        FROM events WHERE ts BETWEEN {first} AND {last}"""
+        for first, last in (
+            (f"TIMESTAMP '2024-01-{day - 4:02d}'", f"TIMESTAMP '2024-01-{day:02d}'") for day in (5, 10, 15, 20, 25)
+        )
     ),
     "key_expiry": f"""
         SELECT user_id, value, event_type, event_ts, created_ts FROM ({_latest(
@@ -409,6 +422,7 @@ ORACLES: dict[str, str] = {
         SELECT 'last_event' AS view, count(DISTINCT user_id) AS n FROM events WHERE {_TO_MIDDLE}
     """,
     "online_lookup": f"SELECT o.o_orderkey, o.o_custkey AS user_id, f.value, f.event_type {_LOOKUP_FROM}",
+    "online_buckets": f"SELECT o.o_orderkey, o.o_custkey AS user_id, f.value, f.event_type {_LOOKUP_FROM}",
     "online_status": f"""
         SELECT o.o_orderkey, o.o_custkey AS user_id,
                f.value AS gappy__value, {_status("f.value")} AS gappy__value__status,

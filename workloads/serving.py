@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import Feature, FeatureStore, FeatureView, PushSource, RequestSource, on_demand_view
 from tidemark.operators.latest import CREATED_TS, EVENT_TS
 from tidemark.operators.lookup import request_sizes, status_counts
+from tidemark.plans.sizes import Limits
 from tidemark.session import shared_folder
 from tidemark.sources.streams import StreamSource
 from tidemark.streaming import drop_retries, latest_stream, push_stream
@@ -81,6 +82,25 @@ def snapshot_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(fs, "last_event", ["user_id"])
 
 
+def snapshot_folding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pushes of some kinds of events, then a load per few days: full size classes are folded on the way."""
+    fs = v.store(spark, v.last_event(sf_dir))
+    fs.snapshots.fan = 3
+    for kind in ("click", "signup", "error"):
+        fs.write_to_online_store("last_event", _pushed_events(spark, sf_dir, kind), now=MIDDLE)
+    for day in (5, 10, 15, 20, 25):
+        fs.materialize(datetime(2024, 1, day - 4), datetime(2024, 1, day), now=v.NOW)
+    return _rows(fs, "last_event", ["user_id"])
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log says of each load: rows and latest event time, counted while they were written."""
+    fs = v.store(spark, v.last_event(sf_dir))
+    for day in (5, 10, 15, 20, 25):
+        fs.materialize(datetime(2024, 1, day - 4), datetime(2024, 1, day), now=v.NOW)
+    return fs.snapshots.log("last_event").filter("kind = 'load'").select("range_start", "range_end", "rows", "latest")
+
+
 def key_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys not written for five days are gone."""
     fs = v.store(spark, v.last_event(sf_dir), key_ttl=timedelta(days=5))
@@ -151,6 +171,15 @@ def online_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fs.get_online_features(REFS, _requests(spark, sf_dir), now=v.NOW, metadata=False)
 
 
+def online_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookups in a snapshot stored in buckets of the user, beside a push that is not."""
+    limits = Limits(small_bytes=1 << 40, bucket_bytes=4096)
+    fs = _loaded(spark, sf_dir, _gappy(sf_dir), limits=limits)
+    late = v.events_with_created(spark, sf_dir).filter(F.col("event_type") == "click")
+    fs.write_to_online_store("gappy", late, now=v.NOW)
+    return fs.get_online_features(REFS, _requests(spark, sf_dir), now=v.NOW, metadata=False)
+
+
 def online_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     fs = _loaded(spark, sf_dir, _gappy(sf_dir, timedelta(hours=12)))
     # The entity's name stands in for its join key.
