@@ -14,6 +14,8 @@ from tidemark.sources.batch import in_time_range
 EVENT_TS = "__event_ts"
 CREATED_TS = "__created_ts"
 WRITTEN_AT = "__written_at"
+# When a key ended; null in rows that hold values.
+REMOVED_AT = "__removed_at"
 
 _BEST = "__ft_best"
 _STORED = "__ft_stored"

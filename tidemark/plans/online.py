@@ -12,7 +12,7 @@ from tidemark.definitions import DUMMY_KEY, DUMMY_VALUE, Entity, FeatureView
 from tidemark.functions.columns import q
 from tidemark.functions.status import value_status
 from tidemark.functions.times import align
-from tidemark.operators.latest import CREATED_TS, EVENT_TS
+from tidemark.operators.latest import CREATED_TS, EVENT_TS, REMOVED_AT
 from tidemark.operators.lookup import lookup, request_keys
 from tidemark.plans.historical import check_names, finish, join_keys
 from tidemark.plans.resolve import Request, check_request_data, view_key
@@ -115,12 +115,17 @@ def _columns(
 def snapshot_rows(
     df: DataFrame, keys: list[str], values: list[str], ts: str, created: str | None
 ) -> DataFrame:
-    """Feature rows in the layout of a snapshot; views without keys get the fixed one."""
+    """Feature rows in the layout of a snapshot; views without keys get the fixed one.
+
+    A row with ``REMOVED_AT`` ends its key at that time.
+    """
     key_columns = [q(k) for k in keys] or [F.lit(DUMMY_VALUE).alias(DUMMY_KEY)]
     # Snapshot times are zone-less UTC, so that loads from different sources compare.
     utc = T.TimestampNTZType()
     event = align(q(ts), df.schema[ts].dataType, utc)
     stamp = align(q(created), df.schema[created].dataType, utc) if created else F.lit(None).cast(utc)
+    ended = [q(REMOVED_AT).cast(utc).alias(REMOVED_AT)] if REMOVED_AT in df.columns else []
+    event = F.coalesce(*ended, event)
     return df.select(
-        *key_columns, *[q(v) for v in values], event.alias(EVENT_TS), stamp.alias(CREATED_TS)
+        *key_columns, *[q(v) for v in values], event.alias(EVENT_TS), stamp.alias(CREATED_TS), *ended
     )

@@ -8,6 +8,9 @@ current folders ("newest event wins").
 Folders of about equal size are folded into one when there are several, so n loads leave
 about log n folders, and every row is rewritten about log n times.  Large folders are written
 in buckets of the key, and a lookup of a few keys reads only the buckets these fall into.
+
+A row that removes its key takes part as any other and is left out when read, so an older
+row that arrives late does not bring the key back.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import types as T
 from tidemark.files import SmallFiles
 from tidemark.functions.columns import q
 from tidemark.functions.times import time_literal, to_utc
-from tidemark.operators.latest import CREATED_TS, EVENT_TS, WRITTEN_AT, latest_per_key
+from tidemark.operators.latest import CREATED_TS, EVENT_TS, REMOVED_AT, WRITTEN_AT, latest_per_key
 from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, is_small, known_bytes
 from tidemark.snapshot_log import DROP, FOLD, LOAD, PURGE, Record, ViewLog
 
@@ -222,9 +225,11 @@ class Snapshots:
         are merged.
         """
         merged = self._merged(view, self.versions(view), keys, only, limits)
+        if merged is not None and REMOVED_AT in merged.columns:
+            merged = merged.filter(q(REMOVED_AT).isNull())
         if merged is not None and key_ttl:
             merged = unexpired(merged, key_ttl, now)
-        return None if merged is None else merged.drop(_AGE)
+        return None if merged is None else merged.drop(_AGE, REMOVED_AT)
 
     def _merged(
         self,

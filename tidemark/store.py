@@ -40,7 +40,7 @@ from tidemark.errors import (
     TidemarkError,
     ViewNotFound,
 )
-from tidemark.functions.columns import all_not_null
+from tidemark.functions.columns import all_not_null, q
 from tidemark.functions.times import to_utc
 from tidemark.functions.types import check_declared, to_declared
 from tidemark.operators.latest import CREATED_TS, EVENT_TS, latest_per_key, pull_all, pull_latest
@@ -56,6 +56,7 @@ from tidemark.sources.batch import BatchSource
 from tidemark.sources.inference import entity_type, feature_columns
 from tidemark.sources.spine import as_spine, infer_spine_time
 from tidemark.sources.streams import PushSource, StreamSource
+from tidemark.streaming.expiry import expiring_stream
 from tidemark.streaming.push import push_stream
 
 Definition = Entity | AnyView | FeatureService | BatchSource | PushSource
@@ -308,7 +309,10 @@ class FeatureStore:
         now: datetime | None = None,
         version: str | None = None,
     ) -> None:
-        """Push feature rows into a view's snapshot; rows that are not newer change nothing."""
+        """Push feature rows into a view's snapshot; rows that are not newer change nothing.
+
+        Rows with a time in the column ``__removed_at`` end their keys at that time.
+        """
         v = self._feature_view(view)
         df = as_spine(self.spark, rows)
         keys = [self._entities[n].join_key for n in v.entities]
@@ -340,8 +344,14 @@ class FeatureStore:
         stream: DataFrame | None = None,
         trigger: dict | None = None,
         now: datetime | None = None,
+        key_ttl: timedelta | None = None,
+        delay: str = "0 seconds",
     ) -> StreamingQuery:
-        """Keep a view's snapshot up to date from a stream, by default its stream source."""
+        """Keep a view's snapshot up to date from a stream, by default its stream source.
+
+        With ``key_ttl`` keys leave the snapshot when the stream's time, less ``delay``, is that
+        far past their latest row; rows later than ``delay`` are dropped then.
+        """
         if stream is None:
             source = self._feature_view(view).stream_source
             if not isinstance(source, StreamSource):
@@ -351,7 +361,14 @@ class FeatureStore:
         def push(batch: DataFrame, version: str) -> None:
             self.write_to_online_store(view, batch, now, version)
 
-        return push_stream(stream, push, checkpoint, f"push-{view}", trigger)
+        if key_ttl is None:
+            return push_stream(stream, push, checkpoint, f"push-{view}", trigger)
+        v = self._feature_view(view)
+        keys = [self._entities[n].join_key for n in v.entities]
+        ts, created = self._push_times(v, stream)
+        used = dict.fromkeys([*keys, ts, *([created] if created else []), *[f.name for f in v.features]])
+        changes = expiring_stream(stream.select(*[q(c) for c in used]), keys, ts, key_ttl, delay, created)
+        return push_stream(changes, push, checkpoint, f"push-{view}", trigger, "update")
 
     def get_online_features(
         self,

@@ -421,6 +421,16 @@ ORACLES: dict[str, str] = {
     "snapshot_cleanup": f"""
         SELECT 'last_event' AS view, count(DISTINCT user_id) AS n FROM events WHERE {_TO_MIDDLE}
     """,
+    "stream_expiry": f"""
+        SELECT * FROM ({_latest(_CREATED)})
+        WHERE event_ts + INTERVAL 6 HOUR > (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
+    """,
+    "stream_removals": """
+        SELECT user_id, ts, event_type, ts + INTERVAL 6 HOUR AS removed_at FROM (
+            SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS following FROM events)
+        WHERE following > ts + INTERVAL 6 HOUR OR following IS NULL
+          AND ts + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
+    """,
     "online_lookup": f"SELECT o.o_orderkey, o.o_custkey AS user_id, f.value, f.event_type {_LOOKUP_FROM}",
     "online_buckets": f"SELECT o.o_orderkey, o.o_custkey AS user_id, f.value, f.event_type {_LOOKUP_FROM}",
     "online_status": f"""

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import Feature, FeatureStore, FeatureView, PushSource, RequestSource, on_demand_view
-from tidemark.operators.latest import CREATED_TS, EVENT_TS
+from tidemark.operators.latest import CREATED_TS, EVENT_TS, REMOVED_AT
 from tidemark.operators.lookup import request_sizes, status_counts
 from tidemark.plans.sizes import Limits
 from tidemark.session import shared_folder
 from tidemark.sources.streams import StreamSource
-from tidemark.streaming import drop_retries, latest_stream, push_stream
+from tidemark.streaming import drop_retries, expiring_stream, latest_stream, push_stream
+from tidemark.streaming.expiry import ROCKSDB
 from workloads import views as v
 
 FIRST = datetime(2024, 1, 1)
@@ -268,6 +269,56 @@ def stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(fs, "last_event", ["user_id"])
 
 
+EXPIRY = timedelta(hours=6)
+
+
+def _in_batches(spark: SparkSession, sf_dir: str, run) -> None:
+    """Events as they come in, a week a file and a file a batch; the stream is stopped once on the way."""
+    folder = shared_folder(spark, "events-in")
+    events = v.events_with_created(spark, sf_dir)
+    week = F.floor((F.dayofmonth("ts") - 1) / 7)
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, ROCKSDB)
+    try:
+        for weeks in ((0, 1), (2, 3, 4)):
+            for n in weeks:
+                events.filter(week == n).coalesce(1).write.mode("append").parquet(folder)
+            stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+            run(stream).awaitTermination()
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
+def stream_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot fed by a stream that ends users without an event for six hours."""
+    fs = v.store(spark, v.last_event(sf_dir))
+    checkpoint = shared_folder(spark, "stream-expiry")
+
+    def run(stream: DataFrame):
+        return fs.push_stream("last_event", checkpoint, stream, now=v.NOW, key_ttl=EXPIRY, delay="1 hour")
+
+    _in_batches(spark, sf_dir, run)
+    return _rows(fs, "last_event", ["user_id"])
+
+
+def stream_removals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every time a user ended: the last event before, and when."""
+    checkpoint, folder = shared_folder(spark, "stream-removals"), shared_folder(spark, "removals")
+
+    def write(batch: DataFrame, version: str) -> None:
+        removed = batch.filter(F.col(REMOVED_AT).isNotNull())
+        # a batch that runs again writes the same folder
+        removed.write.mode("overwrite").parquet(f"{folder}/batch={version}")
+
+    def run(stream: DataFrame):
+        changes = expiring_stream(stream.select("user_id", "ts", "event_type"), ["user_id"], "ts", EXPIRY, "1 hour")
+        return push_stream(changes, write, checkpoint, "removals", mode="update")
+
+    _in_batches(spark, sf_dir, run)
+    return spark.read.parquet(folder).select("user_id", "ts", "event_type", F.col(REMOVED_AT).alias("removed_at"))
+
+
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest row per user kept as streaming state; retried deliveries are dropped first."""
     fs = v.store(spark, v.last_event(sf_dir))
