@@ -13,7 +13,7 @@ SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 # Names that operators use for their own columns.
-CLASHING = "score, kept, label, copy, regions, weight, held_out, node, key, runs, ids, spans, text_, lang_pred, predicted, one"
+CLASHING = "score, kept, label, copy, regions, weight, held_out, node, key, runs, ids, spans, _source, _steps, _parts, _u, _times, text_, lang_pred, predicted, one"
 
 
 def words(text: str | None) -> list[str]:

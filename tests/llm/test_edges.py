@@ -129,3 +129,21 @@ def test_near_dedup_keeps_one_of_repeated_rows(spark):
     docs = tables.frame(spark, [(1, "a b c", "en", "s"), (1, "a b c", "en", "s"), (2, "x", "en", "s"), (None, "y", "en", "s")])
     rows = neardup.stage(spark, docs, "").collect()
     assert sorted((r["doc_id"], r["text"]) for r in rows if r["doc_id"]) == [(1, "a b c"), (2, "x")] and len(rows) == 3
+
+
+def test_near_duplicates_of_an_id_with_two_texts_in_any_order(spark):
+    from tidemark.llm import neardup
+
+    a, b = tables.sentence(1, 60), tables.sentence(2, 60)
+    rows = [(5, a, "en", "s"), (5, b, "en", "s"), (6, a + " x", "en", "s"), (7, b + " x", "en", "s"), (8, tables.sentence(3), "en", "s")]
+    rows += [(5, a, "en", "s"), (9, b, "en", "s")]
+    sizes = {k: len({*zip(*(t.split()[i:] for i in range(5)))}) for k, t in ((6, a), (7, b))}
+    found = []
+    for order in (rows, rows[::-1], [*rows[3:], *rows[:3]]):
+        docs = tables.frame(spark, order).repartition(1)
+        found.append(sorted((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(docs).collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+    of = {i: c for i, c, _ in found[0]}
+    # one of the two texts counts for id 5, and for all its rows
+    assert sizes and sorted(c for c in (of[6], of[7])) in ([5, 6], [5, 7]) and of[8] == 8 and of[9] == of[7]
+    assert len({c for i, c, _ in found[0] if i == 5}) == 1

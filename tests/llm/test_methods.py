@@ -430,3 +430,39 @@ def test_benchmark_in_blocks_gives_the_same(spark):
         if re.sub(r"\W+", " ", b["text"].lower()).strip() in re.sub(r"\W+", " ", d["text"].lower())
     }
     assert {i for i, regions in rows(8_000_000) if regions} == whole
+
+
+def test_lost_array_files_are_noticed(spark):
+    import glob
+    import os
+
+    docs = documents(spark)
+    model = lm.learn(docs.select("text"))
+    files = [f for f in glob.glob(f"{model.layout.folder}/*") if os.path.getsize(f)]
+    assert {os.path.basename(f).split(".")[1] for f in files} >= {"key", "fact", "count"}
+    for kind in ("words-*.fact", "pairs-*.key"):
+        path = max(glob.glob(f"{model.layout.folder}/{kind}"), key=os.path.getsize)
+        with open(path, "rb") as file:
+            held = file.read()
+        for left in (None, held[:-8]):
+            os.remove(path) if left is None else open(path, "wb").write(left)
+            with pytest.raises(Exception, match="No such file|bytes, not"):
+                lm.score(docs, model).count()
+            with open(path, "wb") as file:
+                file.write(held)
+    assert lm.score(docs, model).count() == docs.count()
+
+
+def test_many_exceptions_take_no_time():
+    import time
+
+    matcher = toxicity.Matcher({" idiot ": 1.0, " trash ": 2.0}, (" trash can ", " can idiot "))
+    folded = toxicity.fold("idiot trash can and trash " * 100_000)
+    start = time.process_time()
+    assert len(matcher.find(folded)) == 200_000
+    assert time.process_time() - start < 5
+
+
+def test_spellings_that_fold_alike():
+    for spelling in ("idiot", "𝐢𝐝𝐢𝐨𝐭", "ⓘⓓⓘⓞⓣ", "ᵢdᵢₒt", "ɪᴅɪᴏᴛ", "ídïót", "1d10t", "ｉｄｉｏｔ"):
+        assert toxicity.fold(spelling) == toxicity.fold("idiot"), spelling

@@ -69,7 +69,11 @@ def mix(
     rows draw alike.  Columns named like the two new ones are replaced.
     A rate above 16 is the sum of independent draws of smaller mean, so any rate is exact.
     """
-    clean = docs.drop("copy", "mix_key")
+    given = [c for c in docs.columns if c not in ("copy", "mix_key")]
+    # neutral names, so that no column of the caller can clash with one made here
+    names = [f"__column{i}" for i in range(len(given))]
+    clean = docs.select(*[F.col(f"`{c}`") for c in given]).toDF(*names)
+    doc_id, text, source = (names[given.index(c)] for c in (doc_id, text, source))
     parts = F.ceil(F.col("rate") / PART_RATE)
     table = rates.filter("rate > 0").select(
         F.col("source").alias("_source"),
@@ -94,9 +98,9 @@ def mix(
     copies = (
         counted.filter("_times > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
-        .select(*clean.columns, "copy", F.md5(F.concat_ws(":", F.lit(seed), name, "copy").cast("binary")).alias("mix_key"))
+        .select(*names, "copy", F.md5(F.concat_ws(":", F.lit(seed), name, "copy").cast("binary")).alias("mix_key"))
     )
-    return copies.repartition("mix_key").sortWithinPartitions("mix_key")
+    return copies.repartition("mix_key").sortWithinPartitions("mix_key").toDF(*given, "copy", "mix_key")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
