@@ -12,8 +12,10 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -40,6 +42,8 @@ HOMOGLYPHS = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "ӏ": "i", "м": "m",
     "н": "h", "о": "o", "р": "p", "ѕ": "s", "т": "t", "у": "y", "х": "x", "ԛ": "q", "ԝ": "w",
     "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
+    "ᴀ": "a", "ʙ": "b", "ᴄ": "c", "ᴅ": "d", "ᴇ": "e", "ꜰ": "f", "ɢ": "g", "ʜ": "h", "ɪ": "i", "ᴊ": "j", "ᴋ": "k", "ʟ": "i",
+    "ᴍ": "m", "ɴ": "n", "ᴏ": "o", "ᴘ": "p", "ʀ": "r", "ꜱ": "s", "ᴛ": "t", "ᴜ": "u", "ᴠ": "v", "ᴡ": "w", "ʏ": "y", "ᴢ": "z",
     "ı": "i", "ɑ": "a", "ɡ": "g", "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "i",
 }
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "l": "i"}
@@ -78,7 +82,8 @@ def fold(text: str | None) -> str:
     """The folded text: words of letters between single or repeated spaces, one at each end."""
     if not text:
         return " "
-    low = text.lower()
+    # letters in circles, of mathematical alphabets, raised and lowered ones become plain
+    low = (text if text.isascii() else unicodedata.normalize("NFKD", text)).lower()
     if "@" in low or "$" in low:
         low = _SIGN.sub(lambda m: SIGNS[m[0]], low)
     return f" {low.translate(_TABLE)} "
@@ -101,7 +106,7 @@ def _count_task(batches):
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found = {w for w in fold(text).split() if len(w) <= 40}
+            found = set(fold(text).split())
             stems = {w[:k] + "*" for k in range(SHORTEST_STEM, LONGEST_STEM + 1) for w in found if len(w) >= k}
             seen[label].update(found)
             seen[label].update(stems)
@@ -200,7 +205,10 @@ class Matcher:
         for end, (size, value, form) in self.automaton.iter(folded) if self.ready else ():
             (spared if value is None else hits).append((end - size + 1, end, value, form))
         if spared:
-            hits = [h for h in hits if not any(s[0] <= h[0] and h[1] <= s[1] + 1 for s in spared)]
+            spared.sort()
+            starts = [s[0] for s in spared]
+            reach = list(accumulate((s[1] for s in spared), max))  # of all that start so early
+            hits = [h for h in hits if not ((k := bisect_right(starts, h[0])) and h[1] <= reach[k - 1] + 1)]
         return [(value, form) for _, _, value, form in hits]
 
 
