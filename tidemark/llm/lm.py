@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +72,8 @@ class Layout:
     shards: int
     hot: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.uint64))  # sorted
     spread: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    # entries of each shard's arrays, of words and pairs, and of the pairs' large counts
+    held: dict[tuple[str, int], tuple[int, int]] = field(default_factory=dict)
 
     def pair_shard(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         out = _shard(first, self.shards)
@@ -172,18 +174,29 @@ def _count_words(shards: int):
 
 
 def _merge_words(shards: int):
-    """Per shard its words, and a row of totals with the words of more than their share."""
+    """Per shard its words, and a row of totals."""
 
     def run(batches):
         for shard, blocks in _by_shard(batches):
             words, counts = _merged(blocks, "words", np.uint64, np.int64)
             words, _, counts = _summed(words, counts)
             yield from _blocks("words", np.full(len(words), shard), words, counts)
-            top = np.argsort(-counts, kind="stable")[: 4 * shards]
-            order = np.sort(top)
             total = np.array([counts.sum(), len(words)], dtype=np.int64)
-            payload = total.tobytes() + words[order].tobytes() + counts[order].tobytes()
-            yield _rows([shard], ["totals"], [len(order)], [payload])
+            yield _rows([shard], ["totals"], [2], [total.tobytes()])
+
+    return run
+
+
+def _frequent(least: int):
+    """Words that occur so often, of rows of words."""
+
+    def run(batches):
+        for batch in batches:
+            for n, payload in zip(batch.column("n").to_pylist(), batch.column("payload").to_pylist()):
+                words, counts = _unpack(payload, n, np.uint64, np.int64)
+                many = counts >= least
+                columns = [pa.array(words[many].view(np.int64)), pa.array(counts[many])]
+                yield pa.RecordBatch.from_arrays(columns, names=["word", "count"])
 
     return run
 
@@ -226,6 +239,7 @@ def _merge_pairs(layout: Layout):
             _write(path + ".large", np.concatenate([keys[large], counts[large].astype(np.uint64)]))
             steps = np.array([(counts == k).sum() for k in (1, 2, 3, 4)], dtype=np.int64)
             yield _rows([0], ["steps"], [4], [steps.tobytes()])
+            yield _rows([shard], ["held"], [len(keys)], [np.array([large.sum()], dtype=np.int64).tobytes()])
             order = np.argsort(first, kind="stable")
             own, starts = np.unique(first[order], return_index=True)
             held = counts[order]
@@ -262,12 +276,14 @@ def _merge_facts(layout: Layout):
             _write(path + ".key", keys)
             _write(path + ".fact", facts)
             steps = np.zeros(4, dtype=np.int64)
-            for kind, _, payload in blocks:
+            for kind, n, payload in blocks:
                 if kind == "steps":
                     steps += np.frombuffer(payload, dtype=np.int64)
+                elif kind == "held":
+                    yield _rows([shard], ["held"], [n], [payload])
             sums = [summed.sum(), *((summed == k).sum() for k in (1, 2, 3, 4))]
             payload = np.concatenate([steps, np.array(sums, dtype=np.int64)]).tobytes()
-            yield _rows([shard], ["sums"], [9], [payload])
+            yield _rows([shard], ["sums"], [len(keys)], [payload])
 
     return run
 
@@ -322,29 +338,34 @@ def learn(texts: DataFrame, text: str = "text") -> BigramModel:
     layout = Layout(folder, shards)
     counted = _dealt(rows.mapInArrow(_count_words(shards), BLOCK), shards).mapInArrow(_merge_words(shards), BLOCK)
     unigrams = stored(counted, "unigrams")
-    tokens, words, best = 0, 0, {}
-    # One row per shard; of it, the driver keeps words that fill a shard by themselves.
-    for row in unigrams.filter("kind = 'totals'").select("n", "payload").toLocalIterator():
-        total = np.frombuffer(row["payload"], dtype=np.int64, count=2)
-        keys = np.frombuffer(row["payload"], dtype=np.uint64, count=row["n"], offset=16)
-        counts = np.frombuffer(row["payload"], dtype=np.int64, count=row["n"], offset=16 + 8 * row["n"])
+    tokens = words = 0
+    for row in unigrams.filter("kind = 'totals'").select("payload").toLocalIterator():  # two numbers per shard
+        total = np.frombuffer(row["payload"], dtype=np.int64)
         tokens, words = tokens + int(total[0]), words + int(total[1])
-        best.update({int(k): int(c) for k, c in zip(keys, counts) if c * shards >= max(tokens, 1)})
-    hot = {k: c for k, c in best.items() if c * shards >= tokens}
+    # Words that fill a shard by themselves; there are at most as many as shards.
+    own = unigrams.filter("kind = 'words'").select("n", "payload")
+    frequent = own.mapInArrow(_frequent(max(1, -(-tokens // shards))), "word long, count long").collect()
+    hot = {r["word"] % (1 << 64): r["count"] for r in frequent}
     # As often as the mark of a text's start, which begins one bigram per text.
     texts_share = np.uint64(START)
-    ends = int(best.get(int(END), 0))
-    if ends * shards >= tokens > 0:
+    ends = hot.get(int(END), 0)
+    if ends:
         hot[int(texts_share)] = ends
     names = np.array(sorted(hot), dtype=np.uint64)
     spread = np.array([min(shards, 1 + hot[int(k)] * shards * 2 // max(tokens, 1)) for k in names], dtype=np.int64)
     layout = Layout(folder, shards, names, spread)
     pairs = _dealt(rows.mapInArrow(_count_pairs(layout), BLOCK), shards).mapInArrow(_merge_pairs(layout), BLOCK)
     facts = pairs.unionAll(unigrams.filter("kind = 'words'").select("shard", "kind", "n", "payload"))
-    sums = _dealt(facts, shards).mapInArrow(_merge_facts(layout), BLOCK).select("payload")
-    total = np.zeros(9, dtype=np.int64)
-    for row in sums.collect():  # nine numbers per shard
-        total += np.frombuffer(row["payload"], dtype=np.int64)
+    sums = _dealt(facts, shards).mapInArrow(_merge_facts(layout), BLOCK)
+    total, held = np.zeros(9, dtype=np.int64), {}
+    for row in sums.collect():  # a dozen numbers per shard
+        numbers = np.frombuffer(row["payload"], dtype=np.int64)
+        if row["kind"] == "held":
+            held["pairs", row["shard"]] = (row["n"], int(numbers[0]))
+        else:
+            held["words", row["shard"]] = (row["n"], 0)
+            total += numbers
+    layout = replace(layout, held=held)
     way = discounts(total[5:])
     kinds = np.array([total[5], total[6], 0])
     return BigramModel(layout, tokens, words, discounts(total[:4]), way, int(total[4]), _rest(way, total, words, kinds))
@@ -365,20 +386,25 @@ class Arrays:
         self.layout = layout
         self.open: dict[tuple[str, int], tuple] = {}
 
-    def _map(self, name: str, dtype) -> np.ndarray:
-        path = os.path.join(self.layout.folder, name)
-        if not os.path.exists(path) or not os.path.getsize(path):
+    def _map(self, name: str, dtype, entries: int) -> np.ndarray:
+        """The array of a file, which must have as many entries as were written."""
+        if not entries:
             return np.zeros(0, dtype=dtype)
+        path, dtype = os.path.join(self.layout.folder, name), np.dtype(dtype)
+        if os.path.getsize(path) != entries * dtype.itemsize:
+            raise OSError(f"{path} has {os.path.getsize(path)} bytes, not {entries * dtype.itemsize}")
         return np.memmap(path, dtype=dtype, mode="r")
 
     def _shard(self, kind: str, shard: int) -> tuple:
         if (kind, shard) not in self.open:
             stem = f"{kind}-{shard:06d}"
+            n, m = self.layout.held.get((kind, shard), (0, 0))
+            keys = self._map(stem + ".key", np.uint64, n)
             if kind == "words":
-                self.open[kind, shard] = (self._map(stem + ".key", np.uint64), self._map(stem + ".fact", WORD))
+                self.open[kind, shard] = (keys, self._map(stem + ".fact", WORD, n))
             else:
-                large = np.array(self._map(stem + ".large", np.uint64)).reshape(2, -1)
-                self.open[kind, shard] = (self._map(stem + ".key", np.uint64), self._map(stem + ".count", np.uint8), large)
+                large = np.array(self._map(stem + ".large", np.uint64, 2 * m)).reshape(2, -1)
+                self.open[kind, shard] = (keys, self._map(stem + ".count", np.uint8, n), large)
         return self.open[kind, shard]
 
     @staticmethod
