@@ -95,7 +95,7 @@ def _signatures(texts: pa.Array, powers: kernels.Powers) -> list[pa.Array]:
     return [pa.array(size), pa.array(one), pa.array(two), pa.array(sketch, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """(doc_id, n_shingles, one, two, sketch, bands); no sketch and bands for an empty set."""
     fields = [
         StructField("n_shingles", LongType()),
@@ -109,7 +109,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         powers = kernels.Powers()
         return lambda texts: _signatures(texts, powers)
 
-    return annotate(docs, "text", make, fields, ("doc_id",))
+    return annotate(docs, "text", make, fields, keep)
 
 
 def _runs(keys: np.ndarray) -> list[tuple[int, int]]:
@@ -426,25 +426,42 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _node_texts(docs: DataFrame, pairs: DataFrame, large: DataFrame) -> DataFrame:
+_DIGEST = ("n_shingles", "one", "two")
+
+
+def _first_texts(marked: DataFrame) -> DataFrame:
+    """(doc_id, first) of ids that occur with different sets: the first set by size and digest."""
+    own = F.struct(*_DIGEST)
+    ids = marked.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(own).alias("first"), F.max(own).alias("last"))
+    return stored(ids.filter("first <> last").select("doc_id", "first"), "first-texts")
+
+
+def _node_texts(docs: DataFrame, pairs: DataFrame, large: DataFrame, first: DataFrame | None) -> DataFrame:
     """Texts of the nodes that occur in pairs or in large buckets: all that may be compared."""
     ids = [pairs.select(F.col(c).alias("doc_id")) for c in ("a", "b")]
     wanted = ids[0].unionAll(ids[1]).unionAll(large.select(F.col("node").alias("doc_id"))).distinct()
     # Always by shuffle, so that the plan is the same at every size.
     found = docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
+    if first is not None:
+        several = found.join(first, "doc_id", "left_semi").withColumnRenamed("text", "own")
+        several = signatures(several.withColumn("text", F.col("own")), ("doc_id", "own")).join(first, "doc_id")
+        several = several.filter(F.struct(*_DIGEST) == F.col("first")).select("doc_id", F.col("own").alias("text"))
+        found = found.join(first, "doc_id", "left_anti").unionByName(several)
+    # texts of one id have one set by now
     return found.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "text")
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, first: DataFrame | None = None) -> DataFrame:
     """(node, component) of the nodes that have a link.
 
-    ``nodes``: (node, n_shingles, sketch, bands), one row per distinct set.
+    ``nodes``: (node, n_shingles, sketch, bands), one row per distinct set.  ``first`` names
+    the set that counts for ids with texts of several sets.
     """
     found = stored(_bucket_rows(nodes).mapInArrow(_pair_task, "key long, a long, b long"), "pairs")
     large = found.filter("b IS NULL").select("key", F.col("a").alias("node"))
     pairs = _plausible(found.filter("b IS NOT NULL").select("a", "b").distinct(), nodes)
     pairs = stored(pairs, "plausible")
-    texts = stored(_node_texts(docs, pairs, large), "texts")
+    texts = stored(_node_texts(docs, pairs, large, first), "texts")
     # Of partners that are all very similar the smallest, so that dense groups are stars at once.
     order = F.struct(F.least("alike", F.lit(SURE)), -F.col("a"))
     nearest = pairs.groupBy("b").agg(F.max_by("a", order).alias("a")).select("a", "b")
@@ -479,6 +496,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     marks that document.
     """
     marked = stored(signatures(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), "signatures")
+    first = _first_texts(marked)
+    if first.isEmpty():
+        first = None
+    else:
+        several = marked.join(first, "doc_id")
+        known = several.filter(F.struct(*_DIGEST) == F.col("first")).dropDuplicates(["doc_id"])
+        again = several.select("doc_id").join(known, "doc_id").select(*marked.columns)
+        marked = stored(marked.join(first, "doc_id", "left_anti").unionByName(again), "signatures")
     filled = marked.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = filled.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("node"))
     sets = stored(sets, "sets")
@@ -487,17 +512,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ["node", "one", "two"],
     )
     nodes = nodes.dropDuplicates(["node"]).select("node", "n_shingles", "sketch", "bands")
-    labels = links(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), stored(nodes, "nodes"))
+    labels = links(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), stored(nodes, "nodes"), first)
     component = sets.join(labels, "node", "left").select(
         "one", "two", F.col("n_shingles").alias("n"), F.coalesce("component", "node").alias("component_id")
     )
-    joined = marked.select("doc_id", "n_shingles", "one", "two").join(
-        component,
-        (F.col("n_shingles") == F.col("n"))
-        & marked["one"].eqNullSafe(component["one"])
-        & marked["two"].eqNullSafe(component["two"]),
+    rows = marked.select("doc_id", "n_shingles", "one", "two")
+    joined = rows.filter("n_shingles > 0").join(
+        component.withColumnsRenamed({"one": "first", "two": "second"}),
+        (F.col("n_shingles") == F.col("n")) & (F.col("one") == F.col("first")) & (F.col("two") == F.col("second")),
         "left",
     )
+    # empty sets are no key of the join, however many there are
+    empty = rows.filter("n_shingles = 0").withColumn("component_id", F.lit(None).cast("long"))
+    joined = joined.select("doc_id", "n_shingles", "component_id").unionByName(empty.select("doc_id", "n_shingles", "component_id"))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce(own, F.col("doc_id")))
     return joined.select(
