@@ -97,7 +97,7 @@ def test_late_records_and_two_summaries_lose_nothing(spark, tmp_path, monkeypatc
     other.files.add(other._epoch(0), "r-00000000000000000009-late.json", late)
     assert {r.folder for r in log.state().live} == {"f0", "f1", "f2", "late"}
     held = log.files.names(log._epoch(1))
-    log.files.add(log._epoch(1), "s-0.json", '{"covered": [], "live": [], "dropped": 0, "ends": [], "last_seq": 0}')
+    log.files.add(log._epoch(1), "s-0.json", '{"covered": [], "live": [], "dropped": 0, "ends": [], "last_seq": 0, "ranges": []}')
     assert len(log.files.names(log._epoch(1))) == len(held) + 1
     assert {r.folder for r in log.state().live} == {"f0", "f1", "f2", "late"}
     for n in range(10, 20):
@@ -194,3 +194,44 @@ def test_the_log_counts_rows_and_knows_the_latest_time(spark):
     rows = fs.snapshots.log("stats").orderBy("seq").select("rows", "latest", "buckets").collect()
     assert [tuple(r) for r in rows] == [(2, hours(3), 1), (0, None, 1)]
     assert DEFAULT_LIMITS.max_buckets & (DEFAULT_LIMITS.max_buckets - 1) == 0
+
+
+def span(seq, first, last, is_open=False):
+    at = [hours(h).isoformat() for h in (first, last)]
+    return replace(load(seq, f"s{seq}"), range_start=at[0], range_end=at[1], range_open=is_open)
+
+
+def test_ranges_are_joined_and_forgotten():
+    records = [span(1, 0, 5), span(2, 5, 6, True), span(3, 8, 9), span(4, 8.5, 8.7), span(5, 20, 21)]
+    iso = lambda h: hours(h).isoformat()
+    joined = ((iso(0), iso(6), True, 1), (iso(8), iso(9), False, 3), (iso(20), iso(21), False, 5))
+    draw = random.Random(4)
+    for _ in range(20):
+        draw.shuffle(records)
+        cut = draw.randrange(len(records) + 1)
+        assert resolve(records[cut:], resolve(records[:cut])).ranges == joined
+    held = resolve(records)
+    assert resolve([Record(DROP, "v", 4)], held).ranges == joined[2:]
+    assert resolve([span(9, 6, 6)], held).ranges[0] == (iso(0), iso(6), False, 1)
+
+
+def test_missing_ranges_are_what_is_loaded(spark):
+    fs = make_store(spark, [(h, hours(h), None, str(h)) for h in range(30)])
+    assert fs.missing_ranges("stats", hours(0), hours(29)) == [(hours(0), hours(29))]
+    fs.materialize(hours(3), hours(7))
+    fs.materialize(hours(7), hours(10), closed="left")
+    fs.materialize(hours(15), hours(20))
+    assert fs.missing_ranges("stats", hours(0), hours(29)) == [
+        (hours(0), hours(3)), (hours(10), hours(15)), (hours(20), hours(29))
+    ]
+    assert fs.missing_ranges("stats", hours(4), hours(9)) == [] and fs.missing_ranges("stats", hours(16), hours(20)) == []
+    # the end that was left out is missing still
+    assert fs.missing_ranges("stats", hours(4), hours(10)) == [(hours(10), hours(10))]
+    before = fs.snapshots.log("stats").count()
+    fs.materialize(hours(0), hours(20), missing_only=True)
+    assert fs.snapshots.log("stats").count() == before + 2
+    assert fs.snapshots.read("stats", ["driver_id"]).count() == 21
+    fs.materialize(hours(0), hours(20), missing_only=True)
+    assert fs.snapshots.log("stats").count() == before + 2
+    fs.snapshots.drop("stats")
+    assert fs.missing_ranges("stats", hours(4), hours(9)) == [(hours(4), hours(9))]

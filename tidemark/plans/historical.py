@@ -7,14 +7,16 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.carry import Carry
 from tidemark.definitions import Entity, FeatureView, OnDemandView, RequestView
-from tidemark.errors import FeatureNameCollision
+from tidemark.errors import FeatureNameCollision, TidemarkError
 from tidemark.functions.columns import q
-from tidemark.functions.times import utc_text
+from tidemark.functions.times import time_literal, utc_text
 from tidemark.operators.asof import AsofSide, asof_join
 from tidemark.plans.resolve import Request, Wanted, check_request_data, view_key
 from tidemark.plans.sizes import Limits, is_small
 from tidemark.plans.transforms import input_columns, with_on_demand
+from tidemark.sources.batch import BatchSource
 from tidemark.sources.spine import require_columns
 
 
@@ -41,12 +43,14 @@ def historical(
     prune: bool | str,
     limits: Limits,
     prune_keys: bool | str = "auto",
+    carry: Carry | None = None,
 ) -> DataFrame:
     """The spine with the requested features as further columns.
 
     With ``prune`` the sources are cut to the time span the spine can match; that takes
     one job over the spine's time column.  With ``prune_keys`` they are cut to its keys.
-    "auto" does so when a source is not small.
+    "auto" does so when a source is not small.  With ``carry`` sources are read from its cut
+    on, and no row of the spine may lie before it.
     """
     check_request_data(request, spine.columns)
     check_names(request, spine)
@@ -59,15 +63,17 @@ def historical(
     sources = [item.view.source.read(spark) for item in request.fetched]
     if prune == "auto":
         prune = not is_small(limits, *sources)
-    if prune and request.fetched:
+    if (prune or carry) and request.fetched:
         lo, hi = time_span(spine, ts)
+        if carry and lo is not None and lo < carry.at:
+            raise TidemarkError(f"rows from {lo} on, before the cut {carry.at} of carry {carry.name!r}")
 
     structs: dict[tuple, str] = {}
     sides = []
     for i, (item, rows) in enumerate(zip(request.fetched, sources)):
         structs[view_key(item.view)] = name = f"__ft_v{i}"
         keys = join_keys(item.view, entities)
-        sides.append(_side(spark, name, item, keys, rows, lo, hi))
+        sides.append(_side(spark, name, item, keys, rows, lo, hi, carry))
     joined = asof_join(spine, ts, sides, plan, limits, prune_keys) if sides else spine
 
     def feature_column(view: FeatureView, feature: str) -> Column:
@@ -111,6 +117,19 @@ def check_names(request: Request, given: DataFrame, suffixes: tuple[str, ...] =
         raise FeatureNameCollision(f"the given rows already have columns {taken}")
 
 
+def after(spark: SparkSession, source: BatchSource, cut: datetime, end: datetime | None = None, rows=None) -> DataFrame:
+    """Rows of a source later than ``cut``, up to ``end``."""
+    df = source.load(spark, cut, end, rows=rows)
+    ts = source.mapped(source.event_timestamp_column)
+    return df.filter(q(ts) > time_literal(cut, df.schema[ts].dataType))
+
+
+def carried(spark: SparkSession, carry: Carry, view: str, later: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of a carry and those after its cut."""
+    names = [q(c) for c in columns]
+    return carry.rows(spark, view).select(*names).unionByName(later.select(*names))
+
+
 def _side(
     spark: SparkSession,
     name: str,
@@ -119,15 +138,23 @@ def _side(
     rows: DataFrame,
     lo: datetime | None,
     hi: datetime | None,
+    carry: Carry | None,
 ) -> AsofSide:
     """One view's part in the join, cut to what the spine can match."""
     view, source = item.view, item.view.source
     oldest = lo - view.ttl if lo is not None and view.ttl else None
+    ts = source.mapped(source.event_timestamp_column)
+    created = source.mapped(source.created_timestamp_column)
+    if carry is None:
+        df = source.load(spark, oldest, hi, rows=rows)
+    else:
+        used = dict.fromkeys([*[s for _, s in keys], ts, *([created] if created else []), *item.names])
+        df = carried(spark, carry, view.name, after(spark, source, carry.at, hi, rows), list(used))
     return AsofSide(
         name=name,
-        df=source.load(spark, oldest, hi, rows=rows),
-        ts=source.mapped(source.event_timestamp_column),
-        created=source.mapped(source.created_timestamp_column),
+        df=df,
+        ts=ts,
+        created=created,
         values=tuple(item.names),
         keys=keys,
         ttl=view.ttl or None,

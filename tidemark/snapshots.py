@@ -80,6 +80,23 @@ class Snapshots:
         end = self._log(view).state().last_end
         return None if end is None else datetime.fromisoformat(end)
 
+    def gaps(self, view: str, start: datetime, end: datetime) -> list[tuple[datetime, datetime]]:
+        """The parts of a time range that no load has covered since the last drop; ends belong to them."""
+        start, end = to_utc(start), to_utc(end)
+        missing, at = [], start
+        for first, last, is_open, _ in self._log(view).state().ranges:
+            first, last = datetime.fromisoformat(first), datetime.fromisoformat(last)
+            if last < at or last == at and is_open:
+                continue
+            if first > end:
+                break
+            if first > at:
+                missing.append((at, first))
+            at = last
+            if last > end or last == end and not is_open:
+                return missing
+        return [*missing, (at, end)]
+
     def versions(self, view: str) -> list[Record]:
         """Current folders of a view, oldest first.
 
@@ -102,6 +119,7 @@ class Snapshots:
         end: datetime | None = None,
         version: str | None = None,
         keys: list[str] | None = None,
+        closed: str = "both",
     ) -> None:
         """Add rows (keys, values, event and created time), one per key.
 
@@ -119,8 +137,9 @@ class Snapshots:
         at, start, end = (None if t is None else to_utc(t).isoformat() for t in (at, start, end))
         log.append(
             Record(
-                LOAD, view, seq, folder, version or folder, first, range_start=start, range_end=end, recorded_at=at, **written
-            )
+                LOAD, view, seq, folder, version or folder, first, range_start=start, range_end=end, recorded_at=at,
+                range_open=closed == "left", **written,
+            )
         )
         if keys and self.fan:
             self._fold_classes(view, keys)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType
 
+from tidemark.carry import Carries, Carry
 from tidemark.datasets import (
     FileStorage,
     Reference,
@@ -45,7 +46,7 @@ from tidemark.functions.times import to_utc
 from tidemark.functions.types import check_declared, to_declared
 from tidemark.operators.latest import CREATED_TS, EVENT_TS, latest_per_key, pull_all, pull_latest
 from tidemark.operators.quality import Profiler
-from tidemark.plans.historical import historical, join_keys
+from tidemark.plans.historical import after, carried, historical, join_keys
 from tidemark.plans.online import online, snapshot_rows
 from tidemark.plans.resolve import resolve
 from tidemark.plans.sizes import DEFAULT_LIMITS, Limits
@@ -80,6 +81,7 @@ class FeatureStore:
         root = (root or shared_folder(spark, "features")).rstrip("/")
         self.snapshots = Snapshots(spark, f"{root}/snapshots", limits)
         self.datasets = SavedDatasets(spark, f"{root}/datasets")
+        self.carries = Carries(spark, f"{root}/carries")
         self.key_ttl = key_ttl
         self.limits = limits
         self._entities: dict[str, Entity] = {}
@@ -234,21 +236,48 @@ class FeatureStore:
         plan: str = "auto",
         prune: bool | str = "auto",
         prune_keys: bool | str = "auto",
+        carry: Carry | None = None,
     ) -> Retrieval:
         """Point-in-time features for every row of ``entity_df``, which keeps its columns.
 
         ``prune`` and ``prune_keys`` cut the sources to the times and keys of the rows before
         anything is joined, at the cost of a job each; "auto" does so for large sources.
+        With a ``carry`` of the views' latest rows the sources are read from its cut on; the
+        rows must not lie before it.
         """
         request = resolve(features, self._views, full_feature_names)
         spine = as_spine(self.spark, entity_df)
         ts = event_timestamp or infer_spine_time(spine)
         df = historical(
-            self.spark, spine, ts, request, self._entities, plan, prune, self.limits, prune_keys
+            self.spark, spine, ts, request, self._entities, plan, prune, self.limits, prune_keys, carry
         )
         keys = {s for item in request.fetched for s, _ in join_keys(item.view, self._entities)}
         return Retrieval(df, tuple(request.refs), tuple(sorted(keys)), ts, full_feature_names)
 
+    def save_carry(self, name: str, cut: datetime, views: list[str] | None = None, since: Carry | None = None) -> Carry:
+        """Keep the latest row per key up to ``cut`` of some views, by default all with a source.
+
+        With an earlier carry only the source rows after its cut are read.
+        """
+        cut = to_utc(cut)
+        if since is not None and since.at > cut:
+            raise TidemarkError(f"carry {since.name!r} was cut at {since.at}, after {cut}")
+        if views is None:
+            views = [v.name for v in self._views.values() if isinstance(v, FeatureView) and v.source is not None]
+        tables = {}
+        for view in map(self._feature_view, views):
+            ts, created, keys, values = self._roles(view)
+            columns = list(dict.fromkeys([*keys, ts, *([created] if created else []), *values]))
+            if since is None:
+                rows = view.source.load(self.spark, None, cut).select(*[q(c) for c in columns])
+            else:
+                rows = carried(self.spark, since, view.name, after(self.spark, view.source, since.at, cut), columns)
+            tables[view.name] = pull_latest(rows.filter(all_not_null([*keys, ts])), keys, values, ts, created)
+        return self.carries.save(name, cut, tables)
+
+    def get_carry(self, name: str) -> Carry:
+        return self.carries.get(name)
+
     # -- snapshots ---------------------------------------------------------------
 
     def pull_latest(self, view: str, start: datetime, end: datetime, closed="both") -> DataFrame:
@@ -271,12 +300,24 @@ class FeatureStore:
         views: list[str] | None = None,
         now: datetime | None = None,
         closed: str = "both",
+        missing_only: bool = False,
     ) -> None:
-        """Load the latest row per entity between ``start`` and ``end`` into the snapshots."""
+        """Load the latest row per entity between ``start`` and ``end`` into the snapshots.
+
+        With ``missing_only`` only the parts of the range that were never loaded are read.
+        """
         if to_utc(start) > to_utc(end):
             raise TidemarkError(f"start {start} is after end {end}")
         for view in self._online_views(views):
-            self._materialize(view, start, end, now, closed)
+            for first, last in self.missing_ranges(view.name, start, end) if missing_only else [(start, end)]:
+                self._materialize(view, first, last, now, closed if last == end else "both")
+
+    def missing_ranges(self, view: str, start: datetime, end: datetime) -> list[tuple[datetime, datetime]]:
+        """The parts of a time range that no load of a view has covered since it was last dropped.
+
+        Both ends belong to each part, so the moments at its ends may have been loaded.
+        """
+        return self.snapshots.gaps(view, start, end)
 
     def materialize_incremental(
         self, end: datetime, views: list[str] | None = None, now: datetime | None = None
@@ -300,7 +341,7 @@ class FeatureStore:
         df = view.source.load(self.spark, start, end, closed).filter(all_not_null(keys))
         df = to_declared(df, self._declared(view), f"view {view.name!r}")
         rows = snapshot_rows(pull_latest(df, keys, values, ts, created), keys, values, ts, created)
-        self.snapshots.add(view.name, rows, to_utc(now or _utc_now()), start, end, keys=keys or [DUMMY_KEY])
+        self.snapshots.add(view.name, rows, to_utc(now or _utc_now()), start, end, keys=keys or [DUMMY_KEY], closed=closed)
 
     def write_to_online_store(
         self,

@@ -404,6 +404,19 @@ ORACLES: dict[str, str] = {
     "snapshot_folding": _latest(
         f"SELECT * FROM ({_CREATED}) WHERE event_type IN ('signup', 'error', 'click') OR {_IN_LOADS}"
     ),
+    "pit_carried": _PIT,
+    "materialize_gaps": _latest(
+        f"SELECT * FROM ({_CREATED}) WHERE ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-25'"
+    ),
+    "missing_ranges": """
+        WITH loads(first, last) AS (VALUES (2, 6), (5, 8), (12, 16), (16, 18), (22, 24), (0, 1), (25, 26)),
+        reached AS (SELECT first, max(last) OVER (ORDER BY first, last
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM loads),
+        holes AS (SELECT TIMESTAMP '2023-12-31' + to_days(before) AS range_start,
+                         TIMESTAMP '2023-12-31' + to_days(first) AS range_end FROM reached WHERE first > before)
+        SELECT range_start, range_end, count(*) AS rows FROM holes JOIN events ON ts BETWEEN range_start AND range_end
+        GROUP BY ALL
+    """,
     "load_counts": " UNION ALL ".join(
         f"""SELECT {first} AS range_start, {last} AS range_end, count(DISTINCT user_id) AS rows, max(ts) AS latest
         FROM events WHERE ts BETWEEN {first} AND {last}"""

@@ -94,6 +94,35 @@ def snapshot_folding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(fs, "last_event", ["user_id"])
 
 
+def _with_holes(spark: SparkSession, sf_dir: str) -> FeatureStore:
+    """Loads that overlap, and leave days out."""
+    fs = v.store(spark, v.last_event(sf_dir))
+    for first, last in ((2, 6), (5, 8), (12, 16), (16, 18), (22, 24)):
+        fs.materialize(datetime(2024, 1, first), datetime(2024, 1, last), now=v.NOW)
+    return fs
+
+
+def materialize_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only what no load covered is read, and then nothing is missing."""
+    fs = _with_holes(spark, sf_dir)
+    fs.materialize(FIRST, LATE, now=v.NOW, missing_only=True)
+    assert fs.missing_ranges("last_event", FIRST, LATE) == []
+    return _rows(fs, "last_event", ["user_id"])
+
+
+def missing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holes between loads, with the number of source rows in each."""
+    fs = _with_holes(spark, sf_dir)
+    out = None
+    for first, last in fs.missing_ranges("last_event", FIRST, LATE):
+        rows = fs.pull_all("last_event", first, last)
+        part = rows.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(first).cast("timestamp_ntz").alias("range_start"), F.lit(last).cast("timestamp_ntz").alias("range_end"), "rows"
+        )
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the log says of each load: rows and latest event time, counted while they were written."""
     fs = v.store(spark, v.last_event(sf_dir))

@@ -73,6 +73,23 @@ def pit_key_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pit_alias_twice(spark, sf_dir, prune_keys=True)
 
 
+def pit_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three parts of the spine in time; the later two read only events after a stored carry."""
+    fs = v.store(spark, v.activity(sf_dir))
+    first, second = datetime(2024, 1, 10), datetime(2024, 1, 20)
+    fs.save_carry("first", first)
+    fs.save_carry("second", second, since=fs.get_carry("first"))
+    purchases = v.purchases(spark, sf_dir)
+    at = [F.lit(t).cast("timestamp_ntz") for t in (first, second)]
+    parts = [
+        (F.col("ts") < at[0], None),
+        ((F.col("ts") >= at[0]) & (F.col("ts") < at[1]), fs.get_carry("first")),
+        (F.col("ts") >= at[1], fs.get_carry("second")),
+    ]
+    found = [fs.get_historical_features(purchases.filter(p), REFS, carry=c).df for p, c in parts]
+    return reduce(DataFrame.unionAll, found)
+
+
 def pit_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The time-sliced plan of hot keys, on suppliers with many ties per day."""
     fs = v.store(spark, v.supplier_lines(sf_dir), limits=TINY_GROUPS)
