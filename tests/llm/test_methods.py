@@ -466,3 +466,25 @@ def test_many_exceptions_take_no_time():
 def test_spellings_that_fold_alike():
     for spelling in ("idiot", "𝐢𝐝𝐢𝐨𝐭", "ⓘⓓⓘⓞⓣ", "ᵢdᵢₒt", "ɪᴅɪᴏᴛ", "ídïót", "1d10t", "ｉｄｉｏｔ"):
         assert toxicity.fold(spelling) == toxicity.fold("idiot"), spelling
+
+
+def test_nothing_of_an_article_is_lost():
+    first = tables.sentence(41, 40)
+    both = f"{first}\n\n{first}"
+    for empty in ("<svg viewBox='0' />", "<iframe src=x />", "<video src=x/>", "<svg><svg></svg>leak</svg>", "<object data=x/>"):
+        assert htmltext.extract(f"<article><p>{first}</p>{empty}<p>{first}</p></article>") == both
+    inner = f"<p class='search-result-text'>{first}</p><section id='related-work'><p>{first}</p></section>"
+    inner += f"<div class='widget-code'>{first}</div>"
+    signs = "<div class='share-bar'>x</div><div class='related posts'>x</div><div class='ad ad-300x250'>x</div><ul class=comments>x</ul>"
+    assert htmltext.extract(f"<article>{inner}{signs}</article>") == f"{both}\n\n{first}"
+    page = f"<body><nav><a>Home</a></nav><div><h1><a href=x>A title</a></h1><p>{first}</p><p><a href=y>The end of it</a></p></div><footer>x</footer>"
+    assert htmltext.extract(page) == f"A title\n\n{first}\n\nThe end of it"
+
+
+def test_deep_pages_take_no_time():
+    import time
+
+    start = time.process_time()
+    htmltext.extract("<div>" * 100_000 + "</span>" * 100_000 + "text")
+    htmltext.extract("<div><svg><iframe/>" * 30_000 + "text")
+    assert time.process_time() - start < 8

@@ -29,14 +29,16 @@ SAMPLE_PAGES = 5000
 MAX_CLASSES = 2000
 
 # Elements by their role, and words of class, id and role attributes that mark boilerplate.
-RAW = "script style template noscript iframe object svg math canvas textarea select audio video".split()
+RAW = "script style textarea".split()
+RAW_UNLESS_EMPTY = "iframe noscript".split()
+EMBEDDED = "template object svg math canvas select audio video".split()
 BOILERPLATE = "head nav footer aside form button menu dialog label fieldset datalist".split()
 BLOCKS = (
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody tfoot thead "
     "title tr ul"
 ).split()
-SPACING = "br td th wbr".split()
+SPACING = ["br", "td", "th", "wbr", *EMBEDDED]
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 SIGNS = (
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist "
@@ -45,16 +47,26 @@ SIGNS = (
     "respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar "
     "topbar widget alert complementary contentinfo"
 ).split()
+# Words that add nothing to a sign: "share-bar" is a sign, "related-work" is not.
+PLAIN = (
+    "area bar bars block blocks body bottom box boxes btn button buttons card cards center col column container content "
+    "count cta feed fixed float form frame grid group head icon icons id inline inner item items large left link links "
+    "list message module outer panel placeholder post posts right row section size slot small space stories story strip "
+    "text thread title top unit wrap wrapper zone"
+).split()
+PROSE = ("p", "h1")  # a link in one of these is text
 HEADINGS = ("header", "banner", "masthead", "topbar")  # boilerplate unless inside the marked content
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<held>" + "|".join(RAW_UNLESS_EMPTY) + r")\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*(?<!/)>.*?(?:</(?P=held)\s*>|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)",
     re.S | re.I,
 )
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _PARTS = re.compile(r"[a-z]+|[0-9]+")
-_RAW, _BOILERPLATE, _BLOCKS, _SPACING, _VOID, _SIGNS = map(frozenset, (RAW, BOILERPLATE, BLOCKS, SPACING, VOID, SIGNS))
+_BOILERPLATE, _BLOCKS, _SPACING, _VOID, _SIGNS = map(frozenset, (BOILERPLATE + EMBEDDED, BLOCKS, SPACING, VOID, SIGNS))
+_WHOLE = _SIGNS | set(PLAIN) | {"header"}
 _MARKS = ("article", "main")
 _HIDDEN = " hidden"  # no word of an attribute
 
@@ -82,14 +94,18 @@ class Token:
     within: bool  # in a marked element, or in an aside in one
 
 
-def _signs(attrs: str) -> set[str]:
+def _signs(attrs: str, whole: bool) -> set[str]:
+    """Words of class, id and role; with ``whole`` only of names made of signs and plain words alone."""
     out: set[str] = set()
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
             out.add(_HIDDEN)
         elif key in ("class", "id", "role"):
-            out.update(_PARTS.findall(value))
+            for name in value.split():
+                parts = _PARTS.findall(name)
+                if not whole or all(p in _WHOLE or p.isdigit() for p in parts):
+                    out.update(parts)
     return out
 
 
@@ -118,50 +134,56 @@ def _tokens(page: str, spared: frozenset[int]) -> tuple[list[Token], list[tuple[
     out: list[Token] = []
     signed: list[tuple[int, int, int, bool]] = []
     open_signs: list[tuple[int, int, int, bool]] = []  # depth, place, first token, marked
-    stack: list[tuple[str, bool, bool, bool, bool]] = []  # name, boilerplate, link, marked, within
-    boiler = link = marked = within = False
+    stack: list[tuple[str, bool, bool, bool, bool, bool]] = []  # name, boilerplate, link, marked, within, prose
+    opened: Counter[str] = Counter()  # names in the stack
+    boiler = link = marked = within = prose = False
     at = 0
 
     def close() -> None:
         while open_signs and open_signs[-1][0] > len(stack):
             signed.append((open_signs[-1][1], open_signs[-1][2], len(out), open_signs.pop()[3]))
 
+    def pop() -> str:
+        gone = stack.pop()[0]
+        opened[gone] -= 1
+        return gone
+
     def text(raw: str) -> None:
         if raw:
             plain = html.unescape(raw)
-            kind = "boiler" if boiler else "link" if link else "word"
+            kind = "boiler" if boiler else "link" if link and not prose else "word"
             out.append(Token("text", plain, kind, len(plain.split()), boiler, marked, within))
 
     for m in _TOKEN.finditer(page):
         text(page[at : m.start()])
         at = m.end()
         if m["name"] is None:
-            if m["raw"]:
-                out.append(Token("space", " ", f"<{m['raw'].lower()}", 0, True, marked, within))
+            if raw := m["raw"] or m["held"]:
+                out.append(Token("space", " ", f"<{raw.lower()}", 0, True, marked, within))
             continue
         name = m["name"].lower()
         kind = "block" if name in _BLOCKS else "space" if name in _SPACING else "tag"
         if page[m.start() + 1] == "/":
-            if any(s[0] == name for s in stack):
-                while stack:
-                    gone = stack.pop()
-                    if gone[0] == name:
-                        break
-                boiler, link, marked, within = stack[-1][1:] if stack else (False, False, False, False)
+            if opened[name]:
+                while pop() != name:
+                    pass
+                boiler, link, marked, within, prose = stack[-1][1:] if stack else (False,) * 5
                 close()
             out.append(Token(kind, "", f"</{name}", 0, boiler, marked, within))
             continue
         if name == "body":  # whatever the head left open ends here
-            stack, boiler, link, marked, within = [s for s in stack if s[0] == "html"], False, False, False, False
+            stack = [s for s in stack if s[0] == "html"]
+            opened = Counter(s[0] for s in stack)
+            boiler = link = marked = within = prose = False
             close()
         if name == "p" and stack and stack[-1][0] == "p":
-            stack.pop()
-            boiler, link, marked, within = stack[-1][1:] if stack else (False, False, False, False)
+            pop()
+            boiler, link, marked, within, prose = stack[-1][1:] if stack else (False,) * 5
             close()
         out.append(Token(kind, "", f"<{name}", 0, boiler, marked, within))
         if name in _VOID or m["attrs"].rstrip().endswith("/"):
             continue
-        signs = _signs(m["attrs"]) if m["attrs"] else set()
+        signs = _signs(m["attrs"], marked) if m["attrs"] else set()
         if signs & (_SIGNS | {"header"}) and name not in ("html", "body", "article", "main"):
             open_signs.append((len(stack) + 1, m.start(), len(out), marked))
             if m.start() in spared:
@@ -173,8 +195,10 @@ def _tokens(page: str, spared: frozenset[int]) -> tuple[list[Token], list[tuple[
         elif marked and odd and signs & set(HEADINGS) and name not in _BOILERPLATE:
             odd = bool((signs & (_SIGNS | {_HIDDEN})) - set(HEADINGS))
         within = within or name in _MARKS
+        prose = name in PROSE if name in _BLOCKS else prose
         boiler, link, marked = boiler or odd, link or name == "a", inside and not (name == "aside")
-        stack.append((name, boiler, link, marked, within))
+        stack.append((name, boiler, link, marked, within, prose))
+        opened[name] += 1
     text(page[at:])
     stack = []
     close()
