@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import ValidationFailed
-from tidemark.functions.columns import q
+from tidemark.functions.columns import orderable, q
 from tidemark.functions.times import is_time, utc_text
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.quantiles import exact_quantiles
@@ -223,7 +223,11 @@ Profiler = Callable[[DataFrame], list[Expectation]]
 
 
 def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Per column: rows, nulls, approximate distinct count, and min, max, mean of numbers."""
+    """Per column: rows, nulls, approximate distinct count, extremes, and the mean of numbers.
+
+    ``min_value`` and ``max_value`` are numbers as doubles; ``min_text`` and ``max_text`` are the
+    extremes of any column that has an order, in its own type, as text.
+    """
     columns = columns or df.columns
     stats: list[Column] = [F.count(F.lit(1)).alias("__ft_n")]
     for i, c in enumerate(columns):
@@ -236,6 +240,9 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
             F.avg(as_double).alias(f"__ft_{i}_mean"),
             F.approx_count_distinct(q(c)).alias(f"__ft_{i}_distinct"),
         ]
+        ordered = orderable(df.schema[c].dataType)
+        for end, extreme in (("low", F.min), ("high", F.max)):
+            stats.append((extreme(q(c)).cast("string") if ordered else F.lit(None).cast("string")).alias(f"__ft_{i}_{end}"))
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -245,19 +252,47 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
             q(f"__ft_{i}_min").alias("min_value"),
             q(f"__ft_{i}_max").alias("max_value"),
             q(f"__ft_{i}_mean").alias("mean_value"),
+            q(f"__ft_{i}_low").alias("min_text"),
+            q(f"__ft_{i}_high").alias("max_text"),
         )
         for i, c in enumerate(columns)
     ]
     return df.agg(*stats).select(F.inline(F.array(*rows)))
 
 
-def auto_profile(df: DataFrame, set_columns: list[str] = ()) -> list[Expectation]:
+MOST_VALUES = 1000
+
+
+def value_set(df: DataFrame, column: str, most: int = MOST_VALUES) -> list:
+    """The distinct values of a column but null; raises if there are more than ``most``."""
+    found = df.select(q(column)).filter(q(column).isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"column {column!r} holds more than {most} values")
+    return [r[0] for r in found]
+
+
+def few_valued(df: DataFrame, most: int = 20) -> list[str]:
+    """Columns of text, whole numbers or truth values that hold few values, by one pass of sketches.
+
+    The sketch may err by some percent; ``value_set`` is exact about the rest.
+    """
+    kinds = (T.StringType, T.IntegralType, T.BooleanType)
+    columns = [c for c in df.columns if isinstance(df.schema[c].dataType, kinds)]
+    if not columns:
+        return []
+    counts = df.agg(*[F.approx_count_distinct(q(c), 0.02).alias(c) for c in columns]).first()
+    return [c for c in columns if counts[c] <= most]
+
+
+def auto_profile(df: DataFrame, set_columns: list[str] | str = ()) -> list[Expectation]:
     """Expectations any similar dataset should meet, generated from ``df``.
 
     Types always; no nulls where there are none; the value set of the columns in
-    ``set_columns``, of which the caller knows that they hold few values; the range of all
-    other numbers and times.  One job, and one more for the value sets.
+    ``set_columns``, of which the caller knows that they hold few values, or of all that do
+    with "few"; the range of all other numbers and times.  One job, and one more for each
+    value set, which may hold ``MOST_VALUES`` values.
     """
+    set_columns = few_valued(df) if set_columns == "few" else list(set_columns)
     types = {f.name: f.dataType for f in df.schema}
     df = prepared(df)
     ranged = [c for c in df.columns if c not in set_columns and (_is_number(types[c]) or is_time(types[c]))]
@@ -267,7 +302,7 @@ def auto_profile(df: DataFrame, set_columns: list[str] = ()) -> list[Expectation
         if c in ranged:
             stats += [F.min(q(c)).alias(f"__ft_{i}_min"), F.max(q(c)).alias(f"__ft_{i}_max")]
     totals = df.agg(*stats).first()
-    sets = df.agg(*[F.collect_set(q(c)).alias(c) for c in set_columns]).first().asDict() if set_columns else {}
+    sets = {c: value_set(df, c) for c in set_columns}
     found: list[Expectation] = []
     for i, c in enumerate(df.columns):
         found.append(values_in_types(c, [types[c].simpleString()]))

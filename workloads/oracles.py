@@ -263,13 +263,17 @@ def _dq_profile() -> str:
     rows = [
         f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
             CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value,
-            round(avg(CAST({c} AS DOUBLE)), 3) AS mean_value FROM lineitem"""
+            round(avg(CAST({c} AS DOUBLE)), 3) AS mean_value,
+            CAST(min({c}) AS VARCHAR) AS min_text, CAST(max({c}) AS VARCHAR) AS max_text,
+            count(DISTINCT {c}) AS n_values, true AS estimate_near FROM lineitem"""
         for c in _LINEITEM_NUMBERS
     ]
     rows += [
         f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
             CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value,
-            CAST(NULL AS DOUBLE) AS mean_value FROM lineitem"""
+            CAST(NULL AS DOUBLE) AS mean_value,
+            CAST(min({c}) AS VARCHAR) AS min_text, CAST(max({c}) AS VARCHAR) AS max_text,
+            count(DISTINCT {c}) AS n_values, true AS estimate_near FROM lineitem"""
         for c in _LINEITEM_OTHERS
     ]
     return " UNION ALL ".join(rows)
@@ -526,6 +530,15 @@ ORACLES: dict[str, str] = {
           ON s.l_suppkey = a.l_suppkey AND s.l_shipdate >= a.l_shipdate
     """,
     "dq_profile": _dq_profile(),
+    "dq_profile_merged": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+            count(DISTINCT {c}) AS n_values, true AS estimate_near,
+            {f"CAST(min({c}) AS VARCHAR)" if c not in ("ts", "value", "props") else "CAST(NULL AS VARCHAR)"} AS min_text,
+            {f"CAST(max({c}) AS VARCHAR)" if c not in ("ts", "value", "props") else "CAST(NULL AS VARCHAR)"} AS max_text,
+            {f"round(avg(CAST({c} AS DOUBLE)), 3)" if c in ("event_id", "user_id", "value") else "CAST(NULL AS DOUBLE)"} AS mean_value,
+            {"true" if c == "value" else "CAST(NULL AS BOOLEAN)"} AS quantiles_near FROM events"""
+        for c in ("event_id", "ts", "user_id", "event_type", "value", "props")
+    ),
     "dq_validate_pass": _DQ_PASS,
     "dq_validate_fail": _DQ_FAIL,
     "dq_quantiles": _dq_quantiles(),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import TableStorage
 from tidemark.operators import quality as dq
+from tidemark.operators.profiles import PartProfiles
 from tidemark.operators.quantiles import exact_quantiles
 from tidemark.session import shared_folder
 from workloads import views as v
@@ -51,7 +52,7 @@ def _summary(report: DataFrame) -> DataFrame:
     )
 
 
-def dq_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = dq.column_profile(v.table(spark, sf_dir, "lineitem"))
     return profile.select(
         "column_name",
@@ -60,6 +61,52 @@ def dq_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         "min_value",
         "max_value",
         F.round("mean_value", 3).alias("mean_value"),
+        "min_text",
+        "max_text",
+        "distinct_estimate",
+    )
+
+
+def dq_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile, with the number of values and whether its estimate is within 15 % of it."""
+    lines = v.table(spark, sf_dir, "lineitem")
+    exact = F.array(*[F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("n_values")) for c in lines.columns])
+    counted = lines.agg(exact.alias("exact")).select(F.inline("exact"))
+    near = F.abs(F.col("distinct_estimate") - F.col("n_values")) <= 0.15 * F.col("n_values")
+    return _profile(spark, sf_dir).join(counted, "column_name").withColumn("estimate_near", near).drop("distinct_estimate")
+
+
+def dq_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of single days, the later ones added in a second run, merged into one.
+
+    The estimates are compared with the exact numbers: distinct values within 5 %, and the
+    share of rows up to each quantile within 0.04 of what was asked for.
+    """
+    events = v.table(spark, sf_dir, "events")
+    profiles = PartProfiles(spark, shared_folder(spark, "profiles"))
+    day = F.col("ts").cast("date")
+    profiles.update(events.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")), day)
+    profiles.update(events, day)
+    asked = [0.1, 0.5, 0.9]
+    found = profiles.profile(probabilities=asked)
+    exact = F.array(*[F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("n_values")) for c in events.columns])
+    found = found.join(events.agg(exact.alias("exact")).select(F.inline("exact")), "column_name")
+    cuts = found.filter("column_name = 'value'").select(F.posexplode("quantiles").alias("i", "cut"))
+    # three rows
+    ranks = events.join(F.broadcast(cuts), F.col("value") <= F.col("cut"), "inner").groupBy("i").agg(F.count(F.lit(1)).alias("below"))
+    total = events.agg(F.count("value").alias("n"))
+    share = F.get(F.array(*[F.lit(p) for p in asked]), F.col("i"))
+    off = ranks.join(F.broadcast(total)).agg(F.max(F.abs(F.col("below") / F.col("n") - share)).alias("off"))
+    return found.join(F.broadcast(off)).select(
+        "column_name",
+        "row_count",
+        "null_count",
+        "n_values",
+        (F.abs(F.col("distinct_estimate") - F.col("n_values")) <= 0.05 * F.col("n_values")).alias("estimate_near"),
+        F.when(F.col("column_name").isin("event_id", "user_id", "event_type"), F.col("min_text")).alias("min_text"),
+        F.when(F.col("column_name").isin("event_id", "user_id", "event_type"), F.col("max_text")).alias("max_text"),
+        F.round("mean_value", 3).alias("mean_value"),
+        F.when(F.col("column_name") == "value", F.col("off") <= 0.04).alias("quantiles_near"),
     )
 
 
