@@ -12,10 +12,11 @@ similarity of 0.75 or more.
 4. Pairs are checked on sketches of the minima, then on the full sets: first the most
    similar partner of each node, then every pair that still joins two components.
 5. In large buckets that span several components all rows of different components that
-   fit by size are compared, block by block: on their sketches, and those that may have a
-   partner on their full sets, whose shared shingles are counted by products of matrices.
-   A block sends only links that join components, at most one a row, so no pair is left
-   out and none is written that changes nothing.
+   fit by size are compared, block by block: the largest component with the rest, and the
+   rest with itself; on their sketches, and those that may have a partner on their full
+   sets, whose shared shingles are counted by products of matrices.  A block sends only
+   links that join components, at most one a row, so no pair is left out and none is
+   written that changes nothing.
 """
 
 from __future__ import annotations
@@ -216,31 +217,82 @@ def _mixed(large: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(once.select("key"), "key", "left_semi").select("key", "node", "component")
 
 
-def _blocks(rows: DataFrame, most_rows: int, most_shingles: int | None = None) -> DataFrame:
-    """Rows (block, part, side, key, node, component, n_shingles): any two of a bucket that fit by size share a block.
+def _cells(rows: DataFrame) -> DataFrame:
+    """Rows with ``side`` and ``cell``: any two of a bucket that fit by size share a cell, one of them on side 0.
 
     Sizes of linked sets lie in the same or in neighbouring classes.  A cell holds a class
-    (side 0) and the one above it (side 1), and is cut into slices.  A block holds two
-    slices (parts 0 and 1) or one (part 2).
+    (side 0) and the one above it (side 1); a bucket whose sizes all fit is one cell.
     """
     size = F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(math.log(1.34)))  # a little above 4 / 3
-    both = rows.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1))))
-    both = both.withColumn("cell", F.xxhash64("key", size - F.col("side")))
-    groups = F.ceil(F.count(F.lit(1)) / most_rows)
-    if most_shingles:
-        groups = F.greatest(groups, F.ceil(F.sum("n_shingles") / most_shingles))
-    cells = both.groupBy("cell").agg(
-        groups.cast("int").alias("groups"),
-        F.min("side").alias("first"),
-        F.min("component").alias("lo"),
-        F.max("component").alias("hi"),
+    sizes = rows.groupBy("key").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    even = F.col("least") * 100 >= F.col("most") * PERCENT
+    sides = F.when(F.col("even"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    both = rows.join(sizes.select("key", even.alias("even")), "key").withColumn("side", F.explode(sides))
+    cell = F.when(F.col("even"), F.xxhash64("key", F.lit("even"))).otherwise(F.xxhash64("key", size - F.col("side")))
+    return both.withColumn("cell", cell).drop("even")
+
+
+def _blocks(rows: DataFrame, most_rows: int, most_shingles: int | None = None) -> DataFrame:
+    """Rows (block, part, side, key, node, component, n_shingles): any two of different components of a cell share a block.
+
+    The largest component of a cell and the rest are cut into slices.  A block holds a slice
+    of the largest and one of the rest, or two of the rest (parts 0 and 1), or one of the
+    rest (part 2); small cells are one block.  So a component is not compared with itself
+    where it is large, and what is sent grows with the rows beside it.
+    """
+
+    def groups(n: str, shingles: str):
+        found = F.ceil(F.col(n) / most_rows)
+        found = F.greatest(found, F.ceil(F.col(shingles) / most_shingles)) if most_shingles else found
+        return F.greatest(found, F.lit(1)).cast("int")
+
+    both = _cells(rows)
+    parts = both.groupBy("cell", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"), F.min("side").alias("first")
+    )
+    cells = parts.groupBy("cell").agg(
+        F.max(F.struct("n", "component", "shingles")).alias("large"),
+        F.sum("n").alias("all"),
+        F.sum("shingles").alias("all_shingles"),
+        F.min("first").alias("first"),
+        F.count(F.lit(1)).alias("components"),
+    )
+    cells = cells.filter("first = 0 AND components > 1").select(
+        "cell",
+        F.col("large.component").alias("largest"),
+        F.col("large.n").alias("n"),
+        F.col("large.shingles").alias("shingles"),
+        (F.col("all") - F.col("large.n")).alias("rest"),
+        (F.col("all_shingles") - F.col("large.shingles")).alias("rest_shingles"),
+        "all",
+        "all_shingles",
+    )
+    cells = cells.select(
+        "cell",
+        "largest",
+        (groups("all", "all_shingles") == 1).alias("one"),
+        groups("n", "shingles").alias("slices"),
+        groups("rest", "rest_shingles").alias("others"),
+    )
+    dealt = both.join(cells, "cell").withColumn("own", F.col("component") == F.col("largest"))
+    count = F.when(F.col("own"), F.col("slices")).otherwise(F.col("others"))
+    dealt = dealt.withColumn("slice", F.pmod(F.xxhash64("node"), count).cast("int"))
+
+    def place(kind: int, low, high, part):
+        return F.struct(F.lit(kind).alias("kind"), low.alias("low"), high.alias("high"), part.alias("part"))
+
+    own, zero = F.col("slice"), F.lit(0)
+    largest = F.transform(F.sequence(zero, F.col("others") - 1), lambda k: place(0, own, k, zero))
+    beside = F.transform(F.sequence(zero, F.col("slices") - 1), lambda k: place(0, k, own, F.lit(1)))
+    among = F.transform(
+        F.sequence(zero, F.col("others") - 1),
+        lambda k: place(1, F.least(own, k), F.greatest(own, k), F.when(own < k, 0).when(own > k, 1).otherwise(2)),
     )
-    cells = cells.filter("first = 0 AND lo <> hi").select("cell", "groups")
-    dealt = both.join(cells, "cell").withColumn("slice", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    places = F.when(F.col("one"), F.array(place(2, zero, zero, F.lit(2)))).when(F.col("own"), largest).otherwise(F.concat(beside, among))
+    dealt = dealt.withColumn("place", F.explode(places))
     return dealt.select(
-        F.xxhash64("cell", F.least("slice", "other"), F.greatest("slice", "other")).alias("block"),
-        F.expr("CASE WHEN slice < other THEN 0 WHEN slice > other THEN 1 ELSE 2 END").alias("part"),
+        F.xxhash64("cell", "place.kind", "place.low", "place.high").alias("block"),
+        F.col("place.part").alias("part"),
         "side",
         "key",
         "node",
