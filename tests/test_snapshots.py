@@ -356,6 +356,17 @@ def test_json_payload(spark):
         StreamSource(payload_format="xml").decode(df)
 
 
+def test_missing_add_ons_are_named(spark, tmp_path):
+    descriptor = tmp_path / "none.desc"
+    descriptor.write_bytes(b"")
+    df = spark.createDataFrame([(bytearray(b"x"),)], "value binary")
+    record = '{"type": "record", "name": "r", "fields": [{"name": "a", "type": "long"}]}'
+    for kind, schema, options in (("avro", record, {}), ("protobuf", "Message", {"descriptor": str(descriptor)})):
+        source = StreamSource(payload_format=kind, payload_schema=schema, payload_options=options)
+        with pytest.raises(SourceValidationError, match=f"spark-{kind}"):
+            source.decode(df)
+
+
 def test_spread_of_null_keys_does_not_change_lookups(spark):
     fs = make_store(spark, [(None, hours(0), None, "nobody"), (1, hours(0), None, "a")])
     fs.materialize(hours(0), hours(1))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,7 +75,14 @@ class StreamSource:
                 self.payload_schema,
                 self.payload_options,
             )
-            df = df.select(body.alias("__ft_body")).select("__ft_body.*")
+            try:
+                df = df.select(body.alias("__ft_body")).select("__ft_body.*")
+            except AnalysisException as error:
+                if "NOT_LOADED" not in str(error.getCondition()):
+                    raise
+                raise SourceValidationError(
+                    f"{self.payload_format} payloads need Spark's add-on spark-{self.payload_format} on the class path"
+                ) from error
         return df.withColumnsRenamed(self.field_mapping) if self.field_mapping else df
 
 
