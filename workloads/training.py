@@ -202,11 +202,20 @@ def pit_sql_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fs.get_historical_features(spine, REFS).df
 
 
+def _in_day_files(by_day: DataFrame) -> DataFrame:
+    """Rows of a day, or of whatever the column ``day`` holds, together, in as many tasks as they need.
+
+    Adaptive execution merges small days and splits large ones by the bytes of the shuffle, so a
+    task never holds a whole month because it is written as one folder.
+    """
+    return by_day.hint("rebalance", "day")
+
+
 def pit_partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events stored by day; the spine's time span selects the days to read."""
     folder = shared_folder(spark, "events-by-day")
     events = v.table(spark, sf_dir, "events")
-    by_day = events.withColumn("day", F.col("ts").cast("date")).repartition("day")
+    by_day = _in_day_files(events.withColumn("day", F.col("ts").cast("date")))
     by_day.write.partitionBy("day").mode("overwrite").parquet(folder)
     source = FileSource(
         name="events_by_day",
@@ -242,7 +251,7 @@ def pit_partition_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = shared_folder(spark, f"events-by-{form}")
         written = F.date_format("ts", pattern or "dd/MM/yyyy").cast(kind)
         by_day = events.withColumn("day", F.translate(written.cast("string"), "/", "_") if pattern is None else written)
-        by_day.repartition("day").write.partitionBy("day").parquet(folder)
+        _in_day_files(by_day).write.partitionBy("day").parquet(folder)
         schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in events.schema)}, day {kind}"
         source = FileSource(
             name=form,
