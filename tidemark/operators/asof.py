@@ -20,16 +20,24 @@ on its own.  Where many rows share a single event time, the join runs on the dis
 adaptive execution splits when skewed.  Tables without keys are cut by time in the
 same way.
 
+Where a large spine has few (key, time) points, such as nations and days, the points are
+joined and sent to all tasks, and the spine itself is not shuffled.  All that is asked of a
+large spine beforehand is asked of its key and time columns, which are stored meanwhile:
+a spine made by joins is worked out once for that, however many key sets there are.
+
 Feature rows of keys that no spine row has are left out before the shuffle
 (``plans/keys.py``) where the feature tables are not small.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import timedelta
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +45,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import all_not_null, orderable, q
 from tidemark.functions.times import age_limit, align, is_time
 from tidemark.operators.latest import latest_per_key
-from tidemark.plans.keys import key_filter
+from tidemark.plans.keys import few_points, key_filter
 from tidemark.plans.sizes import DEFAULT_LIMITS, Limits, is_small
 from tidemark.plans.skew import LAST, RANK, Skew, cut_time_line, find_skew, ranked, with_slice
 
@@ -59,7 +67,7 @@ class AsofSide:
 
     ``keys`` pairs spine columns with feature columns; no pairs means the table has
     one global time line.  The join adds one struct column called ``name`` holding
-    ``event_timestamp`` and the ``values``.
+    ``event_timestamp`` (unless ``timed`` is off) and the ``values``.
     """
 
     name: str
@@ -69,6 +77,22 @@ class AsofSide:
     keys: tuple[tuple[str, str], ...] = ()
     created: str | None = None
     ttl: timedelta | None = None
+    timed: bool = True
+
+
+@contextmanager
+def looked_at(spine: DataFrame, columns: list[str], limits: Limits, *others: DataFrame) -> Iterator[DataFrame]:
+    """Some columns of the spine, stored for as long as a plan is made unless all inputs are small."""
+    looked = spine.select(*[q(c) for c in dict.fromkeys(columns)])
+    level = looked.storageLevel
+    if level.useMemory or level.useDisk or is_small(limits, spine, *others):
+        yield looked
+        return
+    looked.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield looked
+    finally:
+        looked.unpersist()
 
 
 def asof_join(
@@ -78,12 +102,14 @@ def asof_join(
     plan: str = "auto",
     limits: Limits = DEFAULT_LIMITS,
     prune_keys: bool | str = "auto",
+    looked: DataFrame | None = None,
 ) -> DataFrame:
     """Add one struct column per side to ``spine``.
 
     ``plan`` is one of ``PLANS``; all give the same rows.  ``prune_keys`` leaves out feature
     rows of keys the spine does not have, which takes a job over its key columns; "auto"
-    does so when the feature tables are not small.
+    does so when the feature tables are not small.  ``looked`` is what ``looked_at`` gives
+    for the spine's time and keys, where at hand.
     """
     if plan not in PLANS:
         raise ValueError(f"plan must be one of {PLANS}, not {plan!r}")
@@ -92,9 +118,13 @@ def asof_join(
         ordered = tuple(sorted(side.keys))
         spine_keys = tuple(s for s, _ in ordered)
         groups.setdefault((spine_keys, _created_type(side)), []).append(side)
+    if looked is None:
+        columns = [ts, *[s for spine_keys, _ in groups for s in spine_keys]]
+        with looked_at(spine, columns, limits, *[s.df for s in sides]) as looked:
+            return asof_join(spine, ts, sides, plan, limits, prune_keys, looked)
     out = spine
     for (spine_keys, _), members in groups.items():
-        out = _join_group(out, spine, ts, spine_keys, members, plan, limits, prune_keys)
+        out = _join_group(out, spine, looked, ts, spine_keys, members, plan, limits, prune_keys)
     return out.select(*[q(c) for c in spine.columns], *[q(s.name) for s in sides])
 
 
@@ -109,6 +139,7 @@ def _created_type(side: AsofSide) -> str | None:
 def _join_group(
     spine: DataFrame,
     given: DataFrame,
+    looked: DataFrame,
     ts: str,
     spine_keys: tuple[str, ...],
     sides: list[AsofSide],
@@ -119,29 +150,32 @@ def _join_group(
     """Join the sides that share their keys.
 
     ``spine`` may already carry the structs of other sides; ``given`` is the caller's
-    spine, which has the same rows and is cheaper to look at.
+    spine, and ``looked`` its time and keys, which are cheaper to look at.
     """
     keys = _key_types(spine, spine_keys, sides)
     features = [_feature_rows(side, keys, spine.schema[ts].dataType) for side in sides]
     if prune_keys == "auto":
         prune_keys = not is_small(limits, *[s.df for s in sides])
     if prune_keys and keys:
-        asked = given.filter(all_not_null([ts])).select(*[q(s).cast(keys[k]).alias(k) for s, k in zip(spine_keys, keys)])
+        asked = looked.filter(all_not_null([ts])).select(*[q(s).cast(keys[k]).alias(k) for s, k in zip(spine_keys, keys)])
         wanted = key_filter(asked, list(keys), limits)
         features = [wanted.keep(f) for f in features] if wanted else features
     if plan == "points":
         return _join_points(spine, ts, spine_keys, keys, features, sides, None)
-    skew = None
+    skew = points = None
     if _may_be_skewed(plan, keys, limits, given, sides):
-        both = _spine_rows(given, ts, spine_keys, keys).select(*keys, _TS)
+        if plan == "auto" and keys:
+            points = few_points(looked, [ts, *spine_keys], limits)
+        asked = looked if points is None else points
+        both = _spine_rows(asked, ts, spine_keys, keys).select(*keys, _TS)
         for feature in features:
             both = both.unionByName(feature.select(*keys, _TS))
         if keys:
             skew = find_skew(both, list(keys), _TS, limits)
         else:
             skew = cut_time_line(both, _TS, limits)
-        if skew is not None and skew.tied:
-            return _join_points(spine, ts, spine_keys, keys, features, sides, skew)
+        if points is not None or skew is not None and skew.tied:
+            return _join_points(spine, ts, spine_keys, keys, features, sides, skew, points)
     return _fill(spine, ts, spine_keys, keys, features, sides, skew)
 
 
@@ -259,8 +293,9 @@ def _fill(
     # Only feature rows up to the spine row's time come before it; their age is left.
     hits = []
     for s in sides:
-        fresh = q(s.name).getField(EVENT_TIME) >= age_limit(q(_TS), s.ttl) if s.ttl else F.lit(True)
-        hits.append(F.when(fresh, q(s.name)).alias(s.name))
+        fresh = q(s.name).getField(EVENT_TIME) >= age_limit(q(_TS), s.ttl) if s.ttl else q(s.name).isNotNull()
+        hit = q(s.name) if s.timed else F.struct(*[q(s.name).getField(v).alias(v) for v in s.values])
+        hits.append(F.when(fresh, hit).alias(s.name))
     return filled.select(*[q(restored.get(c, c)).alias(c) for c in spine.columns], *hits)
 
 
@@ -310,21 +345,26 @@ def _join_points(
     features: list[DataFrame],
     sides: list[AsofSide],
     skew: Skew | None,
+    few: DataFrame | None = None,
 ) -> DataFrame:
-    """As-of join of the distinct (key, time) points, joined back on those columns."""
+    """As-of join of the distinct (key, time) points, joined back on those columns.
+
+    ``few`` holds the points where they are few enough to be sent to all tasks.
+    """
     point_ts = "__ft_pt"
     point_keys = [f"__ft_p{i}" for i in range(len(spine_keys))]
-    points = (
-        spine.filter(all_not_null([ts, *spine_keys]))
-        .select(*[q(s).alias(p) for s, p in zip(spine_keys, point_keys)], q(ts).alias(point_ts))
-        .distinct()
-    )
+    named = [*[q(s).alias(p) for s, p in zip(spine_keys, point_keys)], q(ts).alias(point_ts)]
+    if few is None:
+        points = spine.filter(all_not_null([ts, *spine_keys])).select(*named).distinct()
+    else:
+        points = few.select(*named)
     features = [latest_per_key(rows, [*keys, _TS], _recency(rows, _CREATED)) for rows in features]
     hits = _fill(points, point_ts, tuple(point_keys), keys, features, sides, skew)
     condition = q(ts) == q(point_ts)
     for s, p in zip(spine_keys, point_keys):
         condition = condition & (q(s) == q(p))
-    joined = spine.join(hits, condition, "left")
+    # ``few`` has at most ``2 * few_points`` rows
+    joined = spine.join(hits if few is None else F.broadcast(hits), condition, "left")
     return joined.select(*[q(c) for c in spine.columns], *[q(s.name) for s in sides])
 
 

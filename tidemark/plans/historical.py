@@ -12,7 +12,7 @@ from tidemark.definitions import Entity, FeatureView, OnDemandView, RequestView
 from tidemark.errors import FeatureNameCollision, TidemarkError
 from tidemark.functions.columns import q
 from tidemark.functions.times import time_literal, utc_text
-from tidemark.operators.asof import AsofSide, asof_join
+from tidemark.operators.asof import AsofSide, asof_join, looked_at
 from tidemark.plans.resolve import Request, Wanted, check_request_data, view_key
 from tidemark.plans.sizes import Limits, is_small
 from tidemark.plans.transforms import input_columns, with_on_demand
@@ -54,27 +54,26 @@ def historical(
     """
     check_request_data(request, spine.columns)
     check_names(request, spine)
-    needed = {ts}
-    for item in request.fetched:
-        needed.update(s for s, _ in join_keys(item.view, entities))
-    require_columns(spine, needed)
-
-    lo = hi = None
-    sources = [item.view.source.read(spark) for item in request.fetched]
-    if prune == "auto":
-        prune = not is_small(limits, *sources)
-    if (prune or carry) and request.fetched:
-        lo, hi = time_span(spine, ts)
-        if carry and lo is not None and lo < carry.at:
-            raise TidemarkError(f"rows from {lo} on, before the cut {carry.at} of carry {carry.name!r}")
-
-    structs: dict[tuple, str] = {}
-    sides = []
-    for i, (item, rows) in enumerate(zip(request.fetched, sources)):
-        structs[view_key(item.view)] = name = f"__ft_v{i}"
-        keys = join_keys(item.view, entities)
-        sides.append(_side(spark, name, item, keys, rows, lo, hi, carry))
-    joined = asof_join(spine, ts, sides, plan, limits, prune_keys) if sides else spine
+    needed = [ts, *[s for item in request.fetched for s, _ in join_keys(item.view, entities)]]
+    require_columns(spine, set(needed))
+
+    structs = {view_key(item.view): f"__ft_v{i}" for i, item in enumerate(request.fetched)}
+    joined = spine
+    if request.fetched:
+        sources = [item.view.source.read(spark) for item in request.fetched]
+        with looked_at(spine, needed, limits, *sources) as looked:
+            lo = hi = None
+            if prune == "auto":
+                prune = not is_small(limits, *sources)
+            if prune or carry:
+                lo, hi = time_span(looked, ts)
+                if carry and lo is not None and lo < carry.at:
+                    raise TidemarkError(f"rows from {lo} on, before the cut {carry.at} of carry {carry.name!r}")
+            sides = []
+            for item, rows in zip(request.fetched, sources):
+                keys = join_keys(item.view, entities)
+                sides.append(_side(spark, structs[view_key(item.view)], item, keys, rows, lo, hi, carry))
+            joined = asof_join(spine, ts, sides, plan, limits, prune_keys, looked)
 
     def feature_column(view: FeatureView, feature: str) -> Column:
         return q(structs[view_key(view)]).getField(feature)
@@ -158,4 +157,5 @@ def _side(
         values=tuple(item.names),
         keys=keys,
         ttl=view.ttl or None,
+        timed=False,
     )

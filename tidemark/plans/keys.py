@@ -4,6 +4,7 @@ The keys asked for are counted roughly in one pass.  A few are read and become a
 literals, which reaches the scan.  More go into a Bloom filter: a table of 64-bit words in
 which every key sets four bits of one word, built by one aggregate and sent to all tasks.
 Its size follows the number of keys and is bounded; beyond the bound nothing is filtered.
+It is built once, here, so that the plans it goes into do not work out the spine again.
 A filter only ever leaves out rows that match nothing, so all ways give the same result.
 """
 
@@ -24,6 +25,9 @@ _WORD = 64
 _BITS_PER_KEY = 16
 _FEWEST_BITS_PER_KEY = 4
 
+# Rows that must share a point, on average, for looking points up to pay.
+_ROWS_PER_POINT = 16
+
 # Types whose values stand in a plan as they are, and types whose equal values hash alike.
 _LITERALS = (T.IntegralType, T.StringType, T.BooleanType, T.DateType)
 _HASHED = (*_LITERALS, T.FractionalType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
@@ -79,7 +83,7 @@ def _place(df: DataFrame, keys: tuple[str, ...], words: int) -> tuple[Column, Co
 
 
 def key_filter(asked: DataFrame, keys: list[str], limits: Limits) -> KeyFilter | None:
-    """A filter for the keys in ``asked``, or None where none helps.  Runs one or two jobs."""
+    """A filter for the keys in ``asked``, or None where none helps.  Runs one to three jobs."""
     keys = tuple(keys)
     if not keys or not all(_plain(asked.schema[k].dataType) for k in keys):
         return None
@@ -98,4 +102,24 @@ def key_filter(asked: DataFrame, keys: list[str], limits: Limits) -> KeyFilter |
         words *= 2
     slot, bits = _place(asked, keys, words)
     rows = asked.select(slot.alias(_SLOT), bits.alias(_BITS)).groupBy(_SLOT).agg(F.bit_or(_BITS).alias(_BITS))
-    return KeyFilter(keys, None, rows, words)
+    # at most ``filter_words`` rows of 16 bytes
+    return KeyFilter(keys, None, asked.sparkSession.createDataFrame(rows.toArrow(), rows.schema), words)
+
+
+def few_points(asked: DataFrame, columns: list[str], limits: Limits) -> DataFrame | None:
+    """The distinct values of some columns where they are few, and far fewer than the rows.
+
+    Runs one or two jobs; at most ``2 * few_points`` rows come back.
+    """
+    columns = list(dict.fromkeys(columns))
+    known = asked.filter(all_not_null(columns)).select(*[q(c) for c in columns])
+    if not all(_plain(f.dataType) and not isinstance(f.dataType, T.FractionalType) for f in known.schema):
+        return None
+    seen = known.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.xxhash64(*[q(c) for c in columns])).alias("points")).first()
+    if seen["points"] > limits.few_points or seen["points"] * _ROWS_PER_POINT > seen["rows"]:
+        return None
+    # the estimate may be off, so the rows read are bounded as well
+    found = known.distinct().limit(2 * limits.few_points + 1).toArrow()
+    if found.num_rows > 2 * limits.few_points:
+        return None
+    return asked.sparkSession.createDataFrame(found, known.schema)

@@ -19,6 +19,7 @@ class Limits:
     sample_rows    rows looked at when searching for hot keys and slice edges
     max_hot_keys   1 / the smallest share of all rows that makes a key hot
     exact_keys     keys asked for that become literals of a filter
+    few_points     (key, time) points of a spine that are looked up by broadcast
     filter_words   most 64-bit words of a Bloom filter on keys
     bucket_bytes   bytes of a snapshot folder that make up a bucket of the key
     max_buckets    most buckets of a folder (a power of two)
@@ -31,6 +32,7 @@ class Limits:
     sample_rows: int = 4_000_000
     max_hot_keys: int = 20_000
     exact_keys: int = 1000
+    few_points: int = 200_000
     filter_words: int = 1 << 20
     bucket_bytes: int = 64 * 1024 * 1024
     max_buckets: int = 1024
