@@ -26,6 +26,9 @@ _FOUND = "__ft_found"
 # A guess; see draw_sample.
 _BYTES_PER_ROW = 40
 
+# Sampled rows by which a key at the bound is told from smaller ones, to about two per cent.
+_ROWS_PER_HOT_KEY = 2000
+
 
 @dataclass(frozen=True)
 class Skew:
@@ -110,16 +113,19 @@ def find_skew(points: DataFrame, keys: list[str], ts: str, limits: Limits) -> Sk
         if total <= limits.group_rows:
             return None
         share = max(limits.group_rows / total, 1.0 / limits.max_hot_keys)
+        # few rows tell whether a key has a large share, and every row costs a shuffle
+        thin = min(1.0, _ROWS_PER_HOT_KEY / share / max(rows, 1))
+        thinned = sample if thin >= 1.0 else sample.sample(fraction=thin, seed=19)
         counts = (
-            sample.select(F.xxhash64(*[q(k) for k in keys]).alias("h"))
+            thinned.select(F.xxhash64(*[q(k) for k in keys]).alias("h"))
             .groupBy("h")
             .count()
-            .filter(F.col("count") >= share * rows)
+            .filter(F.col("count") >= share * rows * thin)
             .collect()
         )
         if not counts:
             return None
-        return _cut_keys(sample, keys, ts, counts, fraction, limits)
+        return _cut_keys(sample, keys, ts, counts, fraction * thin, limits)
     finally:
         sample.unpersist()
 
