@@ -9,7 +9,8 @@ import pytest
 from tests.frames import hours
 from tests.test_snapshots import SCHEMA, make_store, names
 from tidemark.operators.latest import REMOVED_AT
-from tidemark.streaming.expiry import ROCKSDB, expiring_stream
+from tidemark.streaming.expiry import ROCKSDB, _Expiring, expiring_stream
+from workloads.serving import _files_a_week
 
 SETTING = "spark.sql.streaming.stateStore.providerClass"
 
@@ -95,3 +96,90 @@ def test_other_state_stores_are_refused(spark, tmp_path):
     feed.put((1, 0, "a"))
     with pytest.raises(ValueError, match="RocksDB"):
         expiring_stream(feed.stream(), ["driver_id"], "ts", timedelta(hours=1), "1 hour")
+
+
+def test_a_key_is_asked_for_once_a_batch_and_has_one_timer():
+    """The calls to the state: they are what a key costs."""
+    calls = []
+
+    class Held:
+        row = None
+
+        def exists(self):
+            calls.append("exists")
+            return self.row is not None
+
+        def get(self):
+            calls.append("get")
+            return self.row
+
+        def update(self, row):
+            calls.append("update")
+            self.row = row
+
+        def clear(self):
+            calls.append("clear")
+            self.row = None
+
+    class Handle:
+        timers = []
+
+        def getValueState(self, *_):
+            return Held()
+
+        def listTimers(self):
+            calls.append("list")
+            return iter(list(self.timers))
+
+        def deleteTimer(self, at):
+            calls.append("delete")
+            self.timers.remove(at)
+
+        def registerTimer(self, at):
+            calls.append("register")
+            self.timers.append(at)
+
+    class Watermark:
+        at = 0
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+    def rows(*seconds):
+        return iter([{"__ft_time": s * 1_000_000, "rank": "", "__ft_kept": str(s)} for s in seconds])
+
+    def taken():
+        found = list(calls)
+        calls.clear()
+        return found
+
+    processor, handle, clock = _Expiring(timedelta(seconds=10)), Handle(), Watermark()
+    processor.init(handle)
+    assert len(list(processor.handleInputRows((1,), rows(0), clock))) == 1 and taken() == ["get", "update", "register"]
+    assert len(list(processor.handleInputRows((1,), rows(5, 8), clock))) == 1 and taken() == ["get", "update"]
+    assert list(processor.handleInputRows((1,), rows(3), clock)) == [] and taken() == ["get"]
+    # the timer of the first row comes too early for the newest
+    clock.at = 10_001
+    handle.timers.remove(10_000)
+    assert list(processor.handleExpiredTimer((1,), clock, None)) == [] and handle.timers == [18_000]
+    clock.at = 18_000
+    assert list(processor.handleExpiredTimer((1,), clock, None)) == []
+    clock.at = 18_001
+    assert [r[REMOVED_AT] for r in processor.handleExpiredTimer((1,), clock, None)] == [18_000_000]
+    assert processor.newest.row is None
+
+
+def test_late_timers_of_keys_written_to_in_every_batch(spark, tmp_path, rocksdb):
+    feed = Feed(spark, tmp_path)
+    feed.put((1, 0, "a"), (2, 0, "x"))
+    feed.put((1, 4, "b"), (2, 5, "y"))
+    feed.put((1, 8, "c"), (3, 8, "z"))
+    feed.put((3, 12, "w"))
+    # the watermark ends at hour 11: 2 ended at 10, and 1 is held until 13
+    assert feed.run() == ([(2, "y", hours(10))], {1: "c", 2: "y", 3: "w"})
+    feed.put((4, 15, "v"))
+    assert feed.run() == ([(1, "c", hours(13))], {4: "v"})
+
+
+def test_large_weeks_are_several_files():
+    assert [_files_a_week(n) for n in (None, 1, 20 * 1024 * 1024, 700_000_000)] == [1, 1, 1, 34]

@@ -26,7 +26,11 @@ _KEPT = "__ft_kept"
 
 
 class _Expiring(StatefulProcessor):
-    """Holds time, rank among equal times and JSON of a key's newest row."""
+    """Holds time, rank among equal times and JSON of a key's newest row.
+
+    Every call to the state leaves the Python process, so a key has one timer as long as it is
+    held, which later rows do not move: it looks when it fires whether the key ends by then.
+    """
 
     def __init__(self, ttl: timedelta):
         self.ttl = ttl // timedelta(microseconds=1)
@@ -36,7 +40,7 @@ class _Expiring(StatefulProcessor):
         self.newest = handle.getValueState("newest", f"{_TIME} bigint, rank string, {_KEPT} string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = before = tuple(self.newest.get()) if self.newest.exists() else None
+        held = before = self._held()
         for found in sorted((r[_TIME], r["rank"], r[_KEPT]) for r in rows):
             if held is not None and found <= held:
                 continue
@@ -45,21 +49,31 @@ class _Expiring(StatefulProcessor):
             held = found
         if held is not None and held != before:
             self.newest.update(held)
-            for timer in self.handle.listTimers():
-                self.handle.deleteTimer(timer)
-            # timers count milliseconds: the first that is not before the end
-            self.handle.registerTimer(-(-(held[0] + self.ttl) // 1000))
+            if before is None:
+                self.handle.registerTimer(self._end(held))
             yield self._row(held, None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.newest.exists():
-            held = tuple(self.newest.get())
+        held = self._held()
+        if held is None:
+            return
+        if self._end(held) >= timerValues.getCurrentWatermarkInMs():  # as Spark tells timers that are not due
+            self.handle.registerTimer(self._end(held))
+        else:
             self.newest.clear()
             yield self._row(held, held[0] + self.ttl)
 
     def close(self) -> None:
         pass
 
+    def _held(self) -> tuple | None:
+        found = self.newest.get()
+        return None if found is None else tuple(found)
+
+    def _end(self, held: tuple) -> int:
+        """Timers count milliseconds: the first that is not before the end."""
+        return -(-(held[0] + self.ttl) // 1000)
+
     @staticmethod
     def _row(held: tuple, removed: int | None) -> Row:
         return Row(**{_KEPT: held[2], REMOVED_AT: removed})

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import Feature, FeatureStore, FeatureView, PushSource, RequestSource, on_demand_view
 from tidemark.operators.latest import CREATED_TS, EVENT_TS, REMOVED_AT
 from tidemark.operators.lookup import request_sizes, status_counts
-from tidemark.plans.sizes import Limits
+from tidemark.plans.sizes import Limits, scanned_bytes
 from tidemark.session import shared_folder
 from tidemark.sources.streams import StreamSource
 from tidemark.streaming import drop_retries, expiring_stream, latest_stream, push_stream
@@ -301,10 +301,23 @@ def stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 EXPIRY = timedelta(hours=6)
 
 
+WEEK_FILE_BYTES = 4 * 1024 * 1024
+
+
+def _files_a_week(size: int | None) -> int:
+    """Files of a fifth of a table of so many bytes."""
+    return 1 if size is None else max(1, -(-size // (5 * WEEK_FILE_BYTES)))
+
+
 def _in_batches(spark: SparkSession, sf_dir: str, run) -> None:
-    """Events as they come in, a week a file and a file a batch; the stream is stopped once on the way."""
+    """Events as they come in, a week a batch; the stream is stopped once on the way.
+
+    A week is one file, or as many as its size asks for, so that large weeks are written and
+    read by several tasks.
+    """
     folder = shared_folder(spark, "events-in")
     events = v.events_with_created(spark, sf_dir)
+    files = _files_a_week(scanned_bytes(events))
     week = F.floor((F.dayofmonth("ts") - 1) / 7)
     setting = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(setting, None)
@@ -312,8 +325,10 @@ def _in_batches(spark: SparkSession, sf_dir: str, run) -> None:
     try:
         for weeks in ((0, 1), (2, 3, 4)):
             for n in weeks:
-                events.filter(week == n).coalesce(1).write.mode("append").parquet(folder)
-            stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+                rows = events.filter(week == n)
+                rows = rows.coalesce(1) if files == 1 else rows.repartition(files)
+                rows.write.mode("append").parquet(folder)
+            stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(folder)
             run(stream).awaitTermination()
     finally:
         spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
